@@ -375,9 +375,9 @@ VIEWS_SQL: dict[str, tuple[tuple[str, ...], str]] = {
                      CASE WHEN k >= 10 THEN CAST(k AS DOUBLE) END AS y, k, (event_id % 100) / 100.0::DOUBLE AS conf
               FROM events_k)"""),
     "centroids": (("tracks",), """
-        SELECT *, list_avg(list_filter([Left_Shoulder_x, Right_Shoulder_x, Left_Hip_x, Right_Hip_x], v -> v IS NOT NULL))
+        SELECT *, list_avg(list_filter([Left_Shoulder_x, Right_Shoulder_x, Left_Hip_x, Right_Hip_x], lambda v: v IS NOT NULL))
                       AS centroid_x,
-               list_avg(list_filter([Left_Shoulder_y, Right_Shoulder_y, Left_Hip_y, Right_Hip_y], v -> v IS NOT NULL))
+               list_avg(list_filter([Left_Shoulder_y, Right_Shoulder_y, Left_Hip_y, Right_Hip_y], lambda v: v IS NOT NULL))
                       AS centroid_y
         FROM tracks"""),
     "dets": (("events_k",), """
@@ -403,7 +403,7 @@ VIEWS_SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "reid": ((), """
         SELECT label AS identity, vec_id AS image,
                list_transform(CAST(embedding AS DOUBLE[]),
-                   v -> v / sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))) AS u
+                   lambda v: v / sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))) AS u
         FROM embeddings"""),
     "logs": ((), """
         SELECT event_id, 'frame=  ' || event_id || ' fps= ' || CAST(value AS VARCHAR) || ' q=28.0 size=N/A speed=1.5x' AS line,

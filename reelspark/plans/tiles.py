@@ -44,4 +44,6 @@ def _cogroup(left: DataFrame, right: DataFrame, keys: list[str], fn: Callable, s
     def run(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         return fn(key, a, b)
 
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
+    # both sides may stem from one table: fresh column identities keep them apart
+    a, b = (df.select(*[F.col(c).alias(c) for c in df.columns]) for df in (left, right))
+    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(run, schema)
