@@ -271,14 +271,14 @@ def pick_group(camera: str | Column, groups: Mapping[str, Sequence[str]] = SYNC_
 
 def hash_files(files: DataFrame, chunk: int = 8 * MIB) -> DataFrame:
     """SHA-256 of each file, read in chunks so that any size fits; NULL when unreadable."""
-    from reelspark.sources.containers import _open
+    from reelspark.sources.remote import open_file
 
     schema = pa.schema([("path", pa.string()), ("sha256", pa.string())])
 
     def digest(path: str) -> str | None:
         h = hashlib.sha256()
         try:
-            with _open(path) as f:
+            with open_file(path) as f:
                 while block := f.read(chunk):
                     h.update(block)
         except OSError:

@@ -11,9 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
+from reelspark.sources.remote import open_file, read_range
+
 # Container layout.
 HEADER_BYTES = 1024
 MAGIC = 0x0000FEED
@@ -44,25 +45,8 @@ RANGE_RECORDS = 1 << 18
 BATCH_RECORDS = 1 << 16
 
 
-def _open(path: str):
-    if "://" in path or path.startswith("file:"):
-        system, inner = pafs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if
-                                                 path.startswith("file:/") and not path.startswith("file://") else path)
-        return system.open_input_file(inner)
-    return pafs.LocalFileSystem().open_input_file(path)
-
-
-def _read(path: str, at: int, size: int) -> bytes:
-    try:
-        with _open(path) as f:
-            f.seek(at)
-            return f.read(size)
-    except OSError:
-        return b""
-
-
 def _header_row(path: str) -> dict:
-    raw = _read(path, 0, HEADER_BYTES)
+    raw = read_range(path, 0, HEADER_BYTES)
     row: dict = {"path": path, "header_ok": False}
     if len(raw) < HEADER_BYTES or struct.unpack_from("<I", raw, 0)[0] != MAGIC:
         return row
@@ -120,7 +104,7 @@ def scan_frame_index(files: DataFrame, drop_empty: bool = False, range_records:
             for r in batch.to_pylist():
                 for at in range(r["first"], r["first"] + r["count"], BATCH_RECORDS):
                     n = min(BATCH_RECORDS, r["first"] + r["count"] - at)
-                    raw = _read(r["path"], at * RECORD.itemsize, n * RECORD.itemsize)
+                    raw = read_range(r["path"], at * RECORD.itemsize, n * RECORD.itemsize)
                     whole = len(raw) // RECORD.itemsize
                     if whole:
                         yield _frame_batch(r["path"], at, np.frombuffer(raw, RECORD, count=whole))
@@ -149,8 +133,8 @@ def scan_index_endpoints(files: DataFrame) -> DataFrame:
                 n = r["length"] // RECORD.itemsize
                 row = {"path": r["path"]}
                 if n:
-                    first = np.frombuffer(_read(r["path"], 0, RECORD.itemsize), RECORD)
-                    last = np.frombuffer(_read(r["path"], (n - 1) * RECORD.itemsize, RECORD.itemsize), RECORD)
+                    first = np.frombuffer(read_range(r["path"], 0, RECORD.itemsize), RECORD)
+                    last = np.frombuffer(read_range(r["path"], (n - 1) * RECORD.itemsize, RECORD.itemsize), RECORD)
                     if len(first) and len(last) and int(first[0]["size"]) > 0:
                         row.update(frame_count=n, t_start=seconds(first[0]), t_end=seconds(last[0]),
                                    idx_file_size=r["length"])
@@ -165,7 +149,7 @@ def scan_index_endpoints(files: DataFrame) -> DataFrame:
 
 def _walk(path: str) -> Iterator[tuple]:
     """Frame blocks of a container: 8-byte prefix (size, fps, low counter word), payload, 8-byte time."""
-    with _open(path) as f:
+    with open_file(path) as f:
         end = f.size()
         at, n, wraps, previous = HEADER_BYTES, 0, 0, 0
         while at + 8 <= end:
