@@ -102,18 +102,20 @@ def case_from_filename(name: str | Column) -> Column:
     )
 
 
-CROP_NAME = r"^(\d+)_v(\d+)_(\d+)\.jpg$"
+CROP_NAME = r"^\d+_v\d+_\d+\.jpg$"
 
 
 def parse_crop_name(name: str | Column) -> Column:
     """`{case}_v{video}_{frame}.jpg` as struct<case_no, video_idx, frame_id>; NULL when not of that form."""
     name = col(name)
+    video = F.split_part(name, F.lit("_"), F.lit(2))
+    frame = F.substring_index(F.substring_index(name, "_", -1), ".", 1)
     return F.when(
         name.rlike(CROP_NAME),
         F.struct(
-            F.regexp_extract(name, CROP_NAME, 1).cast("int").alias("case_no"),
-            F.regexp_extract(name, CROP_NAME, 2).cast("int").alias("video_idx"),
-            F.regexp_extract(name, CROP_NAME, 3).cast("long").alias("frame_id"),
+            F.substring_index(name, "_", 1).cast("int").alias("case_no"),
+            F.substring(video, 2, 20).cast("int").alias("video_idx"),
+            frame.cast("long").alias("frame_id"),
         ),
     )
 
@@ -150,26 +152,47 @@ def relative_path(path: str | Column, anchor: str = "recordings") -> Column:
     return F.array_join(tail, "/")
 
 
+def _slashed(path: str | Column) -> Column:
+    return F.replace(col(path), F.lit("\\"), F.lit("/"))
+
+
 def file_name(path: str | Column) -> Column:
-    return F.regexp_extract(col(path), r"([^\\/]*)$", 1)
+    return F.substring_index(_slashed(path), "/", -1)
 
 
 def parent_dir(path: str | Column) -> Column:
-    """Name of the directory that holds the file."""
-    return F.regexp_extract(col(path), r"([^\\/]+)[\\/][^\\/]*$", 1)
+    """Name of the directory that holds the file; empty for a bare file name."""
+    return F.substring_index(directory(path), "/", -1)
 
 
 def directory(path: str | Column) -> Column:
-    return F.regexp_extract(col(path), r"^(.*)[\\/][^\\/]*$", 1)
+    """Everything before the file name, with forward slashes; empty for a bare file name."""
+    whole = _slashed(path)
+    keep = F.length(whole) - F.length(F.substring_index(whole, "/", -1)) - 1
+    return F.left(whole, F.greatest(keep, F.lit(0)))
 
 
-def container_stem(name: str | Column) -> Column:
-    """File name without a container or companion extension; dots inside the stem are kept."""
-    return F.regexp_replace(col(name), r"(?i)(\.seq\.metadata|\.seq\.idx|\.seq|\.xml|\.aud)$", "")
+# Container and companion extensions, longest first.
+_CONTAINER_EXTENSIONS = (".seq.metadata", ".seq.idx", ".seq", ".xml", ".aud")
 
 
 def extension(name: str | Column) -> Column:
-    return F.lower(F.regexp_extract(col(name), r"(?i)(\.seq\.metadata|\.seq\.idx|\.[^.\\/]*)$", 1))
+    """Lower-case extension; the two-part companion extensions count as one. Empty without a dot."""
+    low = F.lower(col(name))
+    known = F.lit(None).cast("string")
+    for ext in reversed(_CONTAINER_EXTENSIONS):
+        known = F.when(low.endswith(ext), ext).otherwise(known)
+    plain = F.when(low.contains("."), F.concat(F.lit("."), F.substring_index(low, ".", -1))).otherwise(F.lit(""))
+    return F.coalesce(known, plain)
+
+
+def container_stem(name: str | Column) -> Column:
+    """File name without a container or companion extension; dots inside the stem are kept."""
+    name = col(name)
+    low, stem = F.lower(name), name
+    for ext in reversed(_CONTAINER_EXTENSIONS):
+        stem = F.when(low.endswith(ext), F.left(name, F.length(name) - len(ext))).otherwise(stem)
+    return stem
 
 
 def count_label(n: str | Column, unit: str, plural: bool = True) -> Column:

@@ -17,34 +17,31 @@ from reelspark.functions import (
 )
 from reelspark.plans.carry import with_group_rank
 
-# The three accepted forms of a recording path.
+# The three accepted forms of a recording path; groups are yy, mm-dd, case and camera.
 KEY_PATTERNS = {
-    "strict": r"(?:^|[\\/])DATA_(\d{2})-(\d{2})-(\d{2})[\\/]Case(\d+)[\\/]([^\\/]+)[\\/][^\\/]+$",
-    "relative": r"^DATA_(\d{2})-(\d{2})-(\d{2})[\\/]Case(\d+)[\\/]([^\\/]+)(?:[\\/].*)?$",
-    "anywhere": r"(?:^|[\\/])DATA_(\d{2})-(\d{2})-(\d{2})[^\\/]*[\\/]Case(\d+)[^\\/]*[\\/]([^\\/]+)",
+    "strict": r"^(?:.*[\\/])?DATA_(\d{2})-(\d{2}-\d{2})[\\/]Case(\d+)[\\/]([^\\/]+)[\\/][^\\/]+$",
+    "relative": r"^DATA_(\d{2})-(\d{2}-\d{2})[\\/]Case(\d+)[\\/]([^\\/]+)(?:[\\/].*)?$",
+    "anywhere": r"^(?:.*?[\\/])?DATA_(\d{2})-(\d{2}-\d{2})[^\\/]*[\\/]Case(\d+)[^\\/]*[\\/]([^\\/]+).*$",
 }
 
 
 def parse_recording_key(df: DataFrame, path: str = "path", mode: str = "strict", root: str = "") -> DataFrame:
     """Add recording_date, case_no and camera_name; all NULL when the path has no such key.
 
-    `relative` reads the first three components under `root`."""
+    `relative` reads the first three components under `root`. One regex pass pulls out all parts: a match is
+    rewritten to its parts behind a mark that no path contains."""
     text = F.col(path)
     if mode == "relative" and root:
         prefix = root.rstrip("/\\") + "/"
         text = F.when(text.startswith(prefix), F.expr(f"substring(`{path}`, {len(prefix) + 1})")).otherwise(text)
-    pattern = KEY_PATTERNS[mode]
-    hit = text.rlike(pattern)
-
-    def part(i: int) -> Column:
-        return F.regexp_extract(text, pattern, i)
-
-    date = F.concat_ws("-", pivot_year(F.when(hit, part(1))), part(2), part(3))
-    return df.withColumns({
-        "recording_date": F.when(hit, date),
-        "case_no": F.when(hit, part(4)).try_cast("int"),
-        "camera_name": F.when(hit, part(5)),
-    })
+    marked = df.withColumn("_key", F.regexp_replace(text, KEY_PATTERNS[mode], "\u0001$1\u0001$2\u0001$3\u0001$4"))
+    parts = F.when(F.col("_key").startswith("\u0001"), F.split("_key", "\u0001"))
+    keyed = marked.withColumn("_parts", parts)
+    return keyed.select(
+        *[F.col(c) for c in df.columns if c not in RECORDING_KEY],
+        F.concat_ws("-", pivot_year(F.col("_parts")[1]), F.col("_parts")[2]).alias("recording_date"),
+        F.col("_parts")[3].try_cast("int").alias("case_no"), F.col("_parts")[4].alias("camera_name"),
+    ).withColumn("recording_date", F.when(F.col("camera_name").isNotNull(), F.col("recording_date")))
 
 
 def exclude_junk(df: DataFrame, path: str = "path") -> DataFrame:

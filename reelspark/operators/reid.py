@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelspark.functions import l2_normalise, parse_crop_name
 from reelspark.operators.tracks import _padded, best_detection, touching_edges
-from reelspark.plans.carry import with_group_rank, with_previous, with_running_sum
+from reelspark.plans.carry import BUCKET, FRAME_BUCKET, bucketed, inside, with_group_rank
+from reelspark.plans.folds import Group, fold_groups
 from reelspark.plans.quantiles import exact_quantiles
 from reelspark.plans.tiles import TILE_ROWS, tile_pairs_between, tile_pairs_within, with_tiles
 
@@ -23,13 +24,28 @@ def parsed_crops(crops: DataFrame, name: str = "name") -> DataFrame:
 
 
 def bursts(crops: DataFrame, max_gap: int = 100, size: int = 3) -> DataFrame:
-    """Runs of frames with gaps below `max_gap` per case and video; complete means exactly `size` images."""
+    """Runs of frames with gaps below `max_gap` per case and video; complete means exactly `size` images.
+
+    Runs are found inside buckets of frames and joined up where a run crosses a bucket border, so rows are
+    shuffled once and only run fragments a second time."""
     keys = ["case_no", "video_idx"]
-    near = with_previous(crops, keys, ["frame_id", "name"], ["frame_id"])
-    opens = F.when(F.col("frame_id") - F.col("prev_frame_id") >= max_gap, 1).otherwise(0)
-    numbered = with_running_sum(near, keys, ["frame_id", "name"], opens, "burst_no")
-    return numbered.groupBy(*keys, "burst_no").agg(
-        F.count(F.lit(1)).alias("images"), F.min("frame_id").alias("first_frame"), F.max("frame_id").alias("last_frame")
+    order = ["frame_id", "name"]
+    cut = bucketed(crops, "frame_id", FRAME_BUCKET)
+    gap = F.col("frame_id") - F.lag("frame_id").over(inside(keys, order))
+    flagged = cut.withColumn("_open", F.when(gap >= max_gap, 1).otherwise(0))
+    upto = inside(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+    pieces = flagged.withColumn("_local", F.sum("_open").over(upto)).groupBy(*keys, BUCKET, "_local").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("frame_id").alias("_first"), F.max("frame_id").alias("_last")
+    )
+    along = Window.partitionBy(*keys).orderBy(BUCKET)
+    borders = pieces.groupBy(*keys, BUCKET).agg(
+        F.max("_local").alias("_opens"), F.min("_first").alias("_from"), F.max("_last").alias("_to")
+    ).withColumn("_step", F.when(F.col("_from") - F.lag("_to").over(along) >= max_gap, 1).otherwise(0))
+    earlier = F.coalesce(F.sum("_opens").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = borders.select(*keys, BUCKET, (earlier + F.sum("_step").over(along)).alias("_offset"))
+    joined = pieces.join(offsets, [*keys, BUCKET])
+    return joined.groupBy(*keys, (F.col("_offset") + F.col("_local")).alias("burst_no")).agg(
+        F.sum("_n").alias("images"), F.min("_first").alias("first_frame"), F.max("_last").alias("last_frame")
     ).withColumn("complete", F.col("images") == size)
 
 
@@ -151,48 +167,46 @@ def capture_bursts(
         .filter("chunk >= 0")
     )
 
-    def load(pdf: pd.DataFrame):
-        frame = pdf["frame"].to_numpy()
-        ok = pdf["usable"].to_numpy().astype(bool)
-        lo = int(pdf["chunk"].iloc[0]) * chunk
-        starts = np.sort(frame[ok & (frame >= lo) & (frame < lo + chunk)])
-        return lo, int(pdf["n_frames"].iloc[0]) - 1, starts, set(frame.tolist()), set(frame[ok].tolist())
+    def load(g: Group):
+        frame, ok = g["frame"], g["usable"].astype(bool)
+        lo = int(g["chunk"][0]) * chunk
+        starts = frame[ok & (frame >= lo) & (frame < lo + chunk)]
+        return lo, int(g["n_frames"][0]) - 1, starts, set(frame.tolist()), set(frame[ok].tolist())
 
-    def exits(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, last, starts, good, usable = load(pdf)
+    def exits(g: Group) -> pd.DataFrame:
+        lo, last, starts, good, usable = load(g)
         hi = lo + chunk
         leave = np.full(len(starts) + 1, hi, dtype=np.int64)
         for i in range(len(starts) - 1, -1, -1):
             resume = _follow(int(starts[i]), good, usable, last, size, gap, cooldown)[2]
             leave[i] = resume if resume >= hi else leave[np.searchsorted(starts, resume)]
         entry = np.searchsorted(starts, lo + np.arange(spill + 1))
-        return pd.DataFrame({
-            "video": [pdf["video"].iloc[0]], "chunk": [pdf["chunk"].iloc[0]],
-            "leave": [(leave[entry] - hi).tolist()],
-        })
+        return pd.DataFrame({"video": g["video"][:1], "chunk": g["chunk"][:1], "leave": [(leave[entry] - hi).tolist()]})
 
-    def enter(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values("chunk")
+    def enter(g: Group) -> pd.DataFrame:
         resume, out = 0, []
-        for at, leave in zip(ordered["chunk"], ordered["leave"]):
+        for at, leave in zip(g["chunk"].tolist(), g["leave"]):
             resume = max(resume, at * chunk)
             out.append(resume)
             resume = (at + 1) * chunk + int(leave[resume - at * chunk])
-        return pd.DataFrame({"video": ordered["video"], "chunk": ordered["chunk"], "resume": out})
+        return pd.DataFrame({"video": g["video"], "chunk": g["chunk"], "resume": out})
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, last, starts, good, usable = load(pdf)
-        resume, out = int(pdf["resume"].iloc[0]), []
+    def run(g: Group) -> pd.DataFrame:
+        _, last, starts, good, usable = load(g)
+        resume, out = int(g["resume"][0]), []
         while (i := int(np.searchsorted(starts, resume))) < len(starts):
             saved, outcome, resume = _follow(int(starts[i]), good, usable, last, size, gap, cooldown)
-            out.append((pdf["video"].iloc[0], saved[0], saved, outcome))
+            out.append((g["video"][0], saved[0], saved, outcome))
         return pd.DataFrame(out, columns=["video", "start_frame", "saved", "outcome"])
 
-    maps = rows.groupBy("video", "chunk").applyInPandas(exits, f"video {kind}, chunk bigint, leave array<bigint>")
-    entries = maps.groupBy("video").applyInPandas(enter, f"video {kind}, chunk bigint, resume bigint")
-    return rows.join(entries, ["video", "chunk"]).groupBy("video", "chunk").applyInPandas(
-        run, f"video {kind}, start_frame bigint, saved array<bigint>, outcome string"
-    )
+    # a video that fits one chunk is always entered at its first frame
+    long_videos = rows.filter(F.col("n_frames") > chunk)
+    maps = fold_groups(long_videos, ["video", "chunk"], ["frame"], exits,
+                       f"video {kind}, chunk bigint, leave array<bigint>")
+    entries = fold_groups(maps, ["video"], ["chunk"], enter, f"video {kind}, chunk bigint, resume bigint")
+    placed = rows.join(entries, ["video", "chunk"], "left").fillna(0, ["resume"])
+    return fold_groups(placed, ["video", "chunk"], ["frame"], run,
+                       f"video {kind}, start_frame bigint, saved array<bigint>, outcome string")
 
 
 def capture_totals(captures: DataFrame) -> DataFrame:

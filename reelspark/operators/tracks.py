@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -16,6 +17,7 @@ from reelspark.plans.carry import (
     BUCKET, FRAME_BUCKET, inside, with_earlier_max, with_known_neighbours, with_next, with_previous,
     with_running_sum,
 )
+from reelspark.plans.folds import fold_groups
 from reelspark.plans.quantiles import exact_quantiles
 
 TRACK = ("video", "Track_ID")
@@ -313,32 +315,29 @@ def track_endpoints(kp: DataFrame, ordinal: str | None = None) -> DataFrame:
 _END_NAMES = (("Frame_ID", "frame"), ("Timestamp", "time"), ("centroid_x", "x"), ("centroid_y", "y"))
 
 
-def _greedy_chains(tracks: pd.DataFrame, gap: float, dist: float, overlap: float) -> pd.DataFrame:
-    """Chain fragments of one independent stretch of a video, in start order."""
-    t = tracks.sort_values(["start_time", "Track_ID"], kind="stable").reset_index(drop=True)
-    start, end = t["start_time"].to_numpy(), t["end_time"].to_numpy().copy()
-    at, to = t[["start_x", "start_y"]].to_numpy(), t[["end_x", "end_y"]].to_numpy()
-    owner = np.arange(len(t))
+def _greedy_chains(t: dict[str, np.ndarray], gap: float, dist: float, overlap: float) -> pd.DataFrame:
+    """Chain the fragments of one independent stretch of a video, given in start order."""
+    start, end, ids = t["start_time"].tolist(), t["end_time"].tolist(), t["Track_ID"]
+    at = list(zip(t["start_x"].tolist(), t["start_y"].tolist()))
+    to = list(zip(t["end_x"].tolist(), t["end_y"].tolist()))
+    owner = list(range(len(ids)))
     members = {i: [i] for i in owner}
-    for i in range(len(t)):
+    for i in range(len(ids)):
         mine, until, where = owner[i], end[i], to[i]
-        for j in range(i + 1, len(t)):
+        for j in range(i + 1, len(ids)):
             wait = start[j] - until
             if wait > gap:
                 break
             if owner[j] == mine or wait < -overlap:
                 continue
-            if np.isnan(where[0]) or np.isnan(at[j][0]):
-                apart = 0.0
-            else:
-                apart = float(np.hypot(*(at[j] - where)))
-            if apart <= dist:
+            unknown = math.isnan(where[0]) or math.isnan(at[j][0])
+            if (0.0 if unknown else math.dist(where, at[j])) <= dist:
                 moved = members.pop(owner[j])
-                members[mine] = members[mine] + moved
-                owner[moved] = mine
+                members[mine] += moved
+                for m in moved:
+                    owner[m] = mine
                 until, where = end[j], to[j]
-    ids = t["Track_ID"].to_numpy()
-    return pd.DataFrame({"video": t["video"], "Track_ID": ids, "merged_id": ids[owner]})
+    return pd.DataFrame({"video": t["video"], "Track_ID": ids, "merged_id": ids[np.array(owner)]})
 
 
 def fragment_map(
@@ -354,13 +353,14 @@ def fragment_map(
     opens = F.coalesce(F.col("start_time") - F.col("_latest") > gap, F.lit(False)).cast("long")
     cut = with_running_sum(seen, ["video"], order, opens, "_stretch", width=3600)
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _greedy_chains(pdf, gap, dist, overlap)
+    def chain(columns: dict[str, np.ndarray]) -> pd.DataFrame:
+        return _greedy_chains(columns, gap, dist, overlap)
 
     schema = f"video {dict(kp.dtypes)['video']}, Track_ID bigint, merged_id bigint"
-    slim = cut.select("video", F.col("Track_ID").cast("bigint").alias("Track_ID"), "_stretch", "start_time",
-                      "end_time", "start_x", "start_y", "end_x", "end_y")
-    return slim.groupBy("video", "_stretch").applyInPandas(chain, schema)
+    nan = F.lit(float("nan"))
+    slim = cut.select("video", F.col("Track_ID").cast("bigint").alias("Track_ID"), "_stretch", "start_time", "end_time",
+                      *[F.coalesce(c, nan).alias(c) for c in ("start_x", "start_y", "end_x", "end_y")])
+    return fold_groups(slim, ["video", "_stretch"], order, chain, schema)
 
 
 def merge_fragments(
@@ -406,6 +406,33 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], time: str | None = "T
     return near.select(*[value(c).alias(c) if c in targets else F.col(c) for c in df.columns])
 
 
+def fill_gaps(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str = "Timestamp") -> DataFrame:
+    """`reindex_frames` followed by `interpolate_linear`, in one go.
+
+    Neighbours are looked up among the measured rows only; the added frames, usually most of the result, are then
+    computed from the row before them without any further window."""
+    targets = [*cols, time]
+    first = kp.groupBy(*TRACK, "Frame_ID").agg(
+        F.min_by(F.struct(*[no_nan(c).alias(c) for c in targets]), ordinal).alias("_row")
+    ).select(*TRACK, "Frame_ID", *[F.col("_row")[c].alias(c) for c in targets])
+    near = with_known_neighbours(first, TRACK, "Frame_ID", targets)
+    # what the added frames after this row see ahead: the next row's view
+    seen = with_next(near, TRACK, ["Frame_ID"], ["Frame_ID", *[f"_hi_{c}" for c in targets]])
+    until = F.coalesce(F.col("next_Frame_ID") - 1, F.col("Frame_ID"))
+    grid = seen.withColumn("_frame", F.explode(F.sequence("Frame_ID", until)))
+    added = F.col("_frame") > F.col("Frame_ID")
+
+    def value(c: str) -> Column:
+        lo = F.col(f"_lo_{c}")
+        hi_at = F.when(added, F.col(f"next__hi_{c}")["at"]).otherwise(F.col(f"_hi_{c}")["at"])
+        hi = F.when(added, F.col(f"next__hi_{c}")["value"]).otherwise(F.col(f"_hi_{c}")["value"])
+        share = F.try_divide((F.col("_frame") - lo["at"]).cast("double"), (hi_at - lo["at"]).cast("double"))
+        between = lo["value"] + (hi - lo["value"]) * F.coalesce(share, F.lit(0.0))
+        return F.coalesce(between, lo["value"] if c == time else F.coalesce(lo["value"], hi))
+
+    return grid.select(*TRACK, F.col("_frame").alias("Frame_ID"), value(time).alias(time), *[value(c).alias(c) for c in cols])
+
+
 def smooth_centered(df: DataFrame, cols: Sequence[str], window: int = 5) -> DataFrame:
     """Centred mean over `window` rows of a track, fewer at its ends; frames are consecutive.
 
@@ -433,8 +460,7 @@ def clean_tracks(
     coords = [c for c in points if not c.endswith("_conf")]
     kept = drop_short_tracks(kp, min_sec)
     merged = merge_fragments(track_centroid(kept, [k for k in TORSO if k in keypoints]), gap, dist, ordinal=ordinal)
-    grid = reindex_frames(merged, ordinal, ["Timestamp", *points])
-    filled = interpolate_linear(grid, points)
+    filled = fill_gaps(merged, ordinal, points)
     return smooth_centered(filled, coords, window).orderBy("video", "Frame_ID", "Track_ID")
 
 

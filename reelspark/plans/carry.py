@@ -29,12 +29,13 @@ def carry(
     before: dict[str, Callable[[WindowSpec], Column]] | None = None,
     after: dict[str, Callable[[WindowSpec], Column]] | None = None,
 ) -> DataFrame:
-    """Attach values folded over all earlier (`before`) or later (`after`) buckets of the same group."""
+    """Attach values folded over all earlier (`before`) or later (`after`) buckets of the same group.
+
+    Both windows run outwards from the bucket's own side: `last` is the nearest bucket in either direction."""
     group = [*keys, BUCKET]
     per_bucket = df.groupBy(*group).agg(*[c.alias(n) for n, c in summaries.items()])
-    w = Window.partitionBy(*keys).orderBy(BUCKET)
-    ahead = w.rowsBetween(Window.unboundedPreceding, -1)
-    behind = w.rowsBetween(1, Window.unboundedFollowing)
+    ahead = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy(*keys).orderBy(F.desc(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_bucket.select(
         *group,
         *[f(ahead).alias(n) for n, f in (before or {}).items()],
@@ -71,7 +72,7 @@ def with_next(
     cut = carry(
         bucketed(df, order[0], width), keys,
         {"_edge": F.min_by(row, F.struct(*order))},
-        after={"_carried": lambda w: F.first("_edge", ignorenulls=True).over(w)},
+        after={"_carried": lambda w: F.last("_edge", ignorenulls=True).over(w)},
     )
     near = cut.withColumn("_near", F.coalesce(F.lead(row).over(inside(keys, order)), F.col("_carried")))
     return near.select(*df.columns, *[F.col("_near")[c].alias(prefix + c) for c in cols])
@@ -125,18 +126,18 @@ def with_known_neighbours(
             before[f"_cl_{c}"] = lambda w, c=c: F.last(f"_max_{c}", ignorenulls=True).over(w)
         if "after" in sides:
             summaries[f"_min_{c}"] = F.min_by(known(c), F.when(F.col(c).isNotNull(), F.col(order)))
-            after[f"_ch_{c}"] = lambda w, c=c: F.first(f"_min_{c}", ignorenulls=True).over(w)
+            after[f"_ch_{c}"] = lambda w, c=c: F.last(f"_min_{c}", ignorenulls=True).over(w)
     cut = carry(staged, keys, summaries, before, after)
-    w = inside(keys, [order])
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    fore = w.rowsBetween(0, Window.unboundedFollowing)
+    # looking ahead is looking back in descending order: a frame that shrinks from the front would rescan its rows
+    back = inside(keys, [order]).rowsBetween(Window.unboundedPreceding, 0)
+    fore = Window.partitionBy(*keys, BUCKET).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
     out = []
     for c in cols:
         if "before" in sides:
             near = F.last(known(c), ignorenulls=True).over(back)
             out.append(F.coalesce(near, F.col(f"_cl_{c}")).alias(f"_lo_{c}"))
         if "after" in sides:
-            near = F.first(known(c), ignorenulls=True).over(fore)
+            near = F.last(known(c), ignorenulls=True).over(fore)
             out.append(F.coalesce(near, F.col(f"_ch_{c}")).alias(f"_hi_{c}"))
     return cut.select(*df.columns, *out)
 
