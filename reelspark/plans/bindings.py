@@ -12,16 +12,11 @@ from reelspark.constants import CAMERAS
 ORIGIN = 1704067200  # 2024-01-01, the first day of the events table
 
 
-SPREAD_BYTES = 64 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. A file far below one split per core is spread out; larger tables are read as they are."""
+    """A driver table. A file with fewer splits than cores is spread out first; a large table is read as it is."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    small = 1 << 20 < int(size.toString()) < SPREAD_BYTES
-    return df.repartition(cores) if small else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _camera(key: Column) -> Column:
