@@ -122,11 +122,20 @@ def largest_file(files: DataFrame, root_label: str = "") -> DataFrame:
 
 
 def expected_grid(scan: DataFrame, cameras: Sequence[str] = CAMERAS) -> DataFrame:
-    """Every case with every expected camera; combinations without a file have status 3."""
-    cases = scan.select("recording_date", "case_no").distinct()
-    grid = cases.withColumn("camera_name", F.explode(F.array(*map(F.lit, cameras))))
-    joined = grid.join(scan, list(RECORDING_KEY), "left")
-    return joined.withColumn("status", F.coalesce("status", F.lit(3)))
+    """Every case with every expected camera; combinations without a file have status 3.
+
+    `scan` has one row per recording. The rows of a case are laid out per camera in a single aggregation, so the
+    scan is read once and nothing is joined."""
+    rest = [c for c in scan.columns if c not in RECORDING_KEY]
+    row = F.struct(*rest)
+    per_case = scan.groupBy("recording_date", "case_no").agg(F.array(*[
+        F.struct(F.lit(c).alias("camera_name"), F.max(F.when(F.col("camera_name") == c, row)).alias("_row"))
+        for c in cameras
+    ]).alias("_grid"))
+    flat = per_case.select("recording_date", "case_no", F.inline("_grid"))
+    values = [F.col("_row")[c].alias(c) for c in rest if c != "status"]
+    status = F.coalesce(F.col("_row")["status"], F.lit(3)).alias("status")
+    return flat.select(*RECORDING_KEY, *values, status)
 
 
 def _camera_rows(df: DataFrame, cameras: Sequence[str]) -> DataFrame:

@@ -96,7 +96,7 @@ def _black() -> Column:
 
 def black_periods(videos: DataFrame, keep: list[str]) -> DataFrame:
     """Hidden periods of videos prepared by `with_valid_ranges`; a video without intervals has none."""
-    return videos.filter(F.size("ranges") > 0).select(*keep, F.inline(_black()))
+    return videos.select(*keep, F.inline(_black()))
 
 
 def black_segments(videos: DataFrame, keep: list[str], duration: str = "duration_s") -> DataFrame:
@@ -121,9 +121,9 @@ def redaction_coverage(videos: DataFrame, keep: list[str]) -> DataFrame:
     def total(spans: Column) -> Column:
         return F.aggregate(spans, F.lit(0.0), lambda acc, r: acc + r["end_s"] - r["start_s"])
 
-    shown = videos.filter(F.size("ranges") > 0).withColumns(
-        {"case_s": total(F.col("ranges")), "black_s": total(_black())}
-    )
+    # videos without intervals leave through the generator: a filter would be pushed down and rebuild the intervals
+    row = F.struct("trimmed_s", total(F.col("ranges")).alias("case_s"), total(_black()).alias("black_s"))
+    shown = videos.select(*keep, F.inline(F.when(F.size("ranges") > 0, F.array(row))))
     return shown.select(
         *keep, "trimmed_s", "case_s", "black_s",
         F.try_divide(F.col("case_s") * 100.0, F.col("trimmed_s")).alias("case_pct"),

@@ -415,22 +415,23 @@ def fill_gaps(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str = "Tim
     first = kp.groupBy(*TRACK, "Frame_ID").agg(
         F.min_by(F.struct(*[no_nan(c).alias(c) for c in targets]), ordinal).alias("_row")
     ).select(*TRACK, "Frame_ID", *[F.col("_row")[c].alias(c) for c in targets])
-    near = with_known_neighbours(first, TRACK, "Frame_ID", targets)
-    # what the added frames after this row see ahead: the next row's view
-    seen = with_next(near, TRACK, ["Frame_ID"], ["Frame_ID", *[f"_hi_{c}" for c in targets]])
-    until = F.coalesce(F.col("next_Frame_ID") - 1, F.col("Frame_ID"))
-    grid = seen.withColumn("_frame", F.explode(F.sequence("Frame_ID", until)))
-    added = F.col("_frame") > F.col("Frame_ID")
-
-    def value(c: str) -> Column:
-        lo = F.col(f"_lo_{c}")
-        hi_at = F.when(added, F.col(f"next__hi_{c}")["at"]).otherwise(F.col(f"_hi_{c}")["at"])
-        hi = F.when(added, F.col(f"next__hi_{c}")["value"]).otherwise(F.col(f"_hi_{c}")["value"])
-        share = F.try_divide((F.col("_frame") - lo["at"]).cast("double"), (hi_at - lo["at"]).cast("double"))
-        between = lo["value"] + (hi - lo["value"]) * F.coalesce(share, F.lit(0.0))
-        return F.coalesce(between, lo["value"] if c == time else F.coalesce(lo["value"], hi))
+    near = with_known_neighbours(first, TRACK, "Frame_ID", ["Frame_ID", *targets], sides=("before", "beyond"))
 
-    return grid.select(*TRACK, F.col("_frame").alias("Frame_ID"), value(time).alias(time), *[value(c).alias(c) for c in cols])
+    def line(c: str) -> Column:
+        """Value at the row and slope up to the next row."""
+        lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
+        slope = F.coalesce((hi["value"] - lo["value"]) / (hi["at"] - lo["at"]), F.lit(0.0))
+        start = lo["value"] + slope * (F.col("Frame_ID") - lo["at"])
+        return F.struct((start if c == time else F.coalesce(start, hi["value"])).alias("v"), slope.alias("s"))
+
+    lines = near.select(*TRACK, "Frame_ID", F.col("_hi_Frame_ID")["at"].alias("_next"), *[line(c).alias(c) for c in targets])
+    flat = lines.select(*TRACK, "Frame_ID", "_next", *[F.col(c)[p].alias(f"{c}_{p}") for c in targets for p in ("v", "s")])
+    until = F.coalesce(F.col("_next") - 1, F.col("Frame_ID"))
+    grid = flat.withColumn("_frame", F.explode(F.sequence("Frame_ID", until)))
+    step = F.col("_frame") - F.col("Frame_ID")
+    return grid.select(
+        *TRACK, F.col("_frame").alias("Frame_ID"), *[(F.col(f"{c}_v") + F.col(f"{c}_s") * step).alias(c) for c in [time, *cols]]
+    )
 
 
 def smooth_centered(df: DataFrame, cols: Sequence[str], window: int = 5) -> DataFrame:
@@ -453,15 +454,18 @@ def union_tracks(parts: Sequence[DataFrame]) -> DataFrame:
 
 def clean_tracks(
     kp: DataFrame, ordinal: str, keypoints: Sequence[str] = KEYPOINTS, min_sec: float = 1.5, gap: float = 3.0,
-    dist: float = 300.0, window: int = 5,
+    dist: float = 300.0, window: int = 5, ordered: bool = True,
 ) -> DataFrame:
-    """Drop short tracks, merge fragments, fill every frame, interpolate and smooth, by frame and track."""
+    """Drop short tracks, merge fragments, fill every frame, interpolate and smooth, by frame and track.
+
+    A global order samples the finished rows once more; `ordered=False` leaves sorting to the writer."""
     points = [f"{k}_{p}" for k in keypoints for p in ("x", "y", "conf")]
     coords = [c for c in points if not c.endswith("_conf")]
     kept = drop_short_tracks(kp, min_sec)
     merged = merge_fragments(track_centroid(kept, [k for k in TORSO if k in keypoints]), gap, dist, ordinal=ordinal)
     filled = fill_gaps(merged, ordinal, points)
-    return smooth_centered(filled, coords, window).orderBy("video", "Frame_ID", "Track_ID")
+    smoothed = smooth_centered(filled, coords, window)
+    return smoothed.orderBy("video", "Frame_ID", "Track_ID") if ordered else smoothed
 
 
 def track_motion(kp: DataFrame, ordinal: str, conf: str = "conf") -> DataFrame:

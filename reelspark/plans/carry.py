@@ -112,31 +112,36 @@ def with_known_neighbours(
     df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
     width: float = FRAME_BUCKET, sides: Sequence[str] = ("before", "after"),
 ) -> DataFrame:
-    """Nearest known value at or before (`_lo_<c>`) and at or after (`_hi_<c>`) each row, each as
-    struct<at, value> with its position. `order` must be unique inside a group."""
+    """Nearest known value around each row as struct<at, value> with its position.
+
+    `before`: at or before the row, `_lo_<c>`; `after`: at or after it, `_hi_<c>`; `beyond`: strictly after it,
+    also `_hi_<c>`. `order` must be unique inside a group."""
 
     def known(c: str) -> Column:
         return F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("at"), F.col(c).alias("value")))
 
     staged = bucketed(df, order, width)
+    ahead = "after" in sides or "beyond" in sides
     summaries, before, after = {}, {}, {}
     for c in cols:
         if "before" in sides:
             summaries[f"_max_{c}"] = F.max_by(known(c), F.when(F.col(c).isNotNull(), F.col(order)))
             before[f"_cl_{c}"] = lambda w, c=c: F.last(f"_max_{c}", ignorenulls=True).over(w)
-        if "after" in sides:
+        if ahead:
             summaries[f"_min_{c}"] = F.min_by(known(c), F.when(F.col(c).isNotNull(), F.col(order)))
             after[f"_ch_{c}"] = lambda w, c=c: F.last(f"_min_{c}", ignorenulls=True).over(w)
     cut = carry(staged, keys, summaries, before, after)
     # looking ahead is looking back in descending order: a frame that shrinks from the front would rescan its rows
     back = inside(keys, [order]).rowsBetween(Window.unboundedPreceding, 0)
-    fore = Window.partitionBy(*keys, BUCKET).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    fore = Window.partitionBy(*keys, BUCKET).orderBy(F.desc(order)).rowsBetween(
+        Window.unboundedPreceding, -1 if "beyond" in sides else 0
+    )
     out = []
     for c in cols:
         if "before" in sides:
             near = F.last(known(c), ignorenulls=True).over(back)
             out.append(F.coalesce(near, F.col(f"_cl_{c}")).alias(f"_lo_{c}"))
-        if "after" in sides:
+        if ahead:
             near = F.last(known(c), ignorenulls=True).over(fore)
             out.append(F.coalesce(near, F.col(f"_ch_{c}")).alias(f"_hi_{c}"))
     return cut.select(*df.columns, *out)

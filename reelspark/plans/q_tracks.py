@@ -234,7 +234,7 @@ def _(s, d):
 
 @query("clean_tracks")
 def _(s, d):
-    return rounded(K.clean_tracks(B.tracks(s, d), "ordinal", TORSO))
+    return rounded(K.clean_tracks(B.tracks(s, d), "ordinal", TORSO, ordered=False))
 
 
 GRID = """

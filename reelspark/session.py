@@ -14,6 +14,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .appName("reelspark")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # small shuffles keep their partitions: local runs are bound by cores, not by bytes
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")

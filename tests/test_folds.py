@@ -307,3 +307,18 @@ def test_balanced_sample_is_even_over_cases(spark):
     got = reid.balanced_sample(crops, 4000, seed=1).groupBy("case_no").count().collect()
     assert sum(r["count"] for r in got) == 4000
     assert all(1800 < r["count"] < 2200 for r in got)
+
+
+def test_fused_fill_equals_the_two_steps(spark):
+    rng = random.Random(8)
+    rows = [("v", t, f, f / 30, i, rng.uniform(0, 9) if rng.random() < 0.6 else None, rng.uniform(0, 9))
+            for t in (1, 2) for i, f in enumerate(rng.sample(range(300), 60))]
+    kp = spark.createDataFrame(rows, "video string, Track_ID bigint, Frame_ID bigint, Timestamp double, ordinal bigint, a_x double, a_y double")
+    cols = ["a_x", "a_y"]
+    steps = tracks.interpolate_linear(tracks.reindex_frames(kp, "ordinal", ["Timestamp", *cols]), cols)
+    fused = tracks.fill_gaps(kp, "ordinal", cols)
+    key = ["Track_ID", "Frame_ID"]
+    a, b = (d.select(*key, "Timestamp", *cols).toPandas().sort_values(key) for d in (steps, fused))
+    assert len(a) == len(b)
+    for c in (*key, "Timestamp", *cols):
+        assert b[c].tolist() == pytest.approx(a[c].tolist(), nan_ok=True), c
