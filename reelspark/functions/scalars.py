@@ -48,17 +48,13 @@ def date_from_filename(name: str | Column) -> Column:
 
 
 def timestamp_from_stem(stem: str | Column) -> Column:
-    """Capture time of a file stem; a fraction is dropped, an 8-character date is month first."""
-    base = F.substring_index(col(stem), ".", 1)
-    date = F.substring_index(base, "_", 1)
-    clock = F.translate(F.substring_index(base, "_", -1), "-", ":")
-    short = F.concat(
-        pivot_year(F.when(date.rlike(r"^\d{2}-\d{2}-\d{2}$"), F.substring(date, 7, 2))),
-        F.lit("-"),
-        F.substring(date, 1, 5),
-    )
-    iso = F.when(F.length(date) == 8, short).otherwise(date)
-    return F.try_to_timestamp(F.concat_ws(" ", iso, clock), F.lit("yyyy-MM-dd HH:mm:ss"))
+    """Capture time of a file stem; a fraction is dropped, an 8-character date is month first.
+
+    The two century rules are written as rewrites, so the stem occurs once in the expression."""
+    text = F.substring_index(col(stem), ".", 1)
+    text = F.regexp_replace(text, r"^(\d\d)-(\d\d)-([0-6]\d)_", "20$3-$1-$2_")
+    text = F.regexp_replace(text, r"^(\d\d)-(\d\d)-([7-9]\d)_", "19$3-$1-$2_")
+    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd_HH-mm-ss"))
 
 
 def date_from_mtime(ts: str | Column) -> Column:

@@ -92,11 +92,11 @@ def tag_undersized(channel: str | Column, size: str | Column, min_bytes: int = S
 
 def map_channels(channel: str | Column, cameras: Sequence[str] = CAMERAS) -> Column:
     """Camera whose name equals the channel up to case, blanks and underscores; the first match wins."""
-    key = normalise_channel(channel)
-    mapped = F.lit("Unknown")
-    for camera in reversed(cameras):
-        mapped = F.when(key == camera.lower().replace("_", "").replace(" ", ""), camera).otherwise(mapped)
-    return mapped
+    known: dict[str, str] = {}
+    for camera in cameras:
+        known.setdefault(camera.lower().replace("_", "").replace(" ", ""), camera)
+    table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, normalise_channel(channel)), F.lit("Unknown"))
 
 
 def select_camera(df: DataFrame, spellings: Sequence[str]) -> DataFrame:
@@ -206,10 +206,8 @@ def backup_rate(src: DataFrame, dst: DataFrame) -> DataFrame:
 
 
 def _with_stem(files: DataFrame) -> DataFrame:
-    name = file_name("path")
-    return files.withColumns({
-        "dir": directory("path"), "stem": container_stem(name), "ext": extension(name),
-    })
+    named = files.withColumns({"dir": directory("path"), "_name": file_name("path")})
+    return named.withColumns({"stem": container_stem("_name"), "ext": extension("_name")}).drop("_name")
 
 
 def orphan_companions(files: DataFrame) -> DataFrame:
@@ -366,12 +364,12 @@ def copy_plan(files: DataFrame, dest_root: str, cameras: Sequence[str] = CAMERAS
 
     `files` holds path and length; the capture stamp is the container's stem and the channel its directory.
     A container below the size threshold goes to `<channel>_JUNK` together with its companions."""
-    parts = _with_stem(files).withColumn("channel", parent_dir("path"))
-    at = timestamp_from_stem("stem")
+    parts = _with_stem(files)
     seqs = (
-        parts.filter((F.col("ext") == ".seq") & at.isNotNull())
-        .withColumn("target", tag_undersized(map_channels("channel", cameras), "length"))
-        .withColumn("date", F.date_format(at, "yy-MM-dd"))
+        parts.filter(F.col("ext") == ".seq")
+        .withColumns({"_at": timestamp_from_stem("stem"), "_channel": map_channels(parent_dir("path"), cameras)})
+        .withColumns({"date": F.date_format("_at", "yy-MM-dd"), "target": tag_undersized("_channel", "length")})
+        .filter(F.col("date").isNotNull())
         .select("dir", "stem", "date", "target", F.col("stem").alias("stamp"))
     )
     placed = group_cases(seqs)

@@ -244,13 +244,13 @@ def _(s, d):
 
 
 RESULTS_SQL = """
-    SELECT *, clicks <> 11 AS success, CAST(frame_count * 0.01 AS DOUBLE) AS dur, frame_count AS fr FROM g"""
+    SELECT *, clicks <> 11 AS success, CAST(frame_count AS DOUBLE) * 0.013::DOUBLE AS dur, frame_count AS fr FROM g"""
 
 
 def results(s, d):
     c = cams(s, d).withColumn("sync_group", R.pick_group("camera_name"))
     return c.select("recording_date", "case_no", "sync_group", "camera_name", (F.col("clicks") != 11).alias("success"),
-                    (F.col("frame_count") * 0.01).alias("duration"), F.col("frame_count").alias("frames"),
+                    (F.col("frame_count") * 0.013).alias("duration"), F.col("frame_count").alias("frames"),
                     F.lit("run").alias("run_id"), (F.col("clicks") < 5).alias("skipped"),
                     F.col("frame_count").cast("double").alias("elapsed"))
 
@@ -277,8 +277,8 @@ def _(s, d):
 
 
 @query("output_drift", with_cams(f"""
-    SELECT {SESSION}, camera_name, round(CAST(frame_count * 0.01 AS DOUBLE), 6) AS duration, round(b - a, 3) AS expected,
-           round(abs(CAST(frame_count * 0.01 AS DOUBLE) - (b - a)), 3) AS drift
+    SELECT {SESSION}, camera_name, round(CAST(frame_count AS DOUBLE) * 0.013::DOUBLE, 6) AS duration, round(b - a, 3) AS expected,
+           round(abs(CAST(frame_count AS DOUBLE) * 0.013::DOUBLE - (b - a)), 3) AS drift
     FROM (SELECT *, min(t_start) OVER w AS a, max(t_end) OVER w AS b FROM g WINDOW w AS (PARTITION BY {SESSION}))"""))
 def _(s, d):
     out = R.output_drift(results(s, d), R.session_timeline(cams(s, d)))
