@@ -92,10 +92,8 @@ def drop_summary(enriched: DataFrame) -> DataFrame:
         F.coalesce(F.sum(dropped), F.lit(0)).alias("total_dropped"),
         F.count_if(F.col("n_counter_resets") > 0).alias("files_with_resets"),
     )
-    median = exact_quantiles(
-        rows.filter(some).withColumn("_one", F.lit(1)), ["_one"], "dropped_frames", {"median_dropped": 0.5}
-    )
-    return flat.withColumn("_one", F.lit(1)).join(median, "_one", "left").drop("_one")
+    median = exact_quantiles(rows.filter(some), [], "dropped_frames", {"median_dropped": 0.5})
+    return flat.withColumn("median_dropped", median.scalar())
 
 
 TIMING_METRICS = ("time_drift_ms", "max_time_gap_ms", "actual_duration")
@@ -117,9 +115,8 @@ def value_distribution(df: DataFrame, column: str) -> DataFrame:
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    total = counts.agg(F.sum("n").alias("_total")).withColumn("_one", F.lit(1))
-    shared = counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
-    return shared.select("value", "n", (F.col("n") / F.col("_total")).alias("share")).orderBy("value")
+    total = counts.select(F.sum("n")).scalar()
+    return counts.withColumn("share", F.col("n") / total).orderBy("value")
 
 
 def group_drop_table(df: DataFrame, column: str) -> DataFrame:

@@ -66,15 +66,15 @@ def crop_counts(crops: DataFrame) -> DataFrame:
 
 def crop_stats(crops: DataFrame) -> DataFrame:
     """One row: images, identities, mean, median, population deviation, extremes and parse failures."""
-    counts = crop_counts(crops).withColumn("_one", F.lit(1))
-    flat = counts.groupBy("_one").agg(
-        F.sum("images").alias("total_images"), F.count(F.lit(1)).alias("identities"),
+    counts = crop_counts(crops)
+    flat = counts.agg(
+        F.coalesce(F.sum("images"), F.lit(0)).alias("total_images"), F.count(F.lit(1)).alias("identities"),
         F.avg("images").alias("mean_images"), F.stddev_pop("images").alias("std_images"),
         F.min("images").alias("min_images"), F.max("images").alias("max_images"),
     )
-    median = exact_quantiles(counts, ["_one"], "images", {"median_images": 0.5})
-    failed = crops.agg(F.count_if(F.col("case_no").isNull()).alias("parse_failures")).withColumn("_one", F.lit(1))
-    return failed.join(flat, "_one", "left").join(median, "_one", "left").drop("_one")
+    failed = crops.select(F.count_if(F.col("case_no").isNull()))
+    median = exact_quantiles(counts, [], "images", {"median_images": 0.5})
+    return flat.withColumns({"parse_failures": failed.scalar(), "median_images": median.scalar()})
 
 
 def balance_weights(crops: DataFrame, case: str = "case_no") -> DataFrame:
@@ -92,14 +92,9 @@ def balanced_sample(crops: DataFrame, n: int, seed: int, case: str = "case_no",
         crops.groupBy(case).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_all", F.lit(1)),
         ["_all"], [case], F.md5(F.col(case).cast("string")), "_case_at",
     )
-    total = cases.agg(F.count(F.lit(1)).alias("_cases")).withColumn("_all", F.lit(1))
-    draws = (
-        crops.sparkSession.range(n).withColumn("_all", F.lit(1)).join(F.broadcast(total), "_all")
-        .select(
-            F.col("id").alias("draw"),
-            F.floor(_uniform("id", seed) * F.col("_cases")).alias("_case_at"),
-            _uniform("id", seed + 1).alias("_u"),
-        )
+    total = cases.select(F.count(F.lit(1))).scalar()
+    draws = crops.sparkSession.range(n).select(
+        F.col("id").alias("draw"), F.floor(_uniform("id", seed) * total).alias("_case_at"), _uniform("id", seed + 1).alias("_u")
     )
     placed = draws.join(cases.drop("_all"), "_case_at").select(
         "draw", case, F.floor(F.col("_u") * F.col("_rows")).alias("_row_at")

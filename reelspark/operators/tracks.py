@@ -209,11 +209,9 @@ def track_profile(kp: DataFrame) -> DataFrame:
 def track_shares(kp: DataFrame, k: int = 10) -> DataFrame:
     """The k longest tracks with their share of all rows in percent."""
     counts = kp.groupBy("Track_ID").agg(F.count(F.lit(1)).alias("n"))
-    total = kp.agg(F.count(F.lit(1)).alias("_total")).withColumn("_one", F.lit(1))
-    top = counts.orderBy(F.desc("n"), "Track_ID").limit(k).withColumn("_one", F.lit(1))
-    return top.join(F.broadcast(total), "_one").select(
-        "Track_ID", "n", (F.col("n") * 100.0 / F.col("_total")).alias("pct")
-    )
+    total = kp.select(F.count(F.lit(1))).scalar()
+    top = counts.orderBy(F.desc("n"), "Track_ID").limit(k)
+    return top.withColumn("pct", F.col("n") * 100.0 / total)
 
 
 def _confident(k: str, threshold: float) -> Column:

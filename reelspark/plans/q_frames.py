@@ -251,7 +251,7 @@ def results(s, d):
     c = cams(s, d).withColumn("sync_group", R.pick_group("camera_name"))
     return c.select("recording_date", "case_no", "sync_group", "camera_name", (F.col("clicks") != 11).alias("success"),
                     (F.col("frame_count") * 0.013).alias("duration"), F.col("frame_count").alias("frames"),
-                    F.lit("run").alias("run_id"), (F.col("clicks") < 5).alias("skipped"),
+                    F.substring("recording_date", 1, 4).alias("run_id"), (F.col("clicks") < 5).alias("skipped"),
                     F.col("frame_count").cast("double").alias("elapsed"))
 
 
@@ -261,7 +261,7 @@ DRIFT = """
            CASE WHEN max(abs(dur - d0)) OVER w < 0.034 THEN 'ok' WHEN max(abs(dur - d0)) OVER w < 0.1 THEN 'marginal'
                 ELSE 'failed' END AS verdict
     FROM (SELECT *, first_value(dur) OVER o AS d0, first_value(fr) OVER o AS f0, count(*) OVER (PARTITION BY {keys}) AS n
-          FROM (SELECT *, 'run' AS run_id FROM ({res})) WHERE success
+          FROM (SELECT *, left(recording_date, 4) AS run_id FROM ({res})) WHERE success
           WINDOW o AS (PARTITION BY {keys} ORDER BY case_no, camera_name, recording_date))
     WHERE n >= 2 WINDOW w AS (PARTITION BY {keys})"""
 

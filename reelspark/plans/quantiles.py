@@ -15,16 +15,20 @@ VALUE_BUCKETS = 1024
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """One row per group with a column per named probability; NULL values are ignored."""
+    """One row per group with a column per named probability; NULL values are ignored.
+
+    Without keys the whole table is one group; its windows then only see the bucket summaries, VALUE_BUCKETS + 1 rows."""
     keys = list(keys)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    span = counts.groupBy(*keys).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")
-    )
+    span = {"_lo": F.min("_v"), "_hi": F.max("_v"), "_total": F.sum("_n")}
+    if keys:
+        spanned = counts.join(counts.groupBy(*keys).agg(*[c.alias(n) for n, c in span.items()]), keys)
+    else:
+        spanned = counts.withColumns({n: counts.select(c).scalar() for n, c in span.items()})
     share = F.coalesce(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
-    staged = counts.join(span, keys).withColumn(BUCKET, F.floor(share * VALUE_BUCKETS))
+    staged = spanned.withColumn(BUCKET, F.floor(share * VALUE_BUCKETS))
     cut = carry(
         staged, keys, {"_part": F.sum("_n")},
         before={"_earlier": lambda w: F.sum("_part").over(w)},
