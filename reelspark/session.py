@@ -1,10 +1,8 @@
-"""Session defaults. On a cluster every setting that is already present wins."""
+"""Session for tests and the bench; cluster jobs bring their own."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "16g") -> SparkSession:
@@ -24,12 +22,3 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder the cluster names; a temporary folder only when none is set."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint(eager=True)
