@@ -114,8 +114,8 @@ def with_next(rows: DataFrame, key: str, value: str) -> DataFrame:
     })
     groups = following(rows.select(F.col("_g").alias("k")).distinct())
     heads = near.filter("_first").select(F.col("_g").alias("next"), F.col(value).alias("_head"))
-    linked = groups.join(heads, "next").select(F.col("k").alias("_g"), F.lit(True).alias("_last"), "_head")
-    found = near.join(linked, ["_g", "_last"], "left")
+    linked = groups.join(heads, "next").select(F.col("k").alias("_g"), "_head")
+    found = near.join(linked, "_g", "left")  # rows are dealt and sorted by _g already
     return found.select(key, value, F.when(F.col("_last"), F.col("_head")).otherwise(F.col("_near")).alias(f"next_{value}"))
 
 
