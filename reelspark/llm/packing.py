@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from reelspark.llm.common import query, table, written
@@ -16,8 +17,8 @@ from reelspark.llm.common import query, table, written
 CAPACITY = 1024
 END = 2
 TOKENIZER = "byte_bpe_50k.json"
-#: Pieces of one length that one task ranks, about.
-RANKED = 20_000
+#: Pieces of one length that are ranked together, about.
+RANKED = 1000
 
 #: Fixed value: the published splitting pattern of this kind of byte-level vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -53,18 +54,24 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     `capacity` are cut; the first piece takes what the others, of full length, leave. Repeated rows are cut each."""
     path = path or tokenizer_path()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = np.array([*enc.encode_ordinary(text or ""), end], "<u4")
-                first = len(ids) % capacity or capacity
-                bounds = [0, *range(first, len(ids) + 1, capacity)]
-                rows += [(doc_id, k, a, b - a, ids[a:b].tobytes()) for k, (a, b) in enumerate(zip(bounds, bounds[1:]))]
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"]).astype({"doc_id": "Int64"})
-
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(
+            for at in range(0, batch.num_rows, 200):  # few texts at a time, to keep batches small
+                rows = []
+                some = batch.slice(at, 200)
+                for doc_id, text in zip(some["doc_id"].to_pylist(), some["text"].to_pylist()):
+                    ids = np.array([*enc.encode_ordinary(text or ""), end], "<u4")
+                    first = len(ids) % capacity or capacity
+                    bounds = [0, *range(first, len(ids) + 1, capacity)]
+                    rows += [
+                        (doc_id, k, a, b - a, ids[a:b].tobytes()) for k, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+                columns = [pa.array(c, t.type) for c, t in zip(zip(*rows), schema)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
         cut, "doc_id bigint, piece int, start bigint, length bigint, ids binary")
 
 
@@ -134,9 +141,9 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     input gives no rows; repeated rows take a place each. `pieces` is read twice and should be a written table."""
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    buckets = max(1, sum(counts.values()) // RANKED)
+    buckets = F.lit([counts.get(length, 0) // RANKED + 1 for length in range(capacity + 1)])[F.col("length").cast("int")]
     keys = [c for c in ("doc_id", "piece", "start", "ids_crc32") if c in pieces.columns]
-    dealt = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    dealt = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*keys), buckets))
     sizes = dealt.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     earlier = W.partitionBy("length").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     first = sizes.select("length", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
