@@ -326,8 +326,9 @@ def _listed(spans: Column) -> Column:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = personal_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     base = F.filter("personal", lambda s: s["base"])
-    counts = [
-        F.size(F.filter("personal", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("bigint").alias(f"n_{k}")
-        for k in BASE]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("personal", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint").alias(f"n_{kind}")
+
     return rows.select(
-        "doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("personal")).alias("spans"))
+        "doc_id", *map(count, BASE), F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("personal")).alias("spans"))
