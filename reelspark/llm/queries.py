@@ -1,6 +1,6 @@
 """All queries of the operators, with their oracle SQL where there is one."""
 
-from reelspark.llm import decontamination, extraction, fingerprints, licenses, packing, personal, sharding, toxicity, warc  # noqa: F401
+from reelspark.llm import decontamination, extraction, fingerprints, jaccard, licenses, packing, personal, sharding, toxicity, warc  # noqa: F401
 from reelspark.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
