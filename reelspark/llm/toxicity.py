@@ -22,11 +22,11 @@ FILTERS = 16
 LEAST_DOCS = 4
 #: Labelled rows that the fit takes at most, of each label, and words of a row it takes (longer rows are left to others).
 FIT_ROWS = {1: 2500, 0: 5000}
-FIT_WORDS = 5000
+FIT_WORDS = 3000
 #: Passes over the training rows, and steps of a small batch that a small table takes at least.
 EPOCHS, STEPS = 10, 500
 #: Words that are scored at once; a longer text is scored in parts whose maxima are joined.
-PART = 100_000
+PART = 30_000
 #: Languages that get a threshold of their own, at most, and toxic rows needed for one.
 LANGUAGES = 256
 LEAST_TOXIC = 20
@@ -139,15 +139,15 @@ class Cnn:
             order = rng.permutation(len(texts))
             for at in range(0, len(order), size):
                 some = order[at:at + size]
-                self._step([texts[k] for k in some], labels[some], weight[some], rate, state)
-                self.table[~known] = 0
+                self._step([texts[k] for k in some], labels[some], weight[some], rate, state, known)
 
     def _parts(self) -> dict:
         return {"table": self.table, "weights": self.weights,
                 **{("bank", i): b for i, b in enumerate(self.banks)}, **{("bias", i): b for i, b in enumerate(self.biases)},
                 "bias": np.array([self.bias])}
 
-    def _step(self, texts: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, rate: float, state: dict) -> None:
+    def _step(self, texts: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, rate: float, state: dict,
+              known: np.ndarray) -> None:
         ids, starts, real = _pool_input(texts, WIDTHS[-1])
         ends = starts + [max(1, len(t)) for t in texts]
         x = self.embed(ids, real)
@@ -181,8 +181,9 @@ class Cnn:
                 spots = np.minimum(places + j, len(ids) - 1)
                 there = real[spots] & (places + j < len(ids)) & (g != 0)
                 for part in (ids[spots[there]] >> 32, ids[spots[there]] & 0xFFFFFFFF):
-                    rows.append(part)
-                    grads.append(back[there, j * DIM:(j + 1) * DIM])
+                    learns = known[part]
+                    rows.append(part[learns])
+                    grads.append(back[there, j * DIM:(j + 1) * DIM][learns])
             banks.append((i, grad_bank + 1e-5 * bank, g.reshape(-1, FILTERS).sum(0)))
         move("weights", self.weights, h.T @ error + 1e-4 * self.weights)
         bias = np.array([self.bias])
@@ -261,7 +262,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Cnn:
     rows = rows.select("doc_id", "toxic", "lang", remainder(F.col("doc_id")).alias("fold"), ids("text").alias("ids"))
     got = rows.filter(F.size("ids") <= FIT_WORDS).toPandas().sort_values(["doc_id", "toxic"], kind="stable")
     model = Cnn.new()
-    texts = [np.asarray(x, np.int64) for x in got["ids"]]
+    texts = [np.asarray(x, np.int64) for x in got.pop("ids")]
     y = got["toxic"].to_numpy(int)
     taken = {k: max(1, int((y == k).sum())) for k in (0, 1)}
     total = sum(share.values()) or 1
