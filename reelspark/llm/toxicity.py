@@ -24,7 +24,7 @@ LEAST_DOCS = 4
 FIT_ROWS = {1: 2500, 0: 5000}
 FIT_WORDS = 3000
 #: Passes over the training rows, and steps of a small batch that a small table takes at least.
-EPOCHS, STEPS = 10, 500
+EPOCHS, STEPS = 10, 1500
 #: Words that are scored at once; a longer text is scored in parts whose maxima are joined.
 PART = 30_000
 #: Languages that get a threshold of their own, at most, and toxic rows needed for one.
