@@ -11,8 +11,8 @@ from reelspark.llm.common import query, table, written
 
 SHARDS = 24
 BITS = 4
-#: Rows of one cell that one task orders, about.
-ORDERED = 20_000
+#: Rows of one cell that are ordered together, about.
+ORDERED = 1000
 
 
 def level_of_number(c: Column, bits: int = BITS) -> Column:
