@@ -203,18 +203,26 @@ class Cnn:
         that has toxic rows enough, where they separate the labels best."""
         z = self.logits(texts)
         if len(set(labels)) == 2:
-            a, b = 1.0, 0.0
-            for _ in range(200):  # Newton's method on two numbers
-                p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-                g = np.array([((p - labels) * weight * z).sum() + 1e-3 * (a - 1), ((p - labels) * weight).sum()])
-                v = weight * p * (1 - p)
-                hess = np.array([[(v * z * z).sum() + 1e-3, (v * z).sum()], [(v * z).sum(), v.sum()]]) + 1e-6 * np.eye(2)
-                step = np.linalg.solve(hess, g)
-                a, b = a - step[0], b - step[1]
+            # smoothed targets and a weak pull towards a scale of 1 keep separable rows from driving the scale away
+            y = np.where(labels == 1, 1 - 1 / (labels.sum() + 2), 1 / ((1 - labels).sum() + 2))
+
+            def loss(v: np.ndarray) -> float:
+                u = v[0] * z + v[1]
+                return float((weight * (np.logaddexp(0, u) - y * u)).sum() + (v[0] - 1) ** 2 / 2)
+
+            v = np.array([1.0, 0.0])
+            for _ in range(100):  # Newton's method on two numbers, steps halved until they help
+                p = 1 / (1 + np.exp(-np.clip(v[0] * z + v[1], -30, 30)))
+                g = np.array([((p - y) * weight * z).sum() + v[0] - 1, ((p - y) * weight).sum()])
+                c = weight * p * (1 - p)
+                step = np.linalg.solve(np.array([[(c * z * z).sum() + 1, (c * z).sum()], [(c * z).sum(), c.sum() + 1e-6]]), g)
+                while abs(step).max() > 1e-9 and loss(v - step) > loss(v):
+                    step = step / 2
+                v = v - step
                 if abs(step).max() < 1e-9:
                     break
-            if np.isfinite([a, b]).all() and a > 0:
-                self.scale, self.shift = float(a), float(b)
+            if v[0] > 0:
+                self.scale, self.shift = float(v[0]), float(v[1])
         s = self.scores(texts)
         self.threshold = _best_threshold(s, labels, weight, 0.5)
         names = np.array([x or "" for x in langs], object)
