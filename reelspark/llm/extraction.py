@@ -28,8 +28,10 @@ BESIDE = frozenset(
     "navbar navigation breadcrumb breadcrumbs footer masthead topbar header notice cookie cookies consent popup modal alert "
     "comment comments reply replies disqus share sharing social related recommended newsletter subscribe signup login search "
     "contentinfo complementary pagination pager tags copyright".split())
-TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
-LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>")
+#: Characters within which a tag with quoted values must end; beyond, quotes are not looked at.
+TAG_SIZE = 4096
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[a-z]+")
 
@@ -86,7 +88,7 @@ def page_lines(html: str) -> list[tuple[str, int]]:
             stop = html.find(">", start)
             at = n if stop < 0 else stop + 1
             continue
-        tag = TAG.match(html, start) or LOOSE_TAG.match(html, start)
+        tag = TAG.match(html, start, start + TAG_SIZE) or LOOSE_TAG.match(html, start)
         if not tag:
             add("<")
             at = start + 1
@@ -162,6 +164,8 @@ def text_runs(lengths: list[int], window: int = WINDOW, surge: int = SURGE) -> l
             first, j = i, i
             while first > 0 and lengths[first - 1]:
                 first -= 1
+            while not lengths[first]:
+                first += 1
             while j < len(sums) and sums[j]:
                 j += 1
             out.append((first, j))

@@ -14,6 +14,7 @@ group of near copies costs about as many pairs as it has members that link with
 from __future__ import annotations
 
 import hashlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +28,10 @@ WORDS = 5
 #: Linked: 100 * shared >= 80 * united, that is at least 4/5 of either set is shared.
 PER_CENT = 80
 #: One token more for each so many of a set is in the front of order 1, and one more shared token is asked for.
-EXTRA = 40
-#: Longs of a set's parity bitmap; passes over a sorted order, and the neighbours each document meets in one.
-BITMAP, PASSES, NEAR = 8, 4, 3
+EXTRA = 20
+#: Longs of a set's parity bitmap; passes over a sorted order, and the neighbours of equal first min-hash that each
+#: document meets in one.
+BITMAP, PASSES, NEAR = 8, 4, 32
 #: Ids that may be sent to all tasks; beyond, the documents are joined with them by shuffles.
 SENT_IDS = 1_000_000
 
@@ -139,24 +141,28 @@ def _linked(x: np.ndarray, y: np.ndarray) -> bool:
 def near_in_order(sets: DataFrame, turn: int) -> DataFrame:
     """Links (a, b) between documents that stand near each other when sorted by min-hashes, another turn of them each time."""
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: list[tuple[int, np.ndarray]] = []
+        last: deque[tuple[int, np.ndarray]] = deque(maxlen=NEAR)
+        first = None
         for batch in batches:
             links = []
             tokens = batch["tokens"]
             flat, offsets = tokens.values.to_numpy(), tokens.offsets.to_numpy()
-            for k, doc in enumerate(batch["id"].to_pylist()):
+            for k, (doc, least) in enumerate(zip(batch["id"].to_pylist(), batch["m0"].to_pylist())):
+                if least != first:
+                    last.clear()
+                    first = least
                 mine = flat[offsets[k]:offsets[k + 1]].copy()
                 links += [(other, doc) for other, theirs in last if _linked(theirs, mine)]
-                last = [*last[1 - NEAR:], (doc, mine)] if NEAR > 1 else [(doc, mine)]
+                last.append((doc, mine))
             if links:
                 a, b = zip(*links)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     size = 2 * PASSES
-    order = [F.col("mins")[(2 * turn + k) % size].alias(f"m{k}") for k in range(size)]
     keys = [f"m{k}" for k in range(size)]
+    order = [F.col("mins")[(2 * turn + k) % size].alias(key) for k, key in enumerate(keys)]
     rows = sets.select(*order, "id", "tokens").repartitionByRange(*keys, "id").sortWithinPartitions(*keys, "id")
-    return rows.select("id", "tokens").mapInArrow(meet, "a bigint, b bigint")
+    return rows.select("id", "m0", "tokens").mapInArrow(meet, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -176,23 +182,23 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def sharing_front(front: DataFrame) -> DataFrame:
     """Ids of documents that share enough tokens of their front (order 1) with others to link with any."""
-    tokens = front.select("doc_id", "n", F.explode("front").alias("token"))
+    tokens = front.select("doc_id", F.explode("front").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
+    shared = tokens.join(common, "token").groupBy("doc_id").agg(F.count("*").alias("k"))
     # a linked set has at least 4/5 as many tokens, and so at least this extra
     asked = F.expr(f"((n * {PER_CENT} + 99) DIV 100) DIV {EXTRA} + 1")
-    shared = tokens.join(common, "token").groupBy("doc_id", "n").agg(F.count("*").alias("k"))
-    return shared.filter(F.col("k") >= asked).select("doc_id")
+    return front.select("doc_id", "n").distinct().join(shared, "doc_id").filter(F.col("k") >= asked).select("doc_id")
 
 
 def rare_fronts(sets: DataFrame) -> DataFrame:
-    """(id, n, bits, token, at): the front of each set in the order of frequency, without tokens that no other set has.
+    """(id, n, token, at): the front of each set in the order of frequency, without tokens that no other set has.
 
     Sets that share less than a link takes are left out."""
-    tokens = sets.select("id", "n", F.explode("tokens").alias("token"))
+    tokens = sets.select("id", F.explode("tokens").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
-    ranked = tokens.join(common, "token").groupBy("id", "n").agg(
+    ranked = tokens.join(common, "token").groupBy("id").agg(
         F.array_sort(F.collect_list(F.struct("c", "token"))).alias("shared"))  # a set's own tokens, no more than its words
-    ranked = ranked.filter(F.expr(f"100 * size(shared) >= {PER_CENT} * n"))
+    ranked = sets.select("id", "n").join(ranked, "id").filter(F.expr(f"100 * size(shared) >= {PER_CENT} * n"))
     alone = F.expr("n - size(shared)")
     room = F.expr(f"n - (n * {PER_CENT} + 99) DIV 100 + 1") - alone  # tokens of no other set stand first
     front = ranked.withColumn("front", F.slice("shared", F.lit(1), F.greatest(room, F.lit(0)).cast("int")))
@@ -200,28 +206,36 @@ def rare_fronts(sets: DataFrame) -> DataFrame:
     return out.select("id", "n", F.col("x.token").alias("token"), (F.col("alone") + F.col("k")).alias("at"))
 
 
-def candidate_pairs(front: DataFrame, bits: DataFrame, known: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) not in one component of `known` that meet in a front by frequency and pass the filters by
+def candidate_pairs(front: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) not in one component of `known` that can meet in a front by frequency and pass the filters by
     length, position and bitmap.
 
-    In each token's list the component with most members is set apart: its members pair with the others only, so a list
-    whose members are connected but for a few makes few pairs."""
-    rows = front.join(known, "id", "left").join(bits, "id").withColumn("component", F.coalesce("component", "id"))
-    rows = written(rows)
+    In each token's list the component with most members is the chief. A member outside it is paired with the chief's
+    members once, however many tokens bring the two together, and with the other outsiders of its lists. So lists whose
+    members are connected but for a few make few pairs."""
+    vertices = written(sets.select("id", "n", "bits").join(known, "id", "left").withColumn(
+        "component", F.coalesce("component", "id")))
+    rows = front.join(vertices.select("id", "component"), "id")
     sizes = rows.groupBy("token", "component").agg(F.count("*").alias("m"))
     chief = sizes.groupBy("token").agg(
         F.max_by("component", F.struct("m", "component")).alias("chief"), F.count("*").alias("parts")).filter("parts > 1")
-    listed = rows.join(chief.select("token", "chief"), "token").withColumn("main", F.col("component") == F.col("chief"))
-    names = ["id", "n", "at", "bits", "component", "main"]
-    x = listed.filter("NOT main").select("token", *[F.col(c).alias(f"x_{c}") for c in names])
-    y = listed.select("token", *[F.col(c).alias(f"y_{c}") for c in names])
+    outside = written(rows.join(chief.select("token", "chief"), "token").filter("component <> chief"))
+
     apart = " + ".join(f"bit_count(x_bits[{k}] ^ y_bits[{k}])" for k in range(BITMAP))
     # shared tokens that a link of sets of these sizes takes; what is not shared differs
     wanted = f"(({PER_CENT} * (x_n + y_n) + {99 + PER_CENT}) DIV {100 + PER_CENT})"
-    pairs = x.join(y, "token").filter(
-        f"x_component <> y_component AND (y_main OR x_id < y_id) AND "
-        f"{PER_CENT} * greatest(x_n, y_n) <= 100 * least(x_n, y_n) AND "
-        f"1 + least(x_n - x_at, y_n - y_at) - 1 >= {wanted} AND {apart} <= x_n + y_n - 2 * {wanted}")
+    like = f"{PER_CENT} * greatest(x_n, y_n) <= 100 * least(x_n, y_n) AND {apart} <= x_n + y_n - 2 * {wanted}"
+
+    def side(df: DataFrame, name: str, *keys: str) -> DataFrame:
+        return df.select(*keys, *[F.col(c).alias(f"{name}_{c}") for c in df.columns if c not in keys])
+
+    to_chief = outside.select("id", "chief").distinct().join(vertices.select("id", "n", "bits"), "id")
+    members = vertices.withColumnRenamed("component", "chief")
+    first = side(to_chief, "x", "chief").join(side(members, "y", "chief"), "chief").filter(like)
+    loose = outside.select("token", "id", "at", "component").join(vertices.drop("component"), "id")
+    second = side(loose, "x", "token").join(side(loose, "y", "token"), "token").filter(
+        f"x_id < y_id AND x_component <> y_component AND least(x_n - x_at, y_n - y_at) >= {wanted} AND {like}")
+    pairs = first.select("x_id", "y_id").union(second.select("x_id", "y_id"))
     return pairs.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
 
 
@@ -249,7 +263,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = links.union(near_in_order(sets, turn))
     links = written(links.distinct())
     known = connected(links)
-    pairs = written(candidate_pairs(rare, sets.select("id", "bits"), known))
+    pairs = written(candidate_pairs(rare, sets, known))
     more = written(verified(pairs, sets))
     # components found before are vertices now
     of_a, of_b = (known.withColumnsRenamed({"id": k, "component": f"to_{k}"}) for k in ("a", "b"))
