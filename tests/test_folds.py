@@ -41,54 +41,60 @@ def test_group_cases_inclusive_limit_and_loop(spark):
 # ---- fragment merging ------------------------------------------------------------------------
 
 
-def loop_merge(summary, gap, dist):
-    """Summaries (id, t0, t1, (x0, y0), (x1, y1)); returns id → chain id."""
-    summary = sorted(summary, key=lambda t: (t[1], t[0]))
-    label = {t[0]: t[0] for t in summary}
-    for i, cur in enumerate(summary):
-        until, where = cur[2], cur[4]
-        for nxt in summary[i + 1:]:
-            mine, other = label[cur[0]], label[nxt[0]]
-            if mine == other:
-                continue
-            wait = nxt[1] - until
-            if wait < -0.5:
-                continue
-            if wait > gap:
-                break
-            if math.isnan(where[0]) or math.isnan(nxt[3][0]):
-                apart = 0
-            else:
-                apart = math.dist(where, nxt[3])
-            if apart <= dist:
-                label = {k: mine if v == other else v for k, v in label.items()}
-                until, where = nxt[2], nxt[4]
-    return label
+def _points(tracks_of):
+    """Keypoint rows of tracks (video, id, start, end, first place, last place); a place may be unknown."""
+    return [
+        (video, tid, int(t * 10), t, None if p is None else p[0], None if p is None else p[1])
+        for video, tid, t0, t1, p0, p1 in tracks_of for t, p in ((t0, p0), (t1, p1))]
+
+
+POINTS = "video string, Track_ID bigint, Frame_ID bigint, Timestamp double, centroid_x double, centroid_y double"
+
+
+@pytest.mark.parametrize("second, joined", [
+    ((5.0, (0.0, 0.0)), True), ((8.0, (0.0, 0.0)), True), ((8.5, (0.0, 0.0)), False),  # at most 3 s later
+    ((4.5, (0.0, 0.0)), True), ((4.0, (0.0, 0.0)), False),  # at most half a second earlier
+    ((5.0, (300.0, 0.0)), True), ((5.0, (300.5, 0.0)), False), ((5.0, None), True),  # near, or unknown where
+])
+def test_which_fragment_follows(spark, second, joined):
+    t0, place = second
+    rows = [("v", 1, 0.0, 5.0, (9.0, 9.0), (0.0, 0.0)), ("v", 2, t0, 20.0, place, place)]
+    got = {r["Track_ID"]: r["merged_id"] for r in tracks.fragment_map(spark.createDataFrame(_points(rows), POINTS)).collect()}
+    assert got == {1: 1, 2: 1 if joined else 2}
+
+
+def test_chains_grow_from_their_last_fragment(spark):
+    rows = [("v", k, 10.0 * k, 10.0 * k + 8, (100.0 * k, 0.0), (100.0 * k + 100, 0.0)) for k in range(1, 9)]
+    got = {r["merged_id"] for r in tracks.fragment_map(spark.createDataFrame(_points(rows), POINTS)).collect()}
+    assert got == {1}
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_merge_fragments_equals_loop(spark, seed):
+def test_merged_fragments_can_follow_each_other(spark, seed):
+    """Every chain is named by a member and held together by members that can follow one another."""
+    def follows(q, r):
+        near = q[5] is None or r[4] is None or math.dist(q[5], r[4]) <= 300
+        return near and -0.5 - 1e-9 <= r[2] - q[3] <= 3 + 1e-9
+
     rng = random.Random(seed)
-    points, want = [], {}
+    rows = []
     for video in ("v1", "v2"):
-        summary = []
         for tid in range(1, 41):
             t0 = round(rng.uniform(0, 120), 1)
-            t1 = round(t0 + rng.uniform(0.1, 4), 1)
-            ends = [(rng.uniform(0, 600), rng.uniform(0, 200)) for _ in range(2)]
-            if rng.random() < 0.1:
-                ends[rng.randrange(2)] = (math.nan, 5.0)
-            if rng.random() < 0.1:
-                ends[rng.randrange(2)] = (5.0, math.nan)
-            summary.append((tid, t0, t1, *ends))
-            for t, (x, y) in zip((t0, t1), ends):
-                points.append((video, tid, int(t * 10), t, None if math.isnan(x) else x, None if math.isnan(y) else y))
-        want.update({(video, k): v for k, v in loop_merge(summary, 3.0, 300.0).items()})
-    df = spark.createDataFrame(
-        points, "video string, Track_ID bigint, Frame_ID bigint, Timestamp double, centroid_x double, centroid_y double")
-    got = {(r["video"], r["Track_ID"]): r["merged_id"] for r in tracks.fragment_map(df).collect()}
-    assert got == want
-    assert len(set(want.values())) < 40 and any(k[1] != v for k, v in want.items())
+            places = [None if rng.random() < 0.1 else (rng.uniform(0, 600), rng.uniform(0, 200)) for _ in range(2)]
+            rows.append((video, tid, t0, round(t0 + rng.uniform(0.1, 4), 1), *places))
+    chains = {}
+    for r in tracks.fragment_map(spark.createDataFrame(_points(rows), POINTS)).collect():
+        chains.setdefault((r["video"], r["merged_id"]), set()).add(r["Track_ID"])
+    assert any(len(c) > 1 for c in chains.values()) and len(chains) < 80
+    for (video, name), ids in chains.items():
+        members = {r[1]: r for r in rows if r[0] == video and r[1] in ids}
+        reached, new = set(), {name}
+        while new:
+            reached |= new
+            new = {
+                b for a in new for b in members if b not in reached and (follows(members[a], members[b]) or follows(members[b], members[a]))}
+        assert reached == ids
 
 
 def test_merge_relabels_rows(spark):
@@ -102,37 +108,6 @@ def test_merge_relabels_rows(spark):
 # ---- burst capture ---------------------------------------------------------------------------
 
 
-def loop_bursts(good, usable, n, size=3, gap=20, cooldown=300):
-    """Frame-by-frame state machine."""
-    out, mode, seen, skip, rest, saved = [], "scan", 0, 0, 0, []
-    for f in range(n):
-        if mode == "rest":
-            rest -= 1
-            if rest <= 0:
-                mode = "scan"
-        elif mode == "burst":
-            if skip > 0:
-                skip -= 1
-                continue
-            if f not in good:
-                out.append((saved[0], saved, "aborted"))
-                mode, rest = "rest", cooldown
-                continue
-            if f in usable:
-                saved.append(f)
-            seen += 1
-            if seen >= size:
-                out.append((saved[0], saved, "complete"))
-                mode, rest = "rest", cooldown
-            else:
-                skip = gap
-        elif f in usable:
-            mode, seen, skip, saved = "burst", 1, gap, [f]
-    if mode == "burst":
-        out.append((saved[0], saved, "open"))
-    return out
-
-
 def burst_case(seed, n=4000):
     rng = random.Random(seed)
     good = set()
@@ -146,18 +121,31 @@ def burst_case(seed, n=4000):
 
 
 @pytest.mark.parametrize("chunk", [344, 500, 1 << 16])
-def test_capture_bursts_equals_loop(spark, chunk):
-    rows, want = [], []
-    for v in range(6):
-        good, usable = burst_case(v)
-        rows += [(f"v{v}", f, f in usable) for f in good]
-        want += [(f"v{v}", *b) for b in loop_bursts(good, usable, 4000)]
+def test_capture_bursts_follow_the_rule(spark, chunk):
+    """A burst starts at the first usable frame after the last one's rest. Its looks are 21 frames apart, three in all; it
+    keeps the usable ones, and ends at its third look, at one without a person, or with the video."""
+    n, size, step, rest = 4000, 3, 21, 301
+    cases = {f"v{v}": burst_case(v, n) for v in range(6)}
+    rows = [(v, f, f in usable) for v, (good, usable) in cases.items() for f in good]
     df = spark.createDataFrame(rows, "video string, frame bigint, usable boolean")
-    videos = df.select("video").distinct().withColumn("n_frames", F.lit(4000).cast("bigint"))
-    got = [(r["video"], r["start_frame"], list(r["saved"]), r["outcome"])
-           for r in reid.capture_bursts(df, videos, chunk=chunk).collect()]
-    assert sorted(got) == sorted(want)
-    assert {w[3] for w in want} >= {"complete", "aborted"}
+    videos = df.select("video").distinct().withColumn("n_frames", F.lit(n).cast("bigint"))
+    bursts = {v: [] for v in cases}
+    for r in reid.capture_bursts(df, videos, chunk=chunk).collect():
+        bursts[r["video"]].append((r["start_frame"], list(r["saved"]), r["outcome"]))
+    seen = set()
+    for v, (good, usable) in cases.items():
+        free = 0
+        for start, saved, outcome in sorted(bursts[v]):
+            assert start == min(f for f in usable if f >= free)
+            looks = [start + k * step for k in range(size)]
+            held = next((k for k, f in enumerate(looks) if f not in good), size)  # looks with a person
+            assert saved == [f for f in looks[:held] if f in usable]
+            ends = looks[min(held, size - 1)]
+            assert outcome == ("open" if ends >= n else "complete" if held == size else "aborted")
+            free = ends + rest
+            seen.add(outcome)
+        assert not [f for f in usable if f >= free]
+    assert seen >= {"complete", "aborted"}
 
 
 def test_capture_totals(spark):
