@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelspark.llm.common import alnum_words, query, table
@@ -71,6 +73,16 @@ class Cnn:
     thresholds: dict[str, float] = field(default_factory=dict)
     threshold: float = 0.5
 
+    def __getstate__(self) -> dict:
+        """Without the rows of the table that are zero, which are most."""
+        used = np.flatnonzero(self.table.any(1))
+        return {**self.__dict__, "table": (used.astype("i4"), self.table[used])}
+
+    def __setstate__(self, state: dict) -> None:
+        used, rows = state.pop("table")
+        self.__dict__.update(state, table=np.zeros((2 * ROWS, DIM), "f4"))
+        self.table[used] = rows
+
     @classmethod
     def new(cls, seed: int = 7) -> Cnn:
         rng = np.random.default_rng(seed)
@@ -253,7 +265,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Cnn:
     """A classifier fitted on labelled documents whose crc32 remainder is not 0.
 
     At most FIT_ROWS rows of each label are taken, in the order of a hash of doc_id, and of these rows those of at most
-    FIT_WORDS words, which bounds what the driver holds. Rows of remainder 1 calibrate, weighted so that
+    FIT_WORDS words, which bounds the one task that trains. Rows of remainder 1 calibrate, weighted so that
     each label has its share of all labelled rows; the others train, with even weight on both labels. Rows without id or label count as unlabelled; of contradictory
     labels the larger holds. Without rows of both labels the classifier stays near an even score."""
     learn = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id")) != 0))
@@ -268,19 +280,31 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Cnn:
 
     rows = docs.select("doc_id", "text", "lang").join(F.broadcast(some[0].union(some[1])), "doc_id")
     rows = rows.select("doc_id", "toxic", "lang", remainder(F.col("doc_id")).alias("fold"), ids("text").alias("ids"))
-    got = rows.filter(F.size("ids") <= FIT_WORDS).toPandas().sort_values(["doc_id", "toxic"], kind="stable")
-    model = Cnn.new()
-    texts = [np.asarray(x, np.int64) for x in got.pop("ids")]
-    y = got["toxic"].to_numpy(int)
-    taken = {k: max(1, int((y == k).sum())) for k in (0, 1)}
     total = sum(share.values()) or 1
-    w = np.array([share.get(k, 0) / total / taken[k] * len(y) for k in y])
-    train, check = (np.flatnonzero(m) for m in (got["fold"] > 1, got["fold"] == 1))
-    if len(set(y[train])) == 2:
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = sorted((r for b in batches for r in zip(*(b[c].to_pylist() for c in ("doc_id", "toxic", "fold", "lang")), _arrays(b["ids"]))),
+                     key=lambda r: r[:2])
+        y = np.array([r[1] for r in got], int)
+        fold = np.array([r[2] for r in got], int)
+        taken = {k: max(1, int((y == k).sum())) for k in (0, 1)}
+        w = np.array([share.get(k, 0) / total / taken[k] * len(y) for k in y])
         even = np.where(y == 1, 0.5 / taken[1], 0.5 / taken[0]) * len(y)  # calibration brings the true shares back
-        model.fit([texts[k] for k in train], y[train], even[train])
-    model.calibrate([texts[k] for k in check], y[check], w[check], [got["lang"].iloc[k] for k in check])
-    return model
+        learn, check = np.flatnonzero(fold > 1), np.flatnonzero(fold == 1)
+        model = Cnn.new()
+        if len(set(y[learn])) == 2:
+            model.fit([got[k][4] for k in learn], y[learn], even[learn])
+        model.calibrate([got[k][4] for k in check], y[check], w[check], [got[k][3] for k in check])
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
+
+    # the bounded sample trains in one task, so that the driver holds the finished model alone
+    done = rows.filter(F.size("ids") <= FIT_WORDS).repartition(1).mapInArrow(train, "model binary").first()
+    return pickle.loads(bytes(done["model"])) if done else Cnn.new()
+
+
+def _arrays(lists: pa.ListArray) -> list[np.ndarray]:
+    flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return [flat[a:b].copy() for a, b in zip(at, at[1:])]
 
 
 def scored(docs: DataFrame, model: Cnn, out: str = "score") -> DataFrame:
