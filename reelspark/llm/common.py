@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -41,9 +42,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared folder and read back, so that a lost executor costs no earlier work."""
+    """The rows, written to the shared folder and read back, so that a lost executor costs no earlier work.
+
+    What the rows were shuffled from is of no more use then. Spark drops such files when the driver has collected their
+    handles, so this asks for it rather than let the disks fill up until that happens by itself."""
     path = f"{shared_dir(df.sparkSession)}/rows.parquet"
     df.write.parquet(path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
