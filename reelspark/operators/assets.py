@@ -15,7 +15,9 @@ from reelspark.functions import (
     bytes_to_mib, col, container_stem, directory, extension, file_name, normalise_channel, parent_dir, pivot_year,
     timestamp_from_stem,
 )
+from reelspark.operators.keys import one_per_key
 from reelspark.plans.carry import with_group_rank
+from reelspark.plans.spread import spread
 
 # The three accepted forms of a recording path; groups are yy, mm-dd, case and camera.
 KEY_PATTERNS = {
@@ -255,8 +257,10 @@ def rebase_paths(df: DataFrame, inventory: DataFrame, new_root: str) -> DataFram
 
 
 def reuse_cached(scan: DataFrame, cached: DataFrame, keys: Sequence[str], size: str, value: str) -> DataFrame:
-    """Carry a cached metric over when the size is unchanged and a value is present; else mark for computing."""
-    old = cached.select(*keys, F.col(size).alias("_size"), F.col(value).alias("_value"))
+    """Carry a cached metric over when the size is unchanged and a value is present; else mark for computing.
+
+    Of several cached rows of a key the one with the largest value counts."""
+    old = one_per_key(cached.select(*keys, size, value), keys, [value, size]).select(*keys, F.col(size).alias("_size"), F.col(value).alias("_value"))
     joined = scan.join(old, list(keys), "left")
     fresh = F.col(size).eqNullSafe(F.col("_size")) & F.col("_value").isNotNull()
     return joined.select(
@@ -296,7 +300,7 @@ def hash_files(files: DataFrame, chunk: int = 8 * MIB) -> DataFrame:
                 [pa.array(paths, pa.string()), pa.array([digest(p) for p in paths], pa.string())], schema=schema
             )
 
-    return files.select("path").repartition(F.col("path")).mapInArrow(read, "path string, sha256 string")
+    return spread(files.select("path"), "path").mapInArrow(read, "path string, sha256 string")
 
 
 def verify_copies(src: DataFrame, dst: DataFrame, key: str = "relative_path") -> DataFrame:
@@ -336,14 +340,24 @@ def group_cases(files: DataFrame, date: str = "date", stamp: str = "stamp", minu
 def unique_names(manifest: DataFrame, dest: str = "destination_path", source: str = "source_path") -> DataFrame:
     """Colliding destinations get `_1`, `_2`, … before the extension; one file keeps the name.
 
-    The order among colliding files is that of a digest of their source, which lets a very common name
-    be ranked in parallel."""
+    A number is passed over where the name with it is a destination of its own, so no name occurs twice. The order
+    among colliding files is that of a digest of their source, which lets a very common name be ranked in parallel."""
     ranked = with_group_rank(manifest, [dest], [source], F.md5(source), "_rank")
     name = F.col(dest)
-    stem = F.regexp_replace(name, r"(\.[^./\\]*)$", "")
     suffix = F.regexp_extract(name, r"(\.[^./\\]*)$", 1)
-    renamed = F.concat(stem, F.lit("_"), F.col("_rank").cast("string"), suffix)
-    return ranked.withColumn("unique_path", F.when(F.col("_rank") == 0, name).otherwise(renamed)).drop("_rank")
+    stem = F.regexp_replace(name, r"(\.[^./\\]*)$", "")
+    numbered = manifest.select(dest).distinct().select(
+        F.concat(F.regexp_replace(stem, r"_[1-9]\d{0,17}$", ""), suffix).alias("_base"),
+        F.regexp_extract(stem, r"_([1-9]\d{0,17})$", 1).alias("_number")).filter("_number <> ''")
+    taken = numbered.groupBy("_base").agg(F.sort_array(F.collect_set(F.col("_number").cast("long"))).alias("_taken"))
+    ranked = ranked.join(taken, ranked[dest] == taken["_base"], "left")
+    # the rank-th number that is not taken: each taken number up to it moves it on by one
+    free = F.aggregate(
+        F.coalesce("_taken", F.array().cast("array<bigint>")), F.col("_rank").cast("long"),
+        lambda n, t: n + F.when(t <= n, 1).otherwise(0))
+    renamed = F.concat(stem, F.lit("_"), free.cast("string"), suffix)
+    out = ranked.withColumn("unique_path", F.when(F.col("_rank") == 0, name).otherwise(renamed))
+    return out.drop("_rank", "_base", "_taken")
 
 
 def distinct_channels(files: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelspark.constants import RECORDING_KEY
 from reelspark.functions import no_nan
+from reelspark.operators.keys import one_per_key
 
 # ---- writing ---------------------------------------------------------------------------------
 
@@ -30,9 +31,14 @@ def delete_by_key(t: DataFrame, keys: DataFrame, pk: Sequence[str]) -> DataFrame
     return t.join(keys.select(*pk).distinct(), list(pk), "left_anti")
 
 
-def upsert_managed(t: DataFrame, updates: DataFrame, keys: Sequence[str], managed: Sequence[str]) -> DataFrame:
-    """Insert or update only the managed columns; every other column keeps its value."""
-    new = updates.select(
+def upsert_managed(
+    t: DataFrame, updates: DataFrame, keys: Sequence[str], managed: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
+    """Insert or update only the managed columns; every other column keeps its value.
+
+    Of several updates of a key the last by `order` counts, or by the managed columns themselves."""
+    wanted = [*keys, *[c for c in dict.fromkeys([*managed, *order]) if c not in keys]]
+    new = one_per_key(updates.select(*wanted), keys, order).select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_u_{c}") for c in managed],
         F.lit(True).alias("_update"),
     )
@@ -94,6 +100,7 @@ def update_offsets(t: DataFrame, updates: DataFrame) -> DataFrame:
     """Set camera offsets by recording key; an update that matches no row falls back to rows of the same case
     whose path contains the camera name (the last name in order wins)."""
     key = list(RECORDING_KEY)
+    updates = one_per_key(updates.select(*key, "offset_seconds"), key)
     exact = updates.select(*key, F.col("offset_seconds").alias("_exact"))
     unmatched = updates.join(t.select(*key).distinct(), key, "left_anti").select(
         "recording_date", "case_no", F.col("camera_name").alias("_name"), F.col("offset_seconds").alias("_offset")
@@ -137,7 +144,7 @@ def upsert_partitions(
 
 def classify_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Each new row as NEW, CHANGED or UNCHANGED; NULL equals NULL, deletions are not reported."""
-    before = old.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in cols], F.lit(True).alias("_known"))
+    before = one_per_key(old.select(*keys, *cols), keys).select(*keys, *[F.col(c).alias(f"_o_{c}") for c in cols], F.lit(True).alias("_known"))
     joined = new.select(*keys, *cols).join(before, list(keys), "left")
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in cols])
     status = F.when(F.col("_known").isNull(), "NEW").when(same, "UNCHANGED").otherwise("CHANGED")

@@ -1,7 +1,8 @@
 """Fixture views: the driver's tables seen as recording assets, frames, tracks, ….
 
 Each view is a projection (at most one aggregation) written once for Spark and once, in `SQL`, for the oracle.
-They keep every row of their source table."""
+The two sides of comparisons (`seq_status` and `mp4_status`, `status_a` and `status_b`) each leave out the rows that the
+other side alone has, and `labelled` the cases without a label; all others keep every row of their source table."""
 
 from __future__ import annotations
 
@@ -13,10 +14,8 @@ ORIGIN = 1704067200  # 2024-01-01, the first day of the events table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. A file with fewer splits than cores is spread out first; a large table is read as it is."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _camera(key: Column) -> Column:

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from reelspark.plans.spread import spread
 from reelspark.sources.remote import open_file, read_range
 
 # Container layout.
@@ -77,7 +78,7 @@ def scan_seq_headers(files: DataFrame) -> DataFrame:
             rows = [_header_row(p) for p in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_pylist(rows, schema=target)
 
-    return files.select("path").repartition(F.col("path")).mapInArrow(read, HEADER_SCHEMA)
+    return spread(files.select("path"), "path").mapInArrow(read, HEADER_SCHEMA)
 
 
 def _frame_batch(path: str, first: int, records: np.ndarray) -> pa.RecordBatch:
@@ -90,13 +91,13 @@ def _frame_batch(path: str, first: int, records: np.ndarray) -> pa.RecordBatch:
 def scan_frame_index(files: DataFrame, drop_empty: bool = False, range_records: int = RANGE_RECORDS) -> DataFrame:
     """All records of index files; a trailing partial record is ignored, counters are unsigned."""
     records = F.floor(F.col("length") / RECORD.itemsize)
-    ranges = (
+    ranges = spread(
         files.select("path", records.alias("records"))
         .filter("records > 0")
         .select("path", "records", F.explode(F.expr(f"sequence(0L, records - 1, {range_records}L)")).alias("first"))
         .withColumn("count", F.least(F.lit(range_records).cast("long"), F.col("records") - F.col("first")))
-        .select("path", "first", "count")
-        .repartition("path", "first")
+        .select("path", "first", "count"),
+        "path", "first",
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +142,7 @@ def scan_index_endpoints(files: DataFrame) -> DataFrame:
                 rows.append(row)
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    listing = files.select("path", F.col("length").cast("long").alias("length")).repartition(F.col("path"))
+    listing = spread(files.select("path", F.col("length").cast("long").alias("length")), "path")
     return listing.mapInArrow(
         read, "path string, frame_count bigint, t_start double, t_end double, idx_file_size bigint"
     )
@@ -195,4 +196,4 @@ def rebuild_frame_index(files: DataFrame) -> DataFrame:
                 if rows:
                     yield flush(path, rows)
 
-    return files.select("path").repartition(F.col("path")).mapInArrow(read, FRAME_SCHEMA)
+    return spread(files.select("path"), "path").mapInArrow(read, FRAME_SCHEMA)

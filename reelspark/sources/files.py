@@ -85,7 +85,7 @@ def scan_files(spark: SparkSession, root: str, extension: str | None = None, lev
     for level in range(levels + 1):
         found = found.mapInArrow(_expand(level == levels, suffix), LISTING_SCHEMA)
         if level < levels:
-            found = found.repartition(F.col("path"))
+            found = found.repartition(8 * spark.sparkContext.defaultParallelism, "path")  # a given number is not merged
     return found.select("path", "length", "modificationTime")
 
 
