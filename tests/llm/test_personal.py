@@ -58,8 +58,8 @@ def test_viterbi_finds_the_best_sequence():
 
 def test_training_learns_from_neighbours():
     sentences = [[["mr"], ["x"], ["y"]], [["a"], ["x"], ["y"]]] * 3
-    crf = train(sentences, [["O", "B-n", "O"], ["O", "O", "O"]] * 3, lambda a, b: True)
-    assert crf.decode(sentences[:2]) == [["O", "B-n", "O"], ["O", "O", "O"]]
+    crf = train(sentences, [["T", "B-n", "O"], ["O", "O", "O"]] * 3, lambda a, b: True)
+    assert crf.decode(sentences[:2]) == [["T", "B-n", "O"], ["O", "O", "O"]]
 
 
 def found(text):
