@@ -53,7 +53,7 @@ def test_long_pages_end(part):
 
 def test_runs():
     assert e.text_runs([0, 5, 90, 40, 0, 0, 0, 3, 0]) == [(1, 4)]
-    assert e.text_runs([10, 0, 0, 0, 10]) == [(0, 1), (2, 5)] and e.text_runs([]) == [] and e.text_runs([0, 0]) == []
+    assert e.text_runs([10, 0, 0, 0, 10]) == [(0, 1), (4, 5)] and e.text_runs([]) == [] and e.text_runs([0, 0]) == []
 
 
 def test_given_pages(spark):
