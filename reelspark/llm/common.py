@@ -26,7 +26,18 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+#: Rows that Spark hands to Python at once. Texts are long: ten thousand, the default, can be hundreds of MB in a worker.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in small batches, unless the session has a number of its own."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -46,6 +57,7 @@ def written(df: DataFrame) -> DataFrame:
 
     What the rows were shuffled from is of no more use then. Spark drops such files when the driver has collected their
     handles, so this asks for it rather than let the disks fill up until that happens by itself."""
+    small_batches(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/rows.parquet"
     df.write.parquet(path)
     gc.collect()

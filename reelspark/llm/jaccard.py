@@ -43,7 +43,7 @@ class WordHashes(dict):
     """64-bit hashes of words; kept for the words seen last."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value

@@ -38,7 +38,7 @@ class WordIds(dict):
     """Embedding rows of a word: its own and its beginning's, by crc32, in one number. Kept for the words seen last."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         own = zlib.crc32(word) % ROWS
         stem = ROWS + zlib.crc32(word[:STEM]) % ROWS
