@@ -30,6 +30,28 @@ def test_ids_of_odd_texts(reference, text):
     assert p.encoder(p.tokenizer_path()).encode_ordinary(text) == reference(text)
 
 
+@pytest.fixture(scope="module")
+def library():
+    """The library as it comes, which knows added tokens in a text."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(p.tokenizer_path())
+    return lambda text: t.encode(text, add_special_tokens=False).ids
+
+
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n\n", "a", "'ll", " 12", "é"]), max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_added_tokens_have_one_id(library, parts):
+    text = "".join(parts)
+    assert p.encoder(p.tokenizer_path()).encode(text, allowed_special="all") == library(text)
+
+
+def test_packing_of_added_tokens(spark, documents, library):
+    texts = {1: "one<|endoftext|>two", 2: "<|endoftext|>" * 2000, 3: "a  <|endoftext|>  b\n", 4: "<|endoftext|"}
+    assert 50256 in library(texts[1])
+    check(p.pack_documents(documents(list(texts.items()))).collect(), texts, library)
+
+
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 30), min_size=1, max_size=20))
 @settings(max_examples=100, deadline=None)
 def test_plan_places_every_piece_once(counts):
