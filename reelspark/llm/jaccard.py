@@ -9,7 +9,11 @@ same for all. The join applies such orders one after another, the cheap and weak
 
 and verifies the pairs that pass all. Copies of a set are one class from the start. Near copies that meet in a sorted
 order of min-hashes are linked before pairs are formed, and documents that are connected already form no pairs, so a large
-group of near copies costs about as many pairs as it has members that link with few."""
+group of near copies costs about as many pairs as it has members that link with few.
+
+Links only run within components. Once these stand, the links of each document are counted there exactly: a component is
+dealt into blocks of sets of like size, and all pairs of two blocks are compared at once by a product of matrices, of
+which only the counts leave the task."""
 
 from __future__ import annotations
 
@@ -32,6 +36,9 @@ EXTRA = 20
 #: Longs of a set's parity bitmap; passes over a sorted order, and the neighbours of equal first min-hash that each
 #: document meets in one.
 BITMAP, PASSES, NEAR = 8, 4, 32
+#: A band of set sizes is so much wider than the one below, wider than two linked sets can differ, so that links stay within
+#: a band and the next. Sets and tokens of a block of one band, about; tokens of which a matrix is made at once.
+BAND, BLOCK_SETS, BLOCK_TOKENS, COLUMNS = 1.26, 512, 1 << 18, 4096
 #: Ids that may be sent to all tasks; beyond, the documents are joined with them by shuffles.
 SENT_IDS = 1_000_000
 
@@ -239,13 +246,110 @@ def candidate_pairs(front: DataFrame, sets: DataFrame, known: DataFrame) -> Data
     return pairs.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
 
 
+def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Numbers of tokens that each set of `x` shares with each of `y`."""
+    out = np.zeros((len(x), len(y)), np.int64)
+    sides = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(t) for t in s])) for s in (x, y)]
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    if not len(common):
+        return out
+    placed = []
+    for tokens, row in sides:
+        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+        there = common[at] == tokens
+        order = np.argsort(at[there], kind="stable")
+        placed.append((at[there][order], row[there][order]))
+    (ax, rx), (ay, ry) = placed
+    cx, cy = np.bincount(ax, minlength=len(common)), np.bincount(ay, minlength=len(common))
+    # a column of the matrices costs as much as some pairs one by one
+    dense = cx * cy * 100 > out.size
+    number = np.cumsum(dense) - 1
+    for first in range(0, int(dense.sum()), COLUMNS):
+        parts = []
+        for at, row, count in ((ax, rx, len(x)), (ay, ry, len(y))):
+            mine = dense[at] & (number[at] >= first) & (number[at] < first + COLUMNS)
+            m = np.zeros((count, COLUMNS), "f4")  # counts stay far below 2 ** 24
+            m[row[mine], number[at[mine]] - first] = 1
+            parts.append(m)
+        out += (parts[0] @ parts[1].T).astype(np.int64)
+    # the others: each place of a token in x with all its places in y
+    few = np.flatnonzero(~dense[ax])
+    start = np.cumsum(cy) - cy
+    ends = np.cumsum(cy[ax[few]])
+    done = 0
+    while done < len(few):
+        stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + (1 << 20), "right")))
+        some = few[done:stop]
+        n = cy[ax[some]]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        cells = np.repeat(rx[some], n) * len(y) + ry[np.repeat(start[ax[some]], n) + step]
+        out += np.bincount(cells, minlength=out.size).reshape(out.shape)
+        done = stop
+    return out
+
+
+def degrees(sets: DataFrame, components: DataFrame) -> DataFrame:
+    """(id, links): with how many other ids of its component (id, component) each id of `sets` links, exactly; ids without
+    links are left out. An id with several sets links by any of them."""
+    rows = components.join(sets.select("id", "n", "tokens"), "id").dropDuplicates(["id", "n", "tokens"])
+    several = sets.select("id", "n", "tokens").distinct().groupBy("id").agg(F.count("*").alias("c")).filter("c > 1").select(
+        "id", F.lit(True).alias("several"))
+    rows = rows.join(several, "id", "left").withColumn("several", F.coalesce("several", F.lit(False)))
+    rows = written(rows.withColumn("band", F.floor(F.log(BAND, F.col("n"))).cast("int")))
+    cells = written(rows.groupBy("component", "band").agg(F.greatest(
+        F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks")).withColumn("blocks", F.expr("blocks + 1")))
+    below, above = (cells.select("component", (F.col("band") + k).alias("band"), F.col("blocks").alias(name))
+                    for k, name in ((1, "below"), (-1, "above")))
+    cells = cells.join(below, ["component", "band"], "left").join(above, ["component", "band"], "left")
+    few = cells.count() <= SENT_IDS
+    dealt = rows.join(F.broadcast(cells) if few else cells, ["component", "band"])
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")))
+    # both sides of a tile: (lower band, upper or not, block of the lower, block of the upper)
+    tiles = F.expr("""concat(
+        transform(sequence(0L, blocks - 1L), q -> struct(band AS low, false AS up, least(block, q) AS p, greatest(block, q) AS q)),
+        if(above IS NULL, array(), transform(sequence(0L, above - 1L), q -> struct(band AS low, true AS up, block AS p, q AS q))),
+        if(below IS NULL, array(), transform(sequence(0L, below - 1L), q -> struct(band - 1 AS low, true AS up, q AS p, block AS q))))""")
+    dealt = dealt.select("component", F.explode(tiles).alias("t"), "id", "n", "tokens", "several", "band", "block")
+
+    def count(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        up, low, p, q = (group[c][0].as_py() for c in ("up", "low", "p", "q"))
+        ids, many = group["id"].to_numpy(), group["several"].to_numpy()
+        tokens = group["tokens"].combine_chunks()
+        flat, offsets = tokens.values.to_numpy(), tokens.offsets.to_numpy()
+        right = group["band"].to_numpy() != low if up else group["block"].to_numpy() == q
+        same = not up and p == q
+        i, j = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(~right), np.flatnonzero(right))
+        empty = np.zeros(0, np.int64)
+        found = [(empty, empty, empty)]
+        if len(i) and len(j):
+            lists = [flat[a:b] for a, b in zip(offsets, offsets[1:])]
+            x, y = [lists[k] for k in i], [lists[k] for k in j]
+            shared = shared_counts(x, y)
+            united = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y]) - shared
+            link = (100 * shared >= PER_CENT * united) & (ids[i][:, None] != ids[j])
+            pair = link & (many[i][:, None] | many[j])
+            link &= ~pair
+            for mine, n in ((ids[i], link.sum(1)),) if same else ((ids[i], link.sum(1)), (ids[j], link.sum(0))):
+                found.append((mine[n > 0], np.full((n > 0).sum(), -1), n[n > 0]))
+            a, b = np.nonzero(pair)
+            for mine, other in ((ids[i][a], ids[j][b]), (ids[j][b], ids[i][a])):
+                found.append((mine, other, np.zeros(len(mine), np.int64)))
+        columns = [np.concatenate(c) for c in zip(*found)]
+        return pa.table({"id": columns[0], "other": columns[1], "links": columns[2]})
+
+    found = written(dealt.select("component", "t.*", "id", "n", "tokens", "several", "band", "block").groupBy(
+        "component", "low", "up", "p", "q").applyInArrow(count, "id bigint, other bigint, links bigint"))
+    pairs = found.filter("links = 0").select("id", "other").distinct().select("id", F.lit(1).cast("bigint").alias("links"))
+    return found.filter("links > 0").select("id", "links").union(pairs).groupBy("id").agg(F.sum("links").alias("links"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) for every row of `docs` (doc_id, text; other columns are left out).
 
     Two documents link when their sets of distinct word 5-grams (all words as one where they are fewer) have a Jaccard
-    similarity of 0.8 or more; component_id is the smallest doc_id that links reach. n_links counts the links that the
-    join found between classes of equal sets; links within a component that others connect already may be left
-    unsearched. Null and empty texts have no set and stand alone. A repeated row is a copy; rows of one doc_id with
+    similarity of 0.8 or more; component_id is the smallest doc_id that links reach. n_links counts the links between
+    classes of equal sets: to how many other classes a document's own is linked. Null and empty texts have no set and stand alone. A repeated row is a copy; rows of one doc_id with
     different texts count as one document. A null doc_id has the component of its copies, or none."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     front = written(fronts(docs))
@@ -273,8 +377,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     vertices = known.union(over.select("id", F.col("id").alias("component"))).groupBy("id").agg(F.min("component").alias("component"))
     merged = vertices.join(over.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left").select(
         F.col("id").alias("class"), F.coalesce("to", "component").alias("component"))
-    every = links.union(more)
-    degree = every.select(F.col("a").alias("class")).union(every.select("b")).groupBy("class").agg(F.count("*").alias("links"))
+    merged = written(merged)
+    degree = degrees(sets, merged.withColumnRenamed("class", "id")).withColumnRenamed("id", "class")
     named = classes.join(merged, "class", "left").join(degree, "class", "left")
     rows = front.select("doc_id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
     return rows.select(

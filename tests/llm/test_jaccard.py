@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -66,6 +67,53 @@ def test_without_passes_the_filters_find_all(spark, documents, monkeypatch):
     assert sorted(map(tuple, got)) == brute(rows)
 
 
+def brute_links(rows):
+    """n_links of each (doc_id, text): other classes of equal sets that link with its own, from all pairs."""
+    sets = [(i, grams(t)) for i, t in rows]
+    classes = {s for _, s in sets if s}
+    links = {s: sum(100 * len(s & t) >= 80 * len(s | t) for t in classes) - 1 for s in classes}
+    return sorted((i, links.get(s, 0)) for i, s in sets)
+
+
+def near_copies(seed, n, base, edits):
+    """Copies of one text, each with some words of its own, so that most pairs link and some do not."""
+    rng = random.Random(seed)
+    words = [f"c{k}" for k in range(base)]
+    out = []
+    for k in range(n):
+        mine = list(words)
+        for _ in range(rng.randint(1, edits)):
+            mine[rng.randrange(base)] = f"n{k}_{rng.randint(0, 3)}"
+        out.append((k + 10_000, " ".join(mine[:rng.randint(base - 20, base)])))
+    return out
+
+
+@pytest.mark.parametrize("sets, tokens", [(512, 1 << 18), (40, 9_000)])
+def test_links_equal_all_pairs(spark, documents, monkeypatch, sets, tokens):
+    monkeypatch.setattr(j, "BLOCK_SETS", sets)
+    monkeypatch.setattr(j, "BLOCK_TOKENS", tokens)
+    rows = near_copies(4, 400, 200, 5) + corpus(1, 100, 3)
+    want = brute_links(rows)
+    assert max(n for _, n in want) > 200
+    got = j.near_duplicates(documents(rows)).select("doc_id", "n_links").collect()
+    assert sorted(map(tuple, got)) == want
+
+
+def test_links_of_an_id_with_several_texts(spark, documents):
+    base = [f"c{k}" for k in range(60)]
+    texts = [" ".join([*base[:k], "x", *base[k + 1:]]) for k in (1, 20, 59)]
+    rows = [(1, texts[0]), (2, texts[1]), (2, texts[2]), (3, " ".join(base))]
+    got = j.near_duplicates(documents(rows)).select("doc_id", "n_links").distinct().collect()
+    assert {r.doc_id: r.n_links for r in got} == {1: 2, 2: 2, 3: 2}
+
+
+@given(st.lists(st.frozensets(st.integers(0, 30)), min_size=1, max_size=8), st.lists(st.frozensets(st.integers(0, 30)), min_size=1, max_size=300))
+@settings(max_examples=60, deadline=None)
+def test_shared_counts(x, y):
+    arrays = [[np.array(sorted(s), np.int64) for s in side] for side in (x, y)]
+    assert j.shared_counts(*arrays).tolist() == [[len(a & b) for b in y] for a in x]
+
+
 @given(st.integers(1, 4000), st.integers(1, 4000))
 @settings(deadline=None)
 def test_front_lengths(n, m):
