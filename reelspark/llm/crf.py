@@ -36,13 +36,17 @@ class Crf:
     def decode(self, sentences: list[Features], cells: int = 1 << 16) -> list[list[str]]:
         """Best label sequences. Sentences of like length go through Viterbi together, `cells` tokens at most, or one
         sentence alone."""
+        return self.decode_scores(sentences, cells, self.scores)
+
+    def decode_scores(self, sentences: list, cells: int = 1 << 16, scores: Callable = lambda s: s) -> list[list[str]]:
+        """The same from emission scores of each sentence, or from what `scores` makes them of."""
         out: list[list[str]] = [[] for _ in sentences]
         order = sorted((k for k in range(len(sentences)) if len(sentences[k])), key=lambda k: len(sentences[k]))
         while order:
             longest = len(sentences[order[-1]])
             some = order[-max(1, cells // longest):]
             del order[-len(some):]
-            for k, path in zip(some, self._viterbi([self.scores(sentences[k]) for k in some])):
+            for k, path in zip(some, self._viterbi([scores(sentences[k]) for k in some])):
                 out[k] = [self.labels[i] for i in path]
         return out
 

@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -140,12 +141,8 @@ item A4711 and B52 and R2D2 were sold
 
 WORD = re.compile(r"\S+")
 MARK = re.compile(r"\{(\w+)\|([^}]*)\}")
-TITLES = ("Mr", "Ms", "Dr")
-TRIGGER = re.compile(r"[0-9=]")
-TITLED = re.compile(r"\b(?:Mrs?|Ms|Dr)\b\.?")
 RUNS = ((re.compile(r"[A-Z]+"), "X"), (re.compile(r"[a-z]+"), "x"), (re.compile(r"[^\x00-\x7F]+"), "u"))
 NUMBER = re.compile(r"[0-9]+")
-AROUND = 2
 
 
 def shape(word: str) -> str:
@@ -216,48 +213,86 @@ def model() -> Crf:
     return train([features(w) for w, _ in pairs], [t for _, t in pairs], _allowed)
 
 
-def _windows(text: str) -> list[tuple[int, int]]:
-    """Stretches of words around those that hold a digit or an equals sign or are a title; only there can the field find
-    anything but none (a word outside has no feature of a span in training)."""
-    marks = [(m.start(), m.end()) for m in TITLED.finditer(text)] if any(t in text for t in TITLES) else []
-    m = TRIGGER.search(text)
-    while m:
-        end = m.end()
-        while end < len(text) and not text[end].isspace():
-            end += 1
-        marks.append((m.start(), end))
-        m = TRIGGER.search(text, end)
-    out: list[tuple[int, int]] = []
-    for start, end in sorted(marks):
-        start, end = _outward(text, start, -1), _outward(text, end, 1)
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((start, end))
-    return out
-
-
-def _outward(text: str, at: int, step: int) -> int:
-    """The place AROUND words further, from inside a word or its edge."""
-    def char(i: int) -> str:
-        i = i if step > 0 else i - 1
-        return text[i] if 0 <= i < len(text) else ""
-
-    for k in range(AROUND + 1):
-        while k and char(at).isspace():
-            at += step
-        while char(at) and not char(at).isspace():
-            at += step
-    return at
-
-
-def find_all(texts: list[str | None], crf: Crf) -> list[list[tuple[str, int, int, bool]]]:
-    """For each text its base spans and, where they overlap none of these, those of the field."""
+class Words(dict):
+    """Numbers of words, and what a word adds to the scores of its own place, of the next, of the one after that, and of
+    the one before."""
+
+    ROOM, RUN = 50_000, 1 << 14
+
+    def __init__(self, crf: Crf):
+        self.crf = crf
+        self.parts = np.zeros((4, self.ROOM + self.RUN, len(crf.labels)))
+        labels = crf.labels.index("O")
+        self.rest = [k for k in range(len(crf.labels)) if k != labels]
+        self.none = labels
+        gain = crf.move - crf.move[labels, labels]
+        gain[labels, labels] = 0
+        self.step = max(0.0, float(gain.max()))
+
+    def __missing__(self, word: str) -> int:
+        own = traits(word)
+        near = [x for x in own if x.startswith(("word", "shape"))]
+        k = len(self)
+        for part, names in zip(self.parts, (["bias", *own], *([f"{at}:{x}" for x in near] for at in ("before", "before2", "after")))):
+            part[k] = self.crf.scores([names])[0]
+        self[word] = k
+        return k
+
+    def scores(self, words: list[str], first: int, end: int) -> np.ndarray:
+        """Emission scores of words [first, end), at most RUN - 3 of them, as those of `features`."""
+        if len(self) > self.ROOM:
+            self.clear()
+        low = max(0, first - 2)
+        some = words[low:end + 1]
+        ids = np.fromiter(map(self.__getitem__, some), np.int64, len(some))
+        out = self.parts[0][ids]
+        out[1:] += self.parts[1][ids[:-1]]
+        out[2:] += self.parts[2][ids[:-2]]
+        out[:-1] += self.parts[3][ids[1:]]
+        return out[first - low:end - low]
+
+    def open_runs(self, words: list[str]) -> list[tuple[int, int]]:
+        """Runs of words [first, end) outside which the best labelling of the whole text is O.
+
+        Labels other than O on words i to j gain, over O on all of them, at most what the best other label of each word
+        has above O, and `step` for each of the j - i + 2 moves. Where no such stretch around a word gains, it is O."""
+        size = self.RUN - 3
+        c = np.empty(len(words))
+        for at in range(0, len(words), size):
+            e = self.scores(words, at, min(at + size, len(words)))
+            c[at:at + len(e)] = e[:, self.rest].max(1) - e[:, self.none] + self.step
+        total = np.concatenate([[0.0], np.cumsum(c)])
+        low = np.minimum.accumulate(total)[:-1]
+        high = np.maximum.accumulate(total[::-1])[::-1][1:]
+        shut = np.concatenate([[True], high - low + self.step < -1e-6, [True]])
+        edges = np.flatnonzero(np.diff(shut.astype(np.int8)))
+        return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+    def run_scores(self, words: list[str], first: int, end: int) -> np.ndarray:
+        """Scores of a run, between words that are O for certain where the text goes on."""
+        size = self.RUN - 3
+        parts = [self.scores(words, at, min(at + size, end)) for at in range(first, end, size)]
+        edge = np.full((1, len(self.crf.labels)), -1e9)
+        edge[0, self.none] = 0
+        return np.concatenate([*([edge] if first else []), *parts, *([edge] if end < len(words) else [])])
+
+
+def find_all(texts: list[str | None], crf: Crf, known: Words | None = None) -> list[list[tuple[str, int, int, bool]]]:
+    """For each text its base spans and, where they overlap none of these, those of the field, which labels whole texts."""
     base = [base_spans(t or "") for t in texts]
-    parts = [(k, a, [(m[0], m.start() + a) for m in WORD.finditer(t[a:b])])
-             for k, t in enumerate(texts) if t for a, b in _windows(t)]
+    if known is None:
+        known = Words(crf)
+    parts, scores = [], []
+    for k, text in enumerate(texts):
+        every = (text or "").split()
+        runs = known.open_runs(every)
+        places = [m.start() for m in WORD.finditer(text)] if runs else []
+        for first, end in runs:
+            parts.append((k, first > 0, list(zip(every[first:end], places[first:end]))))
+            scores.append(known.run_scores(every, first, end))
     found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    for (k, _, words), tags in zip(parts, crf.decode([features([w for w, _ in p[2]]) for p in parts])):
+    for (k, edge, words), tags in zip(parts, crf.decode_scores(scores)):
+        tags = tags[edge:edge + len(words)]
         i = 0
         while i < len(words):
             if tags[i] == "O":
@@ -290,9 +325,11 @@ def personal_spans(docs: DataFrame, out: str = "personal") -> DataFrame:
     crf = docs.sparkSession.sparkContext.broadcast(model())
 
     @F.pandas_udf(SPANS)
-    def find(texts: pd.Series) -> pd.Series:
-        spans = find_all(list(texts), crf.value)
-        return pd.Series([[dict(zip(("kind", "start", "end", "base"), s)) for s in row] for row in spans], index=texts.index)
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = Words(crf.value)
+        for texts in batches:
+            spans = find_all(list(texts), crf.value, known)
+            yield pd.Series([[dict(zip(("kind", "start", "end", "base"), s)) for s in row] for row in spans], index=texts.index)
 
     return docs.withColumn(out, find(F.col("text")))
 
@@ -302,16 +339,18 @@ def mask_personal(docs: DataFrame) -> DataFrame:
     crf = docs.sparkSession.sparkContext.broadcast(model())
 
     @F.pandas_udf("string")
-    def mask(texts: pd.Series) -> pd.Series:
-        out = []
-        for text, spans in zip(texts, find_all(list(texts), crf.value)):
-            done, parts = 0, []
-            for kind, start, end, _ in spans:
-                if start >= done:
-                    parts += [text[done:start], f"[{kind.upper()}]"]
-                done = max(done, end)
-            out.append("".join([*parts, text[done:]]) if spans else text)
-        return pd.Series(out, index=texts.index, dtype=object)
+    def mask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = Words(crf.value)
+        for texts in batches:
+            out = []
+            for text, spans in zip(texts, find_all(list(texts), crf.value, known)):
+                done, parts = 0, []
+                for kind, start, end, _ in spans:
+                    if start >= done:
+                        parts += [text[done:start], f"[{kind.upper()}]"]
+                    done = max(done, end)
+                out.append("".join([*parts, text[done:]]) if spans else text)
+            yield pd.Series(out, index=texts.index, dtype=object)
 
     masked = docs.withColumn("text", mask(F.col("text")))
     return masked.withColumn("n_chars", F.char_length("text").cast("bigint")) if "n_chars" in docs.columns else masked

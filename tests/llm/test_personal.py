@@ -73,6 +73,34 @@ def test_field_on_unseen_sentences():
         assert found(text) == []
 
 
+PARTS = [w for line in p.LABELLED for w in p._labelled(line)[0]] + "the a Tree MR. JOHN Mrs. stone = x=9z8 77 Äpfel :".split()
+
+
+@given(st.lists(st.sampled_from(PARTS), max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_runs_give_the_labels_of_the_whole_text(words):
+    crf = p.model()
+    known = p.Words(crf)
+    got = ["O"] * len(words)
+    for a, b in known.open_runs(words):
+        got[a:b] = crf.decode_scores([known.run_scores(words, a, b)])[0][a > 0:][:b - a]
+    assert got == crf.decode([p.features(words)])[0]
+
+
+def test_scores_in_parts_are_those_of_the_features(monkeypatch):
+    monkeypatch.setattr(p.Words, "RUN", 20)
+    monkeypatch.setattr(p.Words, "ROOM", 30)
+    known = p.Words(p.model())
+    words = PARTS[:200]
+    assert np.allclose(known.run_scores(words, 0, 200), p.model().scores(p.features(words)))
+
+
+def test_names_are_read_to_their_end(documents):
+    assert found("we met Mr. Harold James Finch there") == [("name", "Harold James Finch")]
+    row = p.mask_personal(documents(["we met Mr. Harold James Finch there"])).first()
+    assert row.text == "we met Mr. [NAME] there"
+
+
 def test_masking(documents):
     text = "write to a.b@c.de or call +1 (650) 555-0100 now"
     row = p.mask_personal(documents([text, None, "clean"])).collect()
