@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reelspark.llm.common import alnum_words, query, table
+from reelspark.llm.common import alnum_words, query, table, written
 
 #: Rows of the hashed embedding table, for words and again for their beginnings.
 ROWS = 1 << 17
@@ -32,6 +32,8 @@ PART = 30_000
 #: Languages that get a threshold of their own, at most, and toxic rows needed for one.
 LANGUAGES = 256
 LEAST_TOXIC = 20
+#: Labelled rows are counted by logit, in cells of 1 / CELLS, up to FAR from 0 either way.
+CELLS, FAR = 256, 64
 
 
 class WordIds(dict):
@@ -210,24 +212,24 @@ class Cnn:
         state["table"][touched] += total * total
         self.table[touched] -= rate * total / np.sqrt(state["table"][touched])
 
-    def calibrate(self, texts: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, langs: list[str | None]) -> None:
-        """Scale and shift the logit to probabilities, then set thresholds, of all rows and of each language by itself
-        that has toxic rows enough, where they separate the labels best."""
-        z = self.logits(texts)
-        if len(set(labels)) == 2:
+    def calibrate(self, z: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> None:
+        """Scale and shift the logit to probabilities by `clean` and `toxic` rows counted at each logit, and set the
+        threshold of all rows where it separates the labels best."""
+        if clean.sum() and toxic.sum():
             # smoothed targets and a weak pull towards a scale of 1 keep separable rows from driving the scale away
-            y = np.where(labels == 1, 1 - 1 / (labels.sum() + 2), 1 / ((1 - labels).sum() + 2))
+            z2, weight = np.concatenate([z, z]), np.concatenate([clean, toxic]).astype("f8")
+            y = np.repeat([1 / (clean.sum() + 2), 1 - 1 / (toxic.sum() + 2)], len(z))
 
             def loss(v: np.ndarray) -> float:
-                u = v[0] * z + v[1]
+                u = v[0] * z2 + v[1]
                 return float((weight * (np.logaddexp(0, u) - y * u)).sum() + (v[0] - 1) ** 2 / 2)
 
             v = np.array([1.0, 0.0])
             for _ in range(100):  # Newton's method on two numbers, steps halved until they help
-                p = 1 / (1 + np.exp(-np.clip(v[0] * z + v[1], -30, 30)))
-                g = np.array([((p - y) * weight * z).sum() + v[0] - 1, ((p - y) * weight).sum()])
+                p = 1 / (1 + np.exp(-np.clip(v[0] * z2 + v[1], -30, 30)))
+                g = np.array([((p - y) * weight * z2).sum() + v[0] - 1, ((p - y) * weight).sum()])
                 c = weight * p * (1 - p)
-                step = np.linalg.solve(np.array([[(c * z * z).sum() + 1, (c * z).sum()], [(c * z).sum(), c.sum() + 1e-6]]), g)
+                step = np.linalg.solve(np.array([[(c * z2 * z2).sum() + 1, (c * z2).sum()], [(c * z2).sum(), c.sum() + 1e-6]]), g)
                 while abs(step).max() > 1e-9 and loss(v - step) > loss(v):
                     step = step / 2
                 v = v - step
@@ -235,13 +237,18 @@ class Cnn:
                     break
             if v[0] > 0:
                 self.scale, self.shift = float(v[0]), float(v[1])
-        s = self.scores(texts)
-        self.threshold = _best_threshold(s, labels, weight, 0.5)
-        names = np.array([x or "" for x in langs], object)
-        for lang in sorted(set(names)):
-            mine = names == lang
-            if labels[mine].sum() >= LEAST_TOXIC:
-                self.thresholds[lang] = _best_threshold(s[mine], labels[mine], weight[mine], self.threshold)
+        self.threshold = self.threshold_at(z, clean, toxic)
+
+    def threshold_at(self, z: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
+        """The score that separates counted rows best."""
+        if not clean.sum() or not toxic.sum():
+            return self.threshold
+        there = [np.flatnonzero(clean), np.flatnonzero(toxic)]
+        at, y = np.concatenate([z[k] for k in there]), np.repeat([0, 1], [len(k) for k in there])
+        cut = _best_threshold(at, y, np.concatenate([clean[there[0]], toxic[there[1]]]).astype("f8"), 0.0)
+        if cut <= at.min():
+            cut = at.min() - 0.5 / CELLS  # the lowest cell as a whole
+        return float(1 / (1 + np.exp(-np.clip(self.scale * cut + self.shift, -40, 40))))
 
 
 def _best_threshold(scores: np.ndarray, labels: np.ndarray, weight: np.ndarray, otherwise: float) -> float:
@@ -265,12 +272,11 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Cnn:
     """A classifier fitted on labelled documents whose crc32 remainder is not 0.
 
     At most FIT_ROWS rows of each label are taken, in the order of a hash of doc_id, and of these rows those of at most
-    FIT_WORDS words, which bounds the one task that trains. Rows of remainder 1 calibrate, weighted so that
-    each label has its share of all labelled rows; the others train, with even weight on both labels. Rows without id or label count as unlabelled; of contradictory
+    FIT_WORDS words, which bounds the one task that trains. Of these, rows of remainders above 1 train, with even weight on
+    both labels. All labelled rows of remainder 1, of any length, calibrate. Rows without id or label count as unlabelled; of contradictory
     labels the larger holds. Without rows of both labels the classifier stays near an even score."""
     learn = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id")) != 0))
     learn = learn.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    share = {r["toxic"]: r["n"] for r in learn.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     some = [learn.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in FIT_ROWS.items()]
 
     @F.pandas_udf("array<bigint>")
@@ -279,27 +285,57 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Cnn:
         return pd.Series([word_ids(t, memo) for t in texts], index=texts.index)
 
     rows = docs.select("doc_id", "text", "lang").join(F.broadcast(some[0].union(some[1])), "doc_id")
-    rows = rows.select("doc_id", "toxic", "lang", remainder(F.col("doc_id")).alias("fold"), ids("text").alias("ids"))
-    total = sum(share.values()) or 1
+    rows = rows.filter(remainder(F.col("doc_id")) > 1).select("doc_id", "toxic", ids("text").alias("ids"))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = sorted((r for b in batches for r in zip(*(b[c].to_pylist() for c in ("doc_id", "toxic", "fold", "lang")), _arrays(b["ids"]))),
+        got = sorted((r for b in batches for r in zip(*(b[c].to_pylist() for c in ("doc_id", "toxic")), _arrays(b["ids"]))),
                      key=lambda r: r[:2])
         y = np.array([r[1] for r in got], int)
-        fold = np.array([r[2] for r in got], int)
         taken = {k: max(1, int((y == k).sum())) for k in (0, 1)}
-        w = np.array([share.get(k, 0) / total / taken[k] * len(y) for k in y])
         even = np.where(y == 1, 0.5 / taken[1], 0.5 / taken[0]) * len(y)  # calibration brings the true shares back
-        learn, check = np.flatnonzero(fold > 1), np.flatnonzero(fold == 1)
         model = Cnn.new()
-        if len(set(y[learn])) == 2:
-            model.fit([got[k][4] for k in learn], y[learn], even[learn])
-        model.calibrate([got[k][4] for k in check], y[check], w[check], [got[k][3] for k in check])
+        if len(set(y)) == 2:
+            model.fit([r[2] for r in got], y, even)
         yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
 
     # the bounded sample trains in one task, so that the driver holds the finished model alone
     done = rows.filter(F.size("ids") <= FIT_WORDS).repartition(1).mapInArrow(train, "model binary").first()
-    return pickle.loads(bytes(done["model"])) if done else Cnn.new()
+    model = pickle.loads(bytes(done["model"])) if done else Cnn.new()
+    check = learn.filter(remainder(F.col("doc_id")) == 1)
+    return calibrated(model, docs.select("doc_id", "text", "lang").join(check, "doc_id"))
+
+
+def calibrated(model: Cnn, rows: DataFrame) -> Cnn:
+    """The model with scale, shift and thresholds from all `rows` (text, lang, toxic), counted by language and logit."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("int")
+    def cell(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memo = WordIds()
+        for texts in batches:
+            parts = [
+                shared.value.logits([word_ids(t, memo) for t in texts.iloc[k:k + 500]]) for k in range(0, len(texts), 500)]
+            z = np.concatenate(parts) if parts else np.zeros(0)
+            yield pd.Series(np.rint(np.clip(z, -FAR, FAR) * CELLS).astype("i4"))
+
+    counts = written(rows.select(F.coalesce("lang", F.lit("")).alias("lang"), "toxic", cell("text").alias("cell")).groupBy(
+        "lang", "cell").agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic")))
+    # no more rows than cells, whatever the input
+    total = counts.groupBy("cell").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).orderBy("cell").toPandas()
+    model.calibrate(total["cell"].to_numpy() / CELLS, total["clean"].to_numpy("i8"), total["toxic"].to_numpy("i8"))
+    basis = (model.scale, model.shift, model.threshold)
+
+    def one(group: pd.DataFrame) -> pd.DataFrame:
+        at = Cnn(*[np.zeros(0)] * 4, scale=basis[0], shift=basis[1], threshold=basis[2])
+        group = group.sort_values("cell")
+        t = at.threshold_at(group["cell"].to_numpy() / CELLS, group["clean"].to_numpy(), group["toxic"].to_numpy())
+        return pd.DataFrame({"lang": group["lang"].iloc[:1], "threshold": [t]})
+
+    named = counts.groupBy("lang").agg(F.sum("toxic").alias("n")).filter(F.col("n") >= LEAST_TOXIC)
+    named = named.orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang")
+    own = counts.join(F.broadcast(named), "lang", "left_semi").groupBy("lang").applyInPandas(one, "lang string, threshold double")
+    model.thresholds = {r["lang"]: r["threshold"] for r in own.collect()}
+    return model
 
 
 def _arrays(lists: pa.ListArray) -> list[np.ndarray]:

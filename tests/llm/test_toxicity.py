@@ -66,6 +66,20 @@ def test_best_threshold_separates():
     assert t._best_threshold(s, np.zeros(4), np.ones(4), 0.3) == 0.3
 
 
+def test_all_labelled_rows_calibrate(spark, monkeypatch):
+    """A language whose toxic rows hardly reach the sample of the fit, and rows too long for it, set the thresholds."""
+    monkeypatch.setattr(t, "FIT_ROWS", {1: 60, 0: 120})
+    docs = labelled(spark, 1500).withColumn("lang", F.when(F.col("doc_id") < 1300, "en").otherwise("fr"))
+    filler = " ".join(f"w{k % 60}" for k in range(t.FIT_WORDS + 100))
+    docs = docs.withColumn("text", F.when(F.col("lang") == "fr", F.concat("text", F.lit(" " + filler))).otherwise(F.col("text")))
+    labels = docs.select("doc_id", "toxic")
+    monkeypatch.setattr(t, "LEAST_TOXIC", 5)
+    seen = docs.filter((t.remainder(F.col("doc_id")) == 1) & (F.col("toxic") == 1)).groupBy("lang").count().collect()
+    assert min(r["count"] for r in seen) >= 5 and len(seen) == 2
+    model = t.fitted(docs.select("doc_id", "text", "lang"), labels)
+    assert set(model.thresholds) == {"en", "fr"}
+
+
 def test_odd_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None), (4, 1), (4, 0)], "doc_id bigint, toxic int")
     model = t.fitted(odd, labels)
