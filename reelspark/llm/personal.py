@@ -147,13 +147,12 @@ NUMBER = re.compile(r"[0-9]+")
 
 def shape(word: str) -> str:
     """Word shape: runs of capitals, small letters and others become one sign, digit runs d and their length up to 9."""
-    digits = NUMBER.sub(lambda m: f"\x00{min(9, m.end() - m.start())}", word[:64])
+    digits = NUMBER.sub(lambda m: f"\x00{min(9, m.end() - m.start())}", word)
     for run, sign in RUNS:
         digits = run.sub(sign, digits)
     return digits.replace("\x00", "d")
 
 
-@lru_cache(maxsize=20_000)
 def traits(word: str) -> tuple[str, ...]:
     """Features of a word on its own."""
     head, sign, tail = word.partition("=")
@@ -161,9 +160,9 @@ def traits(word: str) -> tuple[str, ...]:
     out = [f"shape={shape(core)}", f"ends={word[-1]}", f"starts={word[0]}"]
     if sign and tail:
         mixed = any(c.isdigit() for c in tail) and any(c.isalpha() for c in tail)
-        out += [f"assigns={head.lower()[:16]}", f"value={mixed}{min(len(tail), 24) // 8}"]
+        out += [f"assigns={head.lower()}", f"value={mixed}{min(len(tail), 24) // 8}"]
     elif core.isalpha():
-        out += [f"word={core.lower()[:16]}", f"capital={core[0].isupper()}"]
+        out += [f"word={core.lower()}", f"capital={core[0].isupper()}"]
     else:
         letters, digits = sum(map(str.isalpha, core)), sum(map(str.isdigit, core))
         out += [f"mixed={letters > 0}{digits > 0}{min(len(core), 32) // 4}", f"capitals={core.isupper()}"]
@@ -214,28 +213,43 @@ def model() -> Crf:
 
 
 class Words(dict):
-    """Numbers of words, and what a word adds to the scores of its own place, of the next, of the one after that, and of
-    the one before."""
+    """Numbers of what words add to the scores of their own place, of the next, of the one after that, and of the one before.
 
-    ROOM, RUN = 50_000, 1 << 14
+    Words with the same known features add the same and share a number, so that a score is summed once for each set of
+    features that occurs, not for each word."""
+
+    ROOM, RUN, LONG = 50_000, 1 << 14, 64
 
     def __init__(self, crf: Crf):
         self.crf = crf
-        self.parts = np.zeros((4, self.ROOM + self.RUN, len(crf.labels)))
+        self.sets: dict[tuple, int] = {}
+        self.parts = np.zeros((4, 1024, len(crf.labels)))
         labels = crf.labels.index("O")
         self.rest = [k for k in range(len(crf.labels)) if k != labels]
         self.none = labels
         gain = crf.move - crf.move[labels, labels]
         gain[labels, labels] = 0
         self.step = max(0.0, float(gain.max()))
+        # numbers of a feature in its four roles, -1 where training never saw it
+        self.roles: dict[str, tuple] = {}
+        for name in crf.index:
+            own = name.partition(":")[2] if name.startswith(("before:", "before2:", "after:")) else name
+            self.roles[own] = tuple(
+                crf.index.get(x, -1) for x in (own, f"before:{own}", f"before2:{own}", f"after:{own}"))
+        self.bias = crf.index.get("bias", -1)
 
     def __missing__(self, word: str) -> int:
-        own = traits(word)
-        near = [x for x in own if x.startswith(("word", "shape"))]
-        k = len(self)
-        for part, names in zip(self.parts, (["bias", *own], *([f"{at}:{x}" for x in near] for at in ("before", "before2", "after")))):
-            part[k] = self.crf.scores([names])[0]
-        self[word] = k
+        known = tuple(r for r in map(self.roles.get, traits(word)) if r is not None)
+        k = self.sets.get(known)
+        if k is None:
+            k = self.sets[known] = len(self.sets)
+            if k == self.parts.shape[1]:
+                self.parts = np.concatenate([self.parts, np.zeros_like(self.parts)], 1)
+            for role, part in enumerate(self.parts):
+                ids = [self.bias] * (role == 0 and self.bias >= 0) + [r[role] for r in known if r[role] >= 0]
+                part[k] = self.crf.emit[ids].sum(0)
+        if len(word) <= self.LONG:  # others are looked at anew each time
+            self[word] = k
         return k
 
     def scores(self, words: list[str], first: int, end: int) -> np.ndarray:
