@@ -137,6 +137,23 @@ page=2&ref=x is a query
 ISBN 978-3-16-148410-0 is printed on it
 part no. 12-3456-78 fits
 item A4711 and B52 and R2D2 were sold
+MR. {name|JOHN SMITH} signed it
+DEAR MRS. {name|ANNA BELL}, THANKS
+ask DR. {name|WATSON} at once
+Mr. {name|Harold James Finch} came late
+IBAN {iban|DE89 3704 0044 0532 0130 00} please
+iban: {iban|GB29 NWBK 6016 1331 9268 19} for the rent
+pay {iban|FR14 2004 1010 0505 0001 3M02 606} now
+password: {secret|correcthorse} works
+my password: {secret|letmein} ends here
+the password: {secret|Summer2019!}
+passwd: {secret|qwerty} was changed
+password: see the note below it
+the password is in the safe
+rooms AB12 3456 and 7890 are free
+lines 1200 3400 5600 and 7800 of it
+THE LICENSE AND ALL OTHER RIGHTS
+A NOTICE TO ALL READERS OF IT
 """.strip().splitlines()
 
 WORD = re.compile(r"\S+")
