@@ -3,12 +3,12 @@ from the text."""
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -38,7 +38,7 @@ class WordIds(dict):
 
     def __missing__(self, word: bytes) -> int:
         self[word] = k = len(self)
-        self.hashes.append(int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little"))
+        self.hashes.append(xxhash.xxh64_intdigest(word))
         return k
 
 
@@ -54,9 +54,8 @@ def token_ids(text: str, known: WordIds) -> np.ndarray:
                 end += SEGMENT
                 cut = max(raw.rfind(b" ", at, end), raw.rfind(b"\xff", at, end))
             end = cut + 1 if cut >= at else len(raw)
-        # words end at spaces alone: other white space was turned into the end of a piece, or is part of a word
-        words = raw[at:end].replace(b"\xff", b" \xff ").split(b" ")
-        words = list(filter(None, words))
+        # the other white space that split() knows has become the end of a piece
+        words = raw[at:end].replace(b"\xff", b" \xff ").split()
         parts.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
         at = end
     return np.concatenate([*parts, np.zeros(1, np.int64)])
@@ -90,7 +89,7 @@ class Powers:
 
 
 def lang_hash(lang: str) -> int:
-    return int.from_bytes(hashlib.blake2b(lang.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
+    return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 1)
 
 
 @dataclass
@@ -129,50 +128,51 @@ def frequent_filter(prints: DataFrame) -> Broadcast:
 
 @dataclass
 class Chunk:
-    """Tokens of one language with the document and the word each stands at."""
+    """Tokens of one language, a chunk and a few more that only continue n-grams, and the document of each."""
 
     ids: np.ndarray
     docs: np.ndarray
     lang: str
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], longest: int, known: WordIds, ids: bool) -> Iterator[Chunk]:
-    """Token runs by language, each of CHUNK tokens and the `longest` - 1 after it; starts count in the first CHUNK only."""
+def _chunks(batches: Iterator[pa.RecordBatch], longest: int, chunk: int, known: WordIds, docs: bool) -> Iterator[Chunk]:
+    """Token runs by language. The language that holds most is handed on when all hold three chunks together."""
     held: dict[str, list[tuple[np.ndarray, int]]] = {}
-    size = 0
-
-    def flush() -> Iterator[Chunk]:
-        for lang, texts in held.items():
-            every = np.concatenate([t for t, _ in texts])
-            docs = np.repeat([d for _, d in texts], [len(t) for t, _ in texts]) if ids else every[:0]
-            for at in range(0, len(every), CHUNK):
-                yield Chunk(every[at:at + CHUNK + longest - 1], docs[at:at + CHUNK], lang)
-        held.clear()
-        if len(known) > WORDS:
-            known.clear()
-            known.__init__()
+    sizes: dict[str, int] = {}
+
+    def flush(lang: str) -> Iterator[Chunk]:
+        texts = held.pop(lang)
+        del sizes[lang]
+        every = np.concatenate([t for t, _ in texts])
+        of = np.repeat([d for _, d in texts], [len(t) for t, _ in texts]) if docs else every[:0]
+        for at in range(0, len(every), chunk):
+            yield Chunk(every[at:at + chunk + longest - 1], of[at:at + chunk], lang)
 
     for batch in batches:
-        langs = batch["lang"].to_pylist()
-        docs = batch["doc_id"].to_pylist() if ids else [0] * batch.num_rows
-        for lang, doc, text in zip(langs, docs, batch["text"]):
+        ids = batch["doc_id"].to_pylist() if docs else [0] * batch.num_rows
+        for lang, doc, text in zip(batch["lang"].to_pylist(), ids, batch["text"]):
             text = text.as_py()
             if text:
                 tokens = token_ids(text, known)
                 held.setdefault(lang, []).append((tokens, -1 if doc is None else doc))
-                size += len(tokens)
-            if size >= CHUNK or len(known) > WORDS:
-                yield from flush()
-                size = 0
-    yield from flush()
+                sizes[lang] = sizes.get(lang, 0) + len(tokens)
+                if sum(sizes.values()) >= 3 * chunk:
+                    yield from flush(max(sizes, key=sizes.get))
+            if len(known) > WORDS:
+                for some in list(held):
+                    yield from flush(some)
+                known.clear()
+                known.__init__()
+    for some in list(held):
+        yield from flush(some)
 
 
 class Reader:
     """Finds the n-grams of a chunk that may be frequent, by the filters of shorter ones."""
 
-    def __init__(self, longest: int, words: Frequent | None, pairs: Frequent | None):
-        self.longest, self.words, self.pairs = longest, words, pairs
-        self.known, self.powers = WordIds(), Powers(CHUNK + longest)
+    def __init__(self, longest: int, chunk: int, words: Frequent | None, pairs: Frequent | None):
+        self.chunk, self.words, self.pairs = chunk, words, pairs
+        self.known, self.powers = WordIds(), Powers(chunk + longest)
 
     def prints(self, chunk: Chunk, sizes: range) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(n, places, fingerprints) of n-grams within pieces whose words, and whose pairs of words, pass the filters."""
@@ -180,7 +180,7 @@ class Reader:
         lang = lang_hash(chunk.lang)
         good = np.ones(len(table), bool) if self.words is None else self.words.has(Powers.named(table, 1, lang))
         good[0] = False
-        starts = min(len(chunk.ids), CHUNK)
+        starts = min(len(chunk.ids), self.chunk)
         word = good[chunk.ids]
         hashes = table[chunk.ids]
         fits, pair = word, None
@@ -199,13 +199,13 @@ class Reader:
                 yield n, at, self.powers.grams(hashes, n, lang)[at]
 
 
-def _print_counts(texts: DataFrame, sizes: range, longest: int, words: Broadcast | None, pairs: Broadcast | None) -> DataFrame:
-    """Fingerprints of n-grams with their counts in a chunk and a pointer to one occurrence there, summed over all chunks."""
+def _print_counts(texts: DataFrame, sizes: range, longest: int, chunk: int, words: Broadcast | None, pairs: Broadcast | None) -> DataFrame:
+    """Fingerprints of n-grams with their counts, summed over all chunks."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(longest, words and words.value, pairs and pairs.value)
-        for chunk in _chunks(batches, longest, reader.known, ids=False):
-            for _, _, prints in reader.prints(chunk, sizes):
+        reader = Reader(longest, chunk, words and words.value, pairs and pairs.value)
+        for part in _chunks(batches, longest, chunk, reader.known, docs=False):
+            for _, _, prints in reader.prints(part, sizes):
                 found, counts = np.unique(prints, return_counts=True)
                 if len(found):
                     yield pa.RecordBatch.from_pydict({"print": found.view(np.int64), "count": counts})
@@ -214,24 +214,22 @@ def _print_counts(texts: DataFrame, sizes: range, longest: int, words: Broadcast
 
 
 def _grouped(prints: np.ndarray, at: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """First places and counts of equal n-grams. Equal fingerprints are compared word by word, so that a collision makes
-    two groups."""
-    order = np.argsort(prints, kind="stable")
+    """Places of equal n-grams together, and where each group starts. Equal fingerprints are compared word by word, so that
+    a collision makes two groups."""
+    order = np.argsort(prints)
     s, place = prints[order], at[order]
     new = np.concatenate([[True], s[1:] != s[:-1]])
     first = np.repeat(place[new], np.diff(np.append(np.flatnonzero(new), len(s))))
     if any((ids[place + t] != ids[first + t]).any() for t in range(n)):
-        order = np.lexsort([at, *(ids[at + t] for t in reversed(range(n))), prints])
+        order = np.lexsort([*(ids[at + t] for t in reversed(range(n))), prints])
         place = at[order]
         new = np.concatenate([[True], np.any([ids[place[1:] + t] != ids[place[:-1] + t] for t in range(n)], axis=0)])
-    starts = np.flatnonzero(new)
-    return place[starts], np.diff(np.append(starts, len(place)))
+    return place, np.flatnonzero(new)
 
 
-def phrase_counts(docs: DataFrame, least: int = 30, longest: int = 4) -> DataFrame:
+def phrase_counts(docs: DataFrame, least: int = 30, longest: int = 4, chunk: int = CHUNK) -> DataFrame:
     """Counts of all phrases of 1 to `longest` words that occur at least `least` times in a language: lang, n_words, phrase,
-    count, and a pointer (seen_doc, seen_at: word within the language's run) to one occurrence; n_words 0 has the number of
-    all words.
+    count, and seen_doc, the smallest doc_id it occurs in; n_words 0 has the number of all words.
 
     A phrase lies within a piece. No phrase is more frequent than its parts, so words are counted first, then pairs of
     frequent words, then longer n-grams of frequent pairs, each by 64-bit fingerprint. A last pass reads the texts again,
@@ -241,7 +239,7 @@ def phrase_counts(docs: DataFrame, least: int = 30, longest: int = 4) -> DataFra
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
 
     def frequent(sizes: range, words: Broadcast | None = None, pairs: Broadcast | None = None) -> Broadcast:
-        counts = _print_counts(texts.select("lang", "text"), sizes, longest, words, pairs)
+        counts = _print_counts(texts.select("lang", "text"), sizes, longest, chunk, words, pairs)
         return frequent_filter(written(counts.filter(F.col("count") >= least).select("print")))
 
     words = frequent(range(1, 2))
@@ -249,38 +247,36 @@ def phrase_counts(docs: DataFrame, least: int = 30, longest: int = 4) -> DataFra
     rest = frequent(range(3, longest + 1), words, pairs) if longest > 2 else None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(longest, words.value, pairs and pairs.value)
-        for chunk in _chunks(batches, longest, reader.known, ids=True):
+        reader = Reader(longest, chunk, words.value, pairs and pairs.value)
+        for part in _chunks(batches, longest, chunk, reader.known, docs=True):
             names = list(reader.known)
-            start = chunk.ids[:CHUNK]
+            start = part.ids[:chunk]
             total = int((start > 0).sum())
-            rows: dict[str, list] = {"n_words": [0], "phrase": [""], "count": [total], "seen_doc": [None], "seen_at": [None]}
-            for n, at, prints in reader.prints(chunk, range(1, longest + 1)):
+            rows: dict[str, list] = {"n_words": [0], "phrase": [""], "count": [total], "seen_doc": [None]}
+            for n, at, prints in reader.prints(part, range(1, longest + 1)):
                 if n > 2:
                     kept = rest.value.has(prints)
                     at, prints = at[kept], prints[kept]
                 if not len(at):
                     continue
-                place, counts = _grouped(prints, at, chunk.ids, n)
-                rows["n_words"] += [n] * len(place)
+                place, starts = _grouped(prints, at, part.ids, n)
+                first = place[starts]
+                rows["n_words"] += [n] * len(first)
                 rows["phrase"] += [
                     b" ".join([names[i] for i in gram]).decode("utf-8", "surrogatepass")
-                    for gram in np.stack([chunk.ids[place + t] for t in range(n)], 1).tolist()]
-                rows["count"] += counts.tolist()
-                rows["seen_doc"] += chunk.docs[place].tolist()
-                rows["seen_at"] += place.tolist()
-            yield pa.RecordBatch.from_pydict({"lang": [chunk.lang] * len(rows["count"]), **rows}, schema=SCHEMA)
+                    for gram in np.stack([part.ids[first + t] for t in range(n)], 1).tolist()]
+                rows["count"] += np.diff(np.append(starts, len(place))).tolist()
+                rows["seen_doc"] += np.minimum.reduceat(part.docs[place], starts).tolist()
+            yield pa.RecordBatch.from_pydict({"lang": [part.lang] * len(rows["count"]), **rows}, schema=SCHEMA)
 
-    found = texts.mapInArrow(read, "lang string, n_words int, phrase string, count bigint, seen_doc bigint, seen_at bigint")
-    seen = F.min(F.struct("seen_doc", "seen_at"))
-    counts = found.groupBy("lang", "n_words", "phrase").agg(F.sum("count").alias("count"), seen.alias("seen"))
-    return written(counts.filter((F.col("count") >= least) | (F.col("n_words") == 0)).select(
-        "lang", "n_words", "phrase", "count", "seen.seen_doc", "seen.seen_at"))
+    found = texts.mapInArrow(read, "lang string, n_words int, phrase string, count bigint, seen_doc bigint")
+    counts = found.groupBy("lang", "n_words", "phrase").agg(F.sum("count").alias("count"), F.min("seen_doc").alias("seen_doc"))
+    return written(counts.filter((F.col("count") >= least) | (F.col("n_words") == 0)))
 
 
 SCHEMA = pa.schema([
     ("lang", pa.string()), ("n_words", pa.int32()), ("phrase", pa.string()), ("count", pa.int64()),
-    ("seen_doc", pa.int64()), ("seen_at", pa.int64())])
+    ("seen_doc", pa.int64())])
 
 
 def _part(first: Column | int, count: Column | int) -> Column:
@@ -288,7 +284,7 @@ def _part(first: Column | int, count: Column | int) -> Column:
 
 
 def collocations(
-    docs: DataFrame, least: int = 30, longest: int = 4, top: int = 2000, absorbed: int = 80,
+    docs: DataFrame, least: int = 30, longest: int = 4, top: int = 2000, absorbed: int = 80, chunk: int = CHUNK,
 ) -> DataFrame:
     """Each language's best `top` phrases of 2 to `longest` words: lang, rank, phrase, a, l, r, n, score, seen_doc.
 
@@ -296,7 +292,7 @@ def collocations(
     Phrases inside a longer candidate of at least `absorbed` percent of their count are left out. Exact throughout. Texts
     without words, empty tables and languages without frequent phrases give no rows; null texts are empty, repeated rows
     count each; of `docs` only doc_id, text and lang are read."""
-    counts = phrase_counts(docs, least, longest)
+    counts = phrase_counts(docs, least, longest, chunk)
     totals = counts.filter("n_words = 0").select("lang", F.col("count").alias("n"))
     f = counts.filter("n_words > 0")
     some = f.filter("n_words > 1").select(
