@@ -1,8 +1,8 @@
 """Fixture views: the driver's tables seen as recording assets, frames, tracks, ….
 
-Each view is a projection (at most one aggregation) written once for Spark and once, in `SQL`, for the oracle.
-The two sides of comparisons (`seq_status` and `mp4_status`, `status_a` and `status_b`) each leave out the rows that the
-other side alone has, and `labelled` the cases without a label; all others keep every row of their source table."""
+Each view is a projection (at most one aggregation) written once for Spark and once, in `SQL`, for the oracle, and keeps
+every row of its source table. Of the two sides of comparisons (`seq_status` and `mp4_status`, `status_a` and `status_b`) each
+gives keys of its own to a part of the rows, and `labelled` to the cases without a label."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelspark.constants import CAMERAS
 
+#: Added to the case numbers of one side of a comparison; above all order keys of the tables.
+OWN = 10**12
 ORIGIN = 1704067200  # 2024-01-01, the first day of the events table
 
 
@@ -74,9 +76,11 @@ def bundle_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _status(spark: SparkSession, d: str, flag: str) -> DataFrame:
-    li = table(spark, d, "lineitem").filter(F.col("l_linestatus") == flag)
+    """Rows of the other status and of line numbers above 3 are other cases here, so that each side has keys of its own."""
+    li = table(spark, d, "lineitem")
+    own = F.when((F.col("l_linestatus") != flag) & (F.col("l_linenumber") > 3), 10 if flag == "O" else 20).otherwise(0)
     keys = {
-        "recording_date": F.date_format("l_shipdate", "yyyy-MM-dd"), "case_no": F.col("l_linenumber"),
+        "recording_date": F.date_format("l_shipdate", "yyyy-MM-dd"), "case_no": F.col("l_linenumber") + own,
         "camera_name": _camera(F.col("l_suppkey")),
     }
     return li.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(
@@ -116,18 +120,21 @@ def people(spark: SparkSession, d: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, d: str) -> DataFrame:
-    """Labelled cases: those whose person has a label."""
-    docs = table(spark, d, "labels").select(F.col("doc_id").alias("anesthesiology_key"))
-    return details(spark, d).join(docs, "anesthesiology_key").select("recording_date", "case_no")
+    """Labelled cases: those whose person has a label; the others are labelled under a number no recording has."""
+    docs = table(spark, d, "labels").select(F.col("doc_id").alias("anesthesiology_key"), F.lit(0).alias("shift"))
+    case = F.col("case_no") + F.coalesce("shift", F.lit(100))
+    return details(spark, d).join(docs, "anesthesiology_key", "left").select("recording_date", case.alias("case_no"))
 
 
-def _orders_status(spark: SparkSession, d: str, lost: str, bump: str | None) -> DataFrame:
-    o = table(spark, d, "orders").filter(F.col("o_orderpriority") != lost)
+def _orders_status(spark: SparkSession, d: str, own: str, bump: str | None) -> DataFrame:
+    """Orders of the priority `own` have case numbers that the other side lacks."""
+    o = table(spark, d, "orders")
     size = F.floor(F.col("o_totalprice") / 1000).cast("bigint")
     if bump:
         size = size + F.when(F.col("o_orderstatus") == bump, 1).otherwise(0)
     return o.select(
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("recording_date"), F.col("o_orderkey").alias("case_no"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("recording_date"),
+        (F.col("o_orderkey") + F.when(F.col("o_orderpriority") == own, OWN).otherwise(0)).alias("case_no"),
         _camera(F.col("o_custkey")).alias("camera_name"),
         F.when(F.col("o_orderpriority") != "5-LOW", size).alias("size_mb"),
         F.concat(F.lit("Recordings/"), F.col("o_custkey"), F.lit("/"), F.col("o_orderkey"), F.lit(".mp4")).alias("path"),
@@ -291,12 +298,14 @@ VIEWS_SQL: dict[str, tuple[tuple[str, ...], str]] = {
     **{name: ((), f"""
         SELECT *, 'DATA_' || substr(recording_date, 3, 8) || '/Case' || case_no || '/' || camera_name || '/' || part_no
                   || '.mp4' AS path
-        FROM (SELECT strftime(l_shipdate, '%Y-%m-%d') AS recording_date, l_linenumber AS case_no,
+        FROM (SELECT strftime(l_shipdate, '%Y-%m-%d') AS recording_date,
+                     l_linenumber + CASE WHEN l_linestatus <> '{flag}' AND l_linenumber > 3
+                                    THEN {10 if flag == "O" else 20} ELSE 0 END AS case_no,
                      {_camera_sql('l_suppkey')} AS camera_name,
                      CASE WHEN max(l_discount) > 0.01 THEN CAST(floor(max(l_extendedprice) / 100) AS BIGINT) END AS size_mb,
                      max(l_quantity) AS duration_minutes, min(l_partkey) AS part_no,
                      round(max(l_tax) * 100 - 4, 1) AS offset_seconds
-              FROM lineitem WHERE l_linestatus = '{flag}' GROUP BY 1, 2, 3)""")
+              FROM lineitem GROUP BY 1, 2, 3)""")
        for name, flag in (("seq_status", "O"), ("mp4_status", "F"))},
     "details": ((), """
         SELECT strftime(l_shipdate, '%Y-%m-%d') AS recording_date, l_linenumber AS case_no,
@@ -309,17 +318,19 @@ VIEWS_SQL: dict[str, tuple[tuple[str, ...], str]] = {
                END AS grade_a_date
         FROM part"""),
     "labelled": (("details",), """
-        SELECT recording_date, case_no FROM details JOIN labels ON anesthesiology_key = doc_id"""),
+        SELECT recording_date, case_no + CASE WHEN doc_id IS NULL THEN 100 ELSE 0 END AS case_no
+        FROM details LEFT JOIN labels ON anesthesiology_key = doc_id"""),
     "case_stats": (("mp4_status",), """
         SELECT recording_date, case_no, count(*) AS cameras_count FROM mp4_status WHERE size_mb IS NOT NULL
         GROUP BY 1, 2"""),
     **{name: ((), f"""
-        SELECT strftime(o_orderdate, '%Y-%m-%d') AS recording_date, o_orderkey AS case_no,
+        SELECT strftime(o_orderdate, '%Y-%m-%d') AS recording_date,
+               o_orderkey + CASE WHEN o_orderpriority = '{own}' THEN {OWN} ELSE 0 END AS case_no,
                {_camera_sql('o_custkey')} AS camera_name,
                CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(floor(o_totalprice / 1000) AS BIGINT) {bump} END AS size_mb,
                'Recordings/' || o_custkey || '/' || o_orderkey || '.mp4' AS path
-        FROM orders WHERE o_orderpriority <> '{lost}'""")
-       for name, lost, bump in (
+        FROM orders""")
+       for name, own, bump in (
            ("status_a", "1-URGENT", ""),
            ("status_b", "2-HIGH", "+ CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END"))},
     "frames": ((), """

@@ -218,10 +218,10 @@ def _(s, d):
 @query("pending_conversions", """
     SELECT s.recording_date, s.case_no, s.camera_name, s.size_mb, s.path
     FROM seq_status s LEFT JOIN mp4_status m USING (recording_date, case_no, camera_name)
-    WHERE s.size_mb >= 50 AND (m.size_mb IS NULL OR m.size_mb < 1) AND s.camera_name <> 'Injection_Port'""",
+    WHERE s.size_mb >= 50 AND (m.size_mb IS NULL OR m.size_mb < 1)""",
        "seq_status mp4_status")
 def _(s, d):
-    return R.pending_conversions(B.seq_status(s, d), B.mp4_status(s, d), CAMERAS[:-1])
+    return R.pending_conversions(B.seq_status(s, d), B.mp4_status(s, d), CAMERAS)
 
 
 @query("resample_cfr", """

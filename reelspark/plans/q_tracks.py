@@ -12,8 +12,8 @@ COORDS = [c for c in POINTS if not c.endswith("_conf")]
 
 
 def videos(s, d):
-    """Frame counts per video: one month of hours."""
-    return B.tracks(s, d).select("video").distinct().withColumn("n_frames", F.lit(720).cast("bigint"))
+    """Frame counts per video: up to its last keypoint row."""
+    return B.tracks(s, d).groupBy("video").agg((F.max("Frame_ID") + 1).alias("n_frames"))
 
 
 @query("subsample_frames", "SELECT det_no, frame FROM dets WHERE frame % 4 = 0", "dets")
@@ -49,14 +49,13 @@ def _(s, d):
 
 def boxes(s, d):
     """Track boxes: the detections moved a little."""
-    return B.dets(s, d).filter("event_type <> 'click'").select(
+    return B.dets(s, d).select(
         "video", "frame", F.col("det_no").alias("Track_ID"), (F.col("x1") + 5).alias("x1"), (F.col("y1") + 3).alias("y1"),
         (F.col("x2") + 5).alias("x2"), (F.col("y2") + 3).alias("y2"))
 
 
 @query("match_tracks", """
-    , t AS (SELECT video, frame, det_no AS Track_ID, x1 + 5 AS x1, y1 + 3 AS y1, x2 + 5 AS x2, y2 + 3 AS y2 FROM dets
-            WHERE event_type <> 'click'),
+    , t AS (SELECT video, frame, det_no AS Track_ID, x1 + 5 AS x1, y1 + 3 AS y1, x2 + 5 AS x2, y2 + 3 AS y2 FROM dets),
     o AS (SELECT t.video, t.frame, Track_ID, d.det_no, (least(t.x2, d.x2) - greatest(t.x1, d.x1)) AS w,
                  (least(t.y2, d.y2) - greatest(t.y1, d.y1)) AS h, (t.x2 - t.x1) * (t.y2 - t.y1) AS ta,
                  (d.x2 - d.x1) * (d.y2 - d.y1) AS da
@@ -93,14 +92,15 @@ def _(s, d):
 
 
 @query("remap_frames", """
-    SELECT ordinal, f - CASE WHEN lo >= 400 OR hi < 0 THEN lo ELSE 0 END AS Frame_ID
+    SELECT ordinal, f - CASE WHEN lo >= n_frames OR hi < 0 THEN lo ELSE 0 END AS Frame_ID
     FROM (SELECT *, min(f) OVER (PARTITION BY video) AS lo, max(f) OVER (PARTITION BY video) AS hi
-          FROM (SELECT *, Frame_ID + CASE WHEN CAST(video AS BIGINT) % 2 = 0 THEN 5000 ELSE -100 END AS f FROM tracks))
-    WHERE f - CASE WHEN lo >= 400 OR hi < 0 THEN lo ELSE 0 END BETWEEN 0 AND 399""", "tracks")
+          FROM (SELECT *, Frame_ID + CASE WHEN CAST(video AS BIGINT) % 2 = 0 THEN 5000 ELSE -100 END AS f,
+                       max(Frame_ID) OVER (PARTITION BY video) + 1 AS n_frames FROM tracks))
+    WHERE f - CASE WHEN lo >= n_frames OR hi < 0 THEN lo ELSE 0 END BETWEEN 0 AND n_frames - 1""", "tracks")
 def _(s, d):
     shift = F.when(F.col("video").cast("bigint") % 2 == 0, 5000).otherwise(-100)
     moved = B.tracks(s, d).withColumn("Frame_ID", F.col("Frame_ID") + shift)
-    return K.remap_frames(moved, videos(s, d).withColumn("n_frames", F.lit(400))).select("ordinal", "Frame_ID")
+    return K.remap_frames(moved, videos(s, d)).select("ordinal", "Frame_ID")
 
 
 H = ((1.5, 0.1, 3.0), (-0.2, 2.0, 1.0), (0.001, 0.002, 1.0))
@@ -115,7 +115,7 @@ def _(s, d):
 
 @query("as_of_pose", """
     , p AS (SELECT video, Track_ID, Frame_ID, max(ordinal) AS ordinal FROM tracks GROUP BY 1, 2, 3),
-    n AS (SELECT *, least(Frame_ID + 30, 719, coalesce(lead(Frame_ID) OVER (PARTITION BY video, Track_ID ORDER BY Frame_ID) - 1,
+    n AS (SELECT *, least(Frame_ID + 30, max(Frame_ID) OVER (PARTITION BY video), coalesce(lead(Frame_ID) OVER (PARTITION BY video, Track_ID ORDER BY Frame_ID) - 1,
                           1000000)) AS until FROM p)
     SELECT video, Track_ID, unnest(generate_series(Frame_ID, until)) AS frame, Frame_ID AS pose_frame, ordinal FROM n""", "tracks")
 def _(s, d):
@@ -123,7 +123,9 @@ def _(s, d):
     return K.as_of_pose(poses, videos(s, d), order="ordinal").select("video", "Track_ID", "frame", "pose_frame", "ordinal")
 
 
-NUMERIC = ("x1", "y1", "x2", "conf", "frame", "cls")
+PROFILED = (
+    ("x1", "double"), ("y1", "double"), ("x2", "double"), ("y2", "double"), ("conf", "double"), ("frame", "bigint"),
+    ("det_no", "bigint"), ("cls", "int"))
 
 
 @query("profile", " UNION ALL ".join(f"""
@@ -133,17 +135,18 @@ NUMERIC = ("x1", "y1", "x2", "conf", "frame", "cls")
            round(quantile_cont({c}, 0.75), 6) AS q75, count(*) - count({c}) AS missing,
            round((count(*) - count({c})) * 100.0 / count(*), 6) AS missing_pct
     FROM (SELECT * REPLACE (CASE WHEN k >= 10 THEN y1 END AS y1) FROM (SELECT *, CAST(y1 AS BIGINT) AS k FROM dets))"""
-    for c, t in (("x1", "double"), ("y1", "double"), ("frame", "bigint"), ("cls", "int"))), "dets")
+    for c, t in PROFILED), "dets")
 def _(s, d):
-    rows = B.dets(s, d).select("x1", F.when(F.col("y1") >= 10, F.col("y1")).alias("y1"), "frame", "cls")
-    return rounded(K.profile(rows))
+    rows = B.dets(s, d).withColumn("y1", F.when(F.col("y1") >= 10, F.col("y1")))
+    return rounded(K.profile(rows.select(*[c for c, _ in PROFILED])))
 
 
-@query("missing_columns", """
-    SELECT 'Left_Hip_y' AS "column", count(*) - count(Left_Hip_y) AS missing,
-           round((count(*) - count(Left_Hip_y)) * 100.0 / count(*), 6) AS missing_pct FROM tracks""", "tracks")
+@query("missing_columns", " UNION ALL ".join(f"""
+    SELECT '{c}' AS "column", count(*) - count({c}) AS missing,
+           round((count(*) - count({c})) * 100.0 / count(*), 6) AS missing_pct FROM tracks HAVING count({c}) < count(*)"""
+    for c in ("video", "Track_ID", "Frame_ID", "Timestamp", "ordinal", "conf", *POINTS)), "tracks")
 def _(s, d):
-    return rounded(K.missing_columns(B.tracks(s, d).select("Frame_ID", "Left_Hip_x", "Left_Hip_y")))
+    return rounded(K.missing_columns(B.tracks(s, d)))
 
 
 @query("track_profile", """
@@ -241,17 +244,17 @@ GRID = """
     , first_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video, Track_ID, Frame_ID ORDER BY ordinal) AS i FROM tracks)
                      WHERE i = 1),
     grid AS (SELECT video, Track_ID, unnest(generate_series(min(Frame_ID), max(Frame_ID))) AS Frame_ID FROM first_rows GROUP BY 1, 2),
-    full_rows AS (SELECT g.video, g.Track_ID, g.Frame_ID, f.Timestamp, f.Left_Hip_x, f.Left_Hip_y
+    full_rows AS (SELECT g.video, g.Track_ID, g.Frame_ID, f.Timestamp, """ + ", ".join(f"f.{c}" for c in POINTS) + """
                   FROM grid g LEFT JOIN first_rows f USING (video, Track_ID, Frame_ID))"""
+NINE = ", ".join(f"round({c}, 9) AS {c}" for c in ("Timestamp", *POINTS))
 
 
 def grid(s, d):
-    return K.reindex_frames(B.tracks(s, d), "ordinal", ["Timestamp", "Left_Hip_x", "Left_Hip_y"])
+    return K.reindex_frames(B.tracks(s, d), "ordinal", ["Timestamp", *POINTS])
 
 
 @query("reindex_frames", GRID + """
-    SELECT video, Track_ID, Frame_ID, round(Timestamp, 9) AS Timestamp, round(Left_Hip_x, 9) AS Left_Hip_x,
-           round(Left_Hip_y, 9) AS Left_Hip_y FROM full_rows""", "tracks")
+    SELECT video, Track_ID, Frame_ID, """ + NINE + " FROM full_rows", "tracks")
 def _(s, d):
     return rounded(grid(s, d), 9)
 
@@ -267,25 +270,24 @@ FILLED = GRID + ", bounds AS (SELECT *, " + ", ".join(
             OVER (PARTITION BY video, Track_ID ORDER BY Frame_ID ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lo_{c},
         first_value(CASE WHEN {c} IS NOT NULL THEN {{'f': Frame_ID, 'v': {c}}} END IGNORE NULLS)
             OVER (PARTITION BY video, Track_ID ORDER BY Frame_ID ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hi_{c}"""
-    for c in ("Timestamp", "Left_Hip_x", "Left_Hip_y")
+    for c in ("Timestamp", *POINTS)
 ) + f""" FROM full_rows),
     filled AS (SELECT video, Track_ID, Frame_ID, {_between('Timestamp', False)} AS Timestamp,
-                      {_between('Left_Hip_x', True)} AS Left_Hip_x, {_between('Left_Hip_y', True)} AS Left_Hip_y FROM bounds)"""
+                      {', '.join(f'{_between(c, True)} AS {c}' for c in POINTS)} FROM bounds)"""
 
 
 @query("interpolate_linear", FILLED + """
-    SELECT video, Track_ID, Frame_ID, round(Timestamp, 9) AS Timestamp, round(Left_Hip_x, 9) AS Left_Hip_x,
-           round(Left_Hip_y, 9) AS Left_Hip_y FROM filled""", "tracks")
+    SELECT video, Track_ID, Frame_ID, """ + NINE + " FROM filled", "tracks")
 def _(s, d):
-    return rounded(K.interpolate_linear(grid(s, d), ["Left_Hip_x", "Left_Hip_y"]), 9)
+    return rounded(K.interpolate_linear(grid(s, d), POINTS), 9)
 
 
 @query("smooth_centered", FILLED + """
-    SELECT video, Track_ID, Frame_ID, round(avg(Left_Hip_x) OVER w, 9) AS Left_Hip_x, round(avg(Left_Hip_y) OVER w, 9) AS Left_Hip_y
+    SELECT video, Track_ID, Frame_ID, """ + ", ".join(f"round(avg({c}) OVER w, 9) AS {c}" for c in COORDS) + """
     FROM filled WINDOW w AS (PARTITION BY video, Track_ID ORDER BY Frame_ID ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""", "tracks")
 def _(s, d):
-    filled = K.interpolate_linear(grid(s, d), ["Left_Hip_x", "Left_Hip_y"]).drop("Timestamp")
-    return rounded(K.smooth_centered(filled, ["Left_Hip_x", "Left_Hip_y"]), 9)
+    filled = K.interpolate_linear(grid(s, d), POINTS).select("video", "Track_ID", "Frame_ID", *COORDS)
+    return rounded(K.smooth_centered(filled, COORDS), 9)
 
 
 @query("union_tracks", """

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-#: Files that one task opens, about.
-PER_TASK = 100
+#: Tasks for each core, so that tasks of unlike files even out.
+PER_CORE = 8
 
 
-def spread(files: DataFrame, *keys: str, per_task: int = PER_TASK) -> DataFrame:
-    """The rows dealt out by `keys`, to as many tasks as cores at least.
+def spread(files: DataFrame, *keys: str, per_core: int = PER_CORE) -> DataFrame:
+    """The rows dealt out by `keys`, to a given number of tasks.
 
-    The number of partitions is given, since adaptive execution would merge them by their bytes: a listing is small,
-    the files that it names are not. The listing is counted for it."""
-    tasks = max(files.sparkSession.sparkContext.defaultParallelism, -(-files.count() // per_task))
-    return files.repartition(tasks, *keys)
+    The number is given, since adaptive execution would merge partitions by their bytes: a listing is small, the files
+    that it names are not."""
+    return files.repartition(per_core * files.sparkSession.sparkContext.defaultParallelism, *keys)

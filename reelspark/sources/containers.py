@@ -46,8 +46,8 @@ RANGE_RECORDS = 1 << 18
 BATCH_RECORDS = 1 << 16
 
 
-def _header_row(path: str) -> dict:
-    raw = read_range(path, 0, HEADER_BYTES)
+def header_row(path: str, raw: bytes) -> dict:
+    """Fields of a container's first HEADER_BYTES."""
     row: dict = {"path": path, "header_ok": False}
     if len(raw) < HEADER_BYTES or struct.unpack_from("<I", raw, 0)[0] != MAGIC:
         return row
@@ -75,13 +75,13 @@ def scan_seq_headers(files: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_header_row(p) for p in batch.column(0).to_pylist()]
+            rows = [header_row(p, read_range(p, 0, HEADER_BYTES)) for p in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_pylist(rows, schema=target)
 
     return spread(files.select("path"), "path").mapInArrow(read, HEADER_SCHEMA)
 
 
-def _frame_batch(path: str, first: int, records: np.ndarray) -> pa.RecordBatch:
+def frame_batch(path: str, first: int, records: np.ndarray) -> pa.RecordBatch:
     columns = {n: records[n].astype(np.int64) for n in RECORD.names if n != "reserved"}
     columns["rec_no"] = np.arange(first, first + len(records), dtype=np.int64)
     columns["file"] = pa.array([path] * len(records), pa.string())
@@ -108,12 +108,18 @@ def scan_frame_index(files: DataFrame, drop_empty: bool = False, range_records:
                     raw = read_range(r["path"], at * RECORD.itemsize, n * RECORD.itemsize)
                     whole = len(raw) // RECORD.itemsize
                     if whole:
-                        yield _frame_batch(r["path"], at, np.frombuffer(raw, RECORD, count=whole))
+                        yield frame_batch(r["path"], at, np.frombuffer(raw, RECORD, count=whole))
 
     frames = ranges.mapInArrow(read, FRAME_SCHEMA)
     return frames.filter("size > 0") if drop_empty else frames
 
 
+def seconds(record: np.ndarray) -> float:
+    """Capture time of a record."""
+    sub = int(record["ts_sub"])
+    return float(record["ts_seconds"]) + (sub & 0xFFFF) / 1e3 + ((sub >> 16) & 0xFFFF) / 1e6
+
+
 def scan_index_endpoints(files: DataFrame) -> DataFrame:
     """Frame count and first/last capture time from two small reads per index file.
 
@@ -123,10 +129,6 @@ def scan_index_endpoints(files: DataFrame) -> DataFrame:
         ("idx_file_size", pa.int64()),
     ])
 
-    def seconds(record: np.ndarray) -> float:
-        sub = int(record["ts_sub"])
-        return float(record["ts_seconds"]) + (sub & 0xFFFF) / 1e3 + ((sub >> 16) & 0xFFFF) / 1e6
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
