@@ -1,10 +1,10 @@
 """Data sources for container headers and frame indexes: `spark.read.format(...)` over a directory.
 
 Planning lists the directory once and cuts its files into partitions: headers and end points by number of files, records by
-byte range. The option `pathGlob` names the files to plan for. With `register(spark, push_filters=True)` filters on the path, and
-on the record number, reach planning as well, so that what they exclude is never opened. The filters stay with Spark all the
-same. Spark 4.1 keeps the plan of the first query with a loaded DataFrame, pushed filters included, so with pushed filters
-each query needs a load() of its own; they are off unless asked for."""
+byte range. The option `pathGlob` names the files to plan for. With the option `pushFilters` filters on the path, and on the
+record number, reach planning as well, so that what they exclude is never opened. The filters stay with Spark all the same.
+Spark 4.1 keeps the plan of the first query with a loaded DataFrame, pushed filters included, so with pushed filters each
+query needs a load() of its own; they are off unless asked for."""
 
 from __future__ import annotations
 
@@ -88,14 +88,10 @@ class _DirectoryReader(DataSourceReader):
             raise ValueError("load() needs a directory")
         self.root = options["path"]
         self.suffix = options.get("extension", suffix).lower()
-        self.glob = options.get("pathGlob".lower()) or options.get("pathGlob") or "*"
+        self.glob = options.get("pathGlob", "*")
         self.files = max(1, int(options.get("filesPerPartition", FILES)))
         self.filters: list[Filter] = []
 
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
-        self.filters = list(filters)
-        return self.filters
-
     def listing(self) -> list[tuple[str, int]]:
         system, inner = open_filesystem(self.root)
         prefix = self.root[: len(self.root) - len(inner)] if self.root.endswith(inner) else ""
@@ -185,6 +181,30 @@ class _Frames(_DirectoryReader):
                 continue
 
 
+class _Pushing(DataSourceReader):
+    """Lets filters into planning; all of them are returned, so Spark applies them as well."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        self.filters = list(filters)
+        return self.filters
+
+
+class _PushedHeaders(_Pushing, _Headers):
+    pass
+
+
+class _PushedEndpoints(_Pushing, _Endpoints):
+    pass
+
+
+class _PushedFrames(_Pushing, _Frames):
+    pass
+
+
+def _pushed(options: dict) -> bool:
+    return str(options.get("pushFilters", "false")).lower() == "true"
+
+
 _HEADER_ARROW = pa.schema([
     ("path", pa.string()), ("header_ok", pa.bool_()), ("description", pa.string()), ("width", pa.int64()),
     ("height", pa.int64()), ("allocated_frames", pa.int64()), ("fps", pa.float64()), ("compression_fmt", pa.int64()),
@@ -207,7 +227,7 @@ class SeqHeaders(DataSource):
         return HEADER_SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return _Headers(self.options, ".seq")
+        return (_PushedHeaders if _pushed(self.options) else _Headers)(self.options, ".seq")
 
 
 class FrameIndex(DataSource):
@@ -221,7 +241,7 @@ class FrameIndex(DataSource):
         return FRAME_SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return _Frames(self.options, ".idx")
+        return (_PushedFrames if _pushed(self.options) else _Frames)(self.options, ".idx")
 
 
 class IndexEndpoints(DataSource):
@@ -235,11 +255,11 @@ class IndexEndpoints(DataSource):
         return ENDPOINT_SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return _Endpoints(self.options, ".idx")
+        return (_PushedEndpoints if _pushed(self.options) else _Endpoints)(self.options, ".idx")
 
 
-def register(spark: SparkSession, push_filters: bool = False) -> None:
-    """Make the formats known to a session; see above for `push_filters`, which holds for the whole session."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", str(push_filters).lower())
+def register(spark: SparkSession) -> None:
+    """Make the formats known to a session. The setting only allows readers that ask for filters to get them."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     for source in (SeqHeaders, FrameIndex, IndexEndpoints):
         spark.dataSource.register(source)

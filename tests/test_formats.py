@@ -46,17 +46,10 @@ def opened(reader):
     return sorted({p[0] for part in reader.partitions() for p in part.pieces})
 
 
-@pytest.fixture
-def pushing(spark):
-    formats.register(spark, push_filters=True)
-    yield spark
-    formats.register(spark)
-
-
-def test_filters_prune_partitions(pushing, archive):  # noqa: F811
+def test_filters_prune_partitions(registered, archive):  # noqa: F811
     """A filter on the path leaves other files unopened, one on the record number other ranges unread."""
     def load(name):
-        return pushing.read.format(name).option("rangeRecords", 10).load(str(archive))
+        return registered.read.format(name).options(rangeRecords=10, pushFilters=True).load(str(archive))
 
     one = load("frame_index").filter(F.col("file").endswith("a.123.SEQ.idx"))
     assert one.count() == 100 and one.rdd.getNumPartitions() == 10
@@ -79,7 +72,7 @@ def test_one_load_for_many_queries(registered, archive):  # noqa: F811
 ])
 def test_planning_opens_what_filters_leave(archive, filters, files):  # noqa: F811
     folder = archive / "DATA_22-12-04" / "Case1" / "Monitor"
-    reader = formats._Headers({"path": str(archive)}, ".seq")
+    reader = formats._PushedHeaders({"path": str(archive)}, ".seq")
     (folder / "b.seq").write_bytes(b"")
     reader.pushFilters([getattr(formats, kind)(("path",), value.format(folder)) for kind, value in filters])
     assert len(opened(reader)) == files
