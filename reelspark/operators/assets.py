@@ -16,7 +16,7 @@ from reelspark.functions import (
     timestamp_from_stem,
 )
 from reelspark.operators.keys import one_per_key
-from reelspark.plans.carry import with_group_rank
+from reelspark.plans.carry import with_group_rank, with_running_sum
 from reelspark.plans.spread import spread
 
 # The three accepted forms of a recording path; groups are yy, mm-dd, case and camera.
@@ -214,31 +214,33 @@ def _with_stem(files: DataFrame) -> DataFrame:
 
 def orphan_companions(files: DataFrame) -> DataFrame:
     """Companion files without a container of the same stem in their directory."""
-    parts = _with_stem(files)
-    companions = parts.filter(F.col("ext").isin(*COMPANION_EXTENSIONS))
-    containers = parts.filter(F.col("ext") == ".seq").select("dir", "stem").distinct()
-    return companions.join(containers, ["dir", "stem"], "left_anti").select("path", "dir", "stem", "ext")
+    # one pass: a stem of a directory has a file for each extension and spelling, no more
+    named = F.col("ext").isin(*COMPANION_EXTENSIONS)
+    stems = _with_stem(files).filter(named | (F.col("ext") == ".seq")).groupBy("dir", "stem").agg(
+        F.bool_or(F.col("ext") == ".seq").alias("_owned"),
+        F.collect_list(F.when(named, F.struct("path", "ext"))).alias("_files"))
+    return stems.filter(~F.col("_owned")).select("dir", "stem", F.inline("_files")).select("path", "dir", "stem", "ext")
 
 
 def attach_companions(files: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """Each container with its companions as a map extension → path.
 
     A stem that differs only in case is a fallback: an exact match wins over it."""
+    # one pass: containers and companions of a stem, in all its spellings, meet in one group
     parts = _with_stem(files).withColumn("_key", F.col("stem") if case_sensitive else F.lower("stem"))
-    containers = parts.filter(F.col("ext") == ".seq").select("dir", "_key", "stem", F.col("path").alias("seq_path"))
-    companions = parts.filter(F.col("ext").isin(*COMPANION_EXTENSIONS)).select(
-        "dir", "_key", F.col("stem").alias("_stem"), "ext", "path"
-    )
-    joined = containers.join(companions, ["dir", "_key"], "left")
-    exact = F.when(F.col("_stem") == F.col("stem"), 0).otherwise(1)
-    per_ext = joined.groupBy("dir", "stem", "seq_path").agg(*[
-        F.min_by("path", F.when(F.col("ext") == e, F.struct(exact, F.col("path")))).alias(e) for e in COMPANION_EXTENSIONS
-    ])
+    container = F.col("ext") == ".seq"
+    groups = parts.filter(container | F.col("ext").isin(*COMPANION_EXTENSIONS)).groupBy("dir", "_key").agg(
+        F.collect_list(F.when(container, F.struct("stem", F.col("path").alias("seq_path")))).alias("_containers"),
+        F.collect_list(F.when(~container, F.struct("ext", "stem", "path"))).alias("_companions"))
+    each = groups.select("dir", "_companions", F.inline("_containers"))
+
+    def best(e: str) -> Column:
+        of = F.filter("_companions", lambda c: c["ext"] == e)
+        return F.array_min(F.transform(of, lambda c: F.struct((c["stem"] != F.col("stem")).alias("other"), c["path"].alias("path"))))["path"]
+
     found = F.map_filter(
-        F.create_map(*[x for e in COMPANION_EXTENSIONS for x in (F.lit(e), F.col(f"`{e}`"))]),
-        lambda _, v: v.isNotNull(),
-    )
-    return per_ext.select("seq_path", "dir", "stem", found.alias("companions"))
+        F.create_map(*[x for e in COMPANION_EXTENSIONS for x in (F.lit(e), best(e))]), lambda _, v: v.isNotNull())
+    return each.select("seq_path", "dir", "stem", found.alias("companions"))
 
 
 def rebase_paths(df: DataFrame, inventory: DataFrame, new_root: str) -> DataFrame:
@@ -341,23 +343,30 @@ def unique_names(manifest: DataFrame, dest: str = "destination_path", source: st
     """Colliding destinations get `_1`, `_2`, … before the extension; one file keeps the name.
 
     A number is passed over where the name with it is a destination of its own, so no name occurs twice. The order
-    among colliding files is that of a digest of their source, which lets a very common name be ranked in parallel."""
-    ranked = with_group_rank(manifest, [dest], [source], F.md5(source), "_rank")
-    name = F.col(dest)
+    among colliding files is that of a digest of their source, which lets a very common name be ranked in parallel.
+
+    The i-th taken number t of a name has t - i free ones below it, so the r-th free number is r and as many more as there are
+    taken ones with t - i < r. Both are running counts over bucketed numbers: no name's numbers are ever held together."""
+    # the caller's row travels as one column, so that its names cannot meet those used here
+    own = manifest.select(F.struct("*").alias("_own"), F.col(dest).alias("_dest"), F.col(source).alias("_source"))
+    ranked = with_group_rank(own, ["_dest"], ["_source"], F.md5("_source"), "_rank")
+    name = F.col("_dest")
     suffix = F.regexp_extract(name, r"(\.[^./\\]*)$", 1)
     stem = F.regexp_replace(name, r"(\.[^./\\]*)$", "")
-    numbered = manifest.select(dest).distinct().select(
+    numbered = own.select("_dest").distinct().select(
         F.concat(F.regexp_replace(stem, r"_[1-9]\d{0,17}$", ""), suffix).alias("_base"),
         F.regexp_extract(stem, r"_([1-9]\d{0,17})$", 1).alias("_number")).filter("_number <> ''")
-    taken = numbered.groupBy("_base").agg(F.sort_array(F.collect_set(F.col("_number").cast("long"))).alias("_taken"))
-    ranked = ranked.join(taken, ranked[dest] == taken["_base"], "left")
-    # the rank-th number that is not taken: each taken number up to it moves it on by one
-    free = F.aggregate(
-        F.coalesce("_taken", F.array().cast("array<bigint>")), F.col("_rank").cast("long"),
-        lambda n, t: n + F.when(t <= n, 1).otherwise(0))
+    taken = with_running_sum(
+        numbered.select("_base", F.col("_number").cast("long").alias("_number")), ["_base"], ["_number"], F.lit(1), "_i")
+    # below every row stand the taken numbers with fewer free ones below them than its rank
+    marks = taken.select(F.col("_base").alias("_name"), ((F.col("_number") - F.col("_i")) * 2 + 1).alias("_at"))
+    rows = ranked.withColumns({"_name": name, "_at": F.col("_rank") * 2, "_row": F.lit(True)})
+    passed = with_running_sum(
+        rows.unionByName(marks, allowMissingColumns=True), ["_name"], ["_at"], F.when(F.col("_row"), 0).otherwise(1), "_passed")
+    free = F.col("_rank") + F.col("_passed")
     renamed = F.concat(stem, F.lit("_"), free.cast("string"), suffix)
-    out = ranked.withColumn("unique_path", F.when(F.col("_rank") == 0, name).otherwise(renamed))
-    return out.drop("_rank", "_base", "_taken")
+    out = passed.filter("_row").withColumn("unique_path", F.when(F.col("_rank") == 0, name).otherwise(renamed))
+    return out.select("_own.*", "unique_path")
 
 
 def distinct_channels(files: DataFrame) -> DataFrame:

@@ -134,11 +134,17 @@ def upsert_partitions(
 ) -> None:
     """Managed upsert of a partitioned parquet table: reads and rewrites only the touched partitions."""
     reader = spark.read.schema(schema) if schema else spark.read
-    touched = updates.select(partition).distinct()
-    current = reader.parquet(path).join(touched, partition, "left_semi")
+    current = touched_partitions(reader.parquet(path), updates, partition)
     overwrite_partitions(upsert_managed(current, updates, keys, managed), path, partition)
 
 
+def touched_partitions(t: DataFrame, updates: DataFrame, partition: str = "recording_date") -> DataFrame:
+    """Rows of `t` in the partitions that the updates touch. The partition values, of which there are at most as many as
+    days, go into the plan, so that the file index leaves all other partitions out."""
+    values = [r[0] for r in updates.select(partition).distinct().collect()]
+    return t.filter(F.col(partition).isin([v for v in values if v is not None]))
+
+
 # ---- change detection ------------------------------------------------------------------------
 
 

@@ -14,6 +14,7 @@ from reelspark.functions import col, decode_frame_time, half_even_frames
 from reelspark.operators.assets import pick_group
 from reelspark.plans.carry import with_next, with_previous
 from reelspark.plans.quantiles import exact_quantiles
+from reelspark.plans.runs import explode_range
 
 
 def with_frame_time(frames: DataFrame) -> DataFrame:
@@ -289,20 +290,17 @@ def resample_cfr(frames: DataFrame, sessions: DataFrame, fps: int = TARGET_FPS)
     )
     runs = with_next(shown, ["file"], ["slot"], ["slot"])
     until = F.coalesce(F.col("next_slot") - 1, F.col("slot"))
-    filled = runs.select(
-        "file", F.explode(F.sequence("slot", until)).alias("out_slot"), F.col("slot").alias("_from"), "rec_no"
-    ).select(
+    filled = explode_range(runs.select("file", "slot", "rec_no", until.alias("_until")), "slot", "_until", "out_slot").select(
         "file", F.col("out_slot").alias("slot"), "rec_no",
-        F.when(F.col("out_slot") == F.col("_from"), "frame").otherwise("repeat").alias("kind"),
+        F.when(F.col("out_slot") == F.col("slot"), "frame").otherwise("repeat").alias("kind"),
     )
     ends = shown.groupBy("file").agg(F.min("slot").alias("_first"), F.max("slot").alias("_last"))
     blank = grid.filter("_slots > 0").join(ends, "file", "left").select("file", F.explode(F.filter(F.array(
         F.struct(F.lit(0).cast("long").alias("a"), (F.coalesce("_first", "_slots") - 1).alias("b")),
         F.struct((F.coalesce("_last", F.col("_slots")) + 1).alias("a"), (F.col("_slots") - 1).alias("b")),
     ), lambda r: r["a"] <= r["b"])).alias("r"))
-    black = blank.select(
-        "file", F.explode(F.sequence("r.a", "r.b")).alias("slot"), F.lit(None).cast("bigint").alias("rec_no"),
-        F.lit("black").alias("kind"),
+    black = explode_range(blank, F.col("r.a"), F.col("r.b"), "slot").select(
+        "file", "slot", F.lit(None).cast("bigint").alias("rec_no"), F.lit("black").alias("kind"),
     )
     return filled.unionByName(black)
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelspark.functions import l2_normalise, parse_crop_name
@@ -298,9 +300,14 @@ def similarity_stats(emb: DataFrame, pairs: DataFrame, tile: int = TILE_ROWS) ->
 
 
 def _vector_sums(emb: DataFrame) -> DataFrame:
-    """Per identity and dimension the sum of unit vectors; long so that it is combined map-side."""
-    unit = emb.select("identity", F.posexplode(l2_normalise("vec")).alias("dim", "v"))
-    return unit.groupBy("identity", "dim").agg(F.sum("v").alias("s"))
+    """Per identity the sum `s` of its unit vectors and their number `n`; added up map-side, one row for each identity."""
+    unit = emb.select("identity", array_to_vector(l2_normalise("vec")).alias("u"))
+    sums = unit.groupBy("identity").agg(Summarizer.sum(F.col("u")).alias("s"), F.count(F.lit(1)).alias("n"))
+    return sums.select("identity", vector_to_array("s").alias("s"), "n")
+
+
+def _dot(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
 
 
 def separability(emb: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -308,29 +315,16 @@ def separability(emb: DataFrame, pairs: DataFrame) -> DataFrame:
 
     The mean over all pairs of unit vectors follows from the vector sums of the two identities, so the cost
     grows with the number of images and not with the number of pairs."""
-    sums = _vector_sums(emb)
-    sizes = emb.groupBy("identity").agg(F.count(F.lit(1)).alias("n"))
-    own = sums.groupBy("identity").agg(F.sum(F.col("s") * F.col("s")).alias("_ss")).join(sizes, "identity")
     n = F.col("n")
-    intra = own.select(
-        "identity", "n",
-        F.when(n > 1, (F.col("_ss") - n) / F.when(n > 1, n * (n - 1.0))).otherwise(F.lit(1.0)).alias("intra"),
-    )
+    intra = F.when(n > 1, (_dot("s", "s") - n) / F.when(n > 1, n * (n - 1.0))).otherwise(F.lit(1.0))
+    sums = _vector_sums(emb).withColumn("intra", intra)
 
     def side(tag: str) -> DataFrame:
-        return sums.select(F.col("identity").alias(f"identity_{tag}"), "dim", F.col("s").alias(f"_s{tag}"))
-
-    def stats(tag: str) -> DataFrame:
-        return intra.select(F.col("identity").alias(f"identity_{tag}"), F.col("n").alias(f"n_{tag}"),
-                            F.col("intra").alias(f"intra_{tag}"))
+        return sums.select(*[F.col(c).alias(f"{c}_{tag}") for c in ("identity", "s", "n", "intra")])
 
     keys = ["identity_a", "identity_b"]
-    cross = (
-        pairs.select(*keys).join(side("a"), "identity_a").join(side("b"), ["identity_b", "dim"])
-        .groupBy(*keys).agg(F.sum(F.col("_sa") * F.col("_sb")).alias("_ab"))
-    )
-    joined = cross.join(stats("a"), "identity_a").join(stats("b"), "identity_b")
-    inter = F.col("_ab") / (F.col("n_a") * F.col("n_b"))
+    joined = pairs.select(*keys).distinct().join(side("a"), "identity_a").join(side("b"), "identity_b")
+    inter = _dot("s_a", "s_b") / (F.col("n_a") * F.col("n_b"))
     avg_intra = (F.col("intra_a") + F.col("intra_b")) / 2
     verdict = F.when(inter < 0.6, "success").when(inter < 0.8, "warning").otherwise("failure")
     return joined.select(

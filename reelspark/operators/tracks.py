@@ -19,6 +19,7 @@ from reelspark.plans.carry import (
 )
 from reelspark.plans.folds import fold_groups
 from reelspark.plans.quantiles import exact_quantiles
+from reelspark.plans.runs import explode_range
 
 TRACK = ("video", "Track_ID")
 
@@ -379,7 +380,7 @@ def reindex_frames(kp: DataFrame, ordinal: str, cols: Sequence[str]) -> DataFram
     first = kp.groupBy(*TRACK, "Frame_ID").agg(F.min_by(F.struct(*cols), ordinal).alias("_row"))
     runs = with_next(first, TRACK, ["Frame_ID"], ["Frame_ID"])
     until = F.coalesce(F.col("next_Frame_ID") - 1, F.col("Frame_ID"))
-    grid = runs.select(*TRACK, "Frame_ID", "_row", F.explode(F.sequence("Frame_ID", until)).alias("_frame"))
+    grid = explode_range(runs.select(*TRACK, "Frame_ID", "_row", until.alias("_until")), "Frame_ID", "_until", "_frame")
     real = F.col("_frame") == F.col("Frame_ID")
     return grid.select(
         *TRACK, F.col("_frame").alias("Frame_ID"), *[F.when(real, F.col("_row")[c]).alias(c) for c in cols]
@@ -425,7 +426,7 @@ def fill_gaps(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str = "Tim
     lines = near.select(*TRACK, "Frame_ID", F.col("_hi_Frame_ID")["at"].alias("_next"), *[line(c).alias(c) for c in targets])
     flat = lines.select(*TRACK, "Frame_ID", "_next", *[F.col(c)[p].alias(f"{c}_{p}") for c in targets for p in ("v", "s")])
     until = F.coalesce(F.col("_next") - 1, F.col("Frame_ID"))
-    grid = flat.withColumn("_frame", F.explode(F.sequence("Frame_ID", until)))
+    grid = explode_range(flat, "Frame_ID", until, "_frame")
     step = F.col("_frame") - F.col("Frame_ID")
     return grid.select(
         *TRACK, F.col("_frame").alias("Frame_ID"), *[(F.col(f"{c}_v") + F.col(f"{c}_s") * step).alias(c) for c in [time, *cols]]

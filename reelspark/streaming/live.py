@@ -14,12 +14,17 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from reelspark.constants import RECORDING_KEY
 from reelspark.functions import sync_status
-from reelspark.operators.assets import largest_file, parse_recording_key
-from reelspark.operators.catalog import classify_changes, overwrite_partitions, upsert_managed
+from reelspark.operators.assets import largest_file, parse_recording_key, reuse_cached
+from reelspark.operators.catalog import classify_changes, overwrite_partitions, touched_partitions, upsert_managed
+from reelspark.operators.keys import one_per_key
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-MANAGED = ("size_mb", "path", "status")
-STATUS_SCHEMA = "recording_date string, case_no int, camera_name string, size_mb bigint, path string, status int"
+MANAGED = ("size_mb", "path", "status", "scan_version")
+METRIC = "duration_minutes"
+STATUS_SCHEMA = (
+    "recording_date string, case_no int, camera_name string, size_mb bigint, path string, status int, scan_version bigint, "
+    f"{METRIC} double, needs_compute boolean"
+)
 
 
 def sync_monitor(
@@ -225,25 +230,37 @@ def live_pose(poses: DataFrame, max_age: int = 30, fps: float = 30.0, lateness:
 
 
 def ingest_batch(table_path: str, change_log: str | None = None) -> Callable[[DataFrame, int], None]:
-    """Micro-batch step: largest file per recording, change classes, managed upsert of the touched dates.
+    """Micro-batch step: the largest file of each recording, change classes, managed upsert of the touched dates.
 
-    Replaying a batch gives the same table; the change log is kept per batch id."""
+    A recording's stored row takes part in the choice, so a smaller file that comes later changes nothing. Files may carry a
+    `scan_version`: a later scan replaces what an earlier one stored, whatever its size, and an earlier one changes nothing.
+    The metric of a recording is kept while its size stays and marked for computing when it changes. Only partitions of the
+    batch's dates are read and rewritten. Replaying a batch gives the same table; the change log is kept per batch id."""
 
     def step(files: DataFrame, batch_id: int) -> None:
         spark = files.sparkSession
-        scan = largest_file(parse_recording_key(files).filter(F.col("recording_date").isNotNull()))
+        named = parse_recording_key(files).filter(F.col("recording_date").isNotNull())
+        version = F.col("scan_version").cast("bigint") if "scan_version" in files.columns else F.lit(0).cast("bigint")
+        named = named.withColumn("scan_version", version)
+        last = named.groupBy(*RECORDING_KEY).agg(F.max("scan_version").alias("scan_version"))
+        key = [*RECORDING_KEY, "scan_version"]
+        scan = largest_file(named.join(last, key)).join(last, list(RECORDING_KEY))
         try:
             table = spark.read.schema(STATUS_SCHEMA).parquet(table_path)
         except AnalysisException:
             table = spark.createDataFrame([], STATUS_SCHEMA)
-        touched = scan.select("recording_date").distinct()
-        current = table.join(touched, "recording_date", "left_semi")
-        changes = classify_changes(current, scan, RECORDING_KEY, MANAGED)
+        current = touched_partitions(table, scan)
+        best = one_per_key(
+            scan.select(*RECORDING_KEY, *MANAGED, F.lit(0).alias("_stored")).unionByName(
+                current.select(*RECORDING_KEY, *MANAGED, F.lit(1).alias("_stored"))),
+            RECORDING_KEY, ["scan_version", "size_mb", "_stored"]).drop("_stored")
+        changes = classify_changes(current, best.join(last.select(*RECORDING_KEY), list(RECORDING_KEY), "left_semi"), RECORDING_KEY, MANAGED)
         if change_log:
             changes.write.mode("overwrite").parquet(f"{change_log}/batch_id={batch_id}")
         updates = changes.filter("change <> 'UNCHANGED'").drop("change")
-        rows = upsert_managed(current, updates, RECORDING_KEY, MANAGED)
-        overwrite_partitions(rows, table_path)
+        rows = upsert_managed(current.drop(METRIC, "needs_compute"), updates, RECORDING_KEY, MANAGED)
+        rows = reuse_cached(rows, current, RECORDING_KEY, "size_mb", METRIC)
+        overwrite_partitions(rows.select(*table.columns), table_path)
 
     return step
 

@@ -1,8 +1,10 @@
 """Repeated keys leave one row, generated names are new, and listings reach all cores."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from reelspark.operators import assets, catalog
+from reelspark.plans.runs import explode_range
 from reelspark.plans.spread import spread
 
 
@@ -37,3 +39,24 @@ def test_listings_reach_all_cores(spark):
     listing = spark.range(5000).select(F.concat(F.lit("/p/"), "id").alias("path"))
     tasks = spread(listing, "path").select(F.spark_partition_id().alias("p")).distinct().count()
     assert tasks >= spark.sparkContext.defaultParallelism
+
+
+def test_taken_numbers_of_any_amount(spark):
+    """Against a walk over the numbers: gaps, runs, numbers above and below, two names at once."""
+    rng = np.random.default_rng(6)
+    names = ["x.mp4"] * 60 + ["y.mp4"] * 5 + [f"x_{n}.mp4" for n in rng.permutation(90)[:50] + 1] + ["y_2.mp4", "y_10000000000.mp4", "z_1.mp4"]
+    rows = spark.createDataFrame([(f"s{k}", n, k) for k, n in enumerate(names)], "source_path string, destination_path string, _rank int")
+    got = assets.unique_names(rows).collect()
+    assert len(got) == len({r.unique_path for r in got}) == len(names)
+    for stem, count in (("x", 60), ("y", 5)):
+        taken = {n for n in names if n.startswith(f"{stem}_")}
+        free = [f"{stem}_{k}.mp4" for k in range(1, 200) if f"{stem}_{k}.mp4" not in taken][:count - 1]
+        assert {r.unique_path for r in got if r.destination_path == f"{stem}.mp4"} == {f"{stem}.mp4", *free}
+
+
+def test_long_ranges_in_blocks(spark):
+    df = spark.createDataFrame([("a", 3, 12), ("b", 5, 4), ("c", 7, 7), ("d", None, 3)], "k string, lo bigint, hi bigint")
+    got = sorted((r.k, r.n) for r in explode_range(df, "lo", "hi", "n", block=4).collect())
+    assert got == [("a", n) for n in range(3, 13)] + [("c", 7)]
+    long = spark.createDataFrame([(0, 300_000_000)], "lo bigint, hi bigint")
+    assert explode_range(long, "lo", "hi", "n").agg(F.count("n"), F.max("n")).first() == (300_000_001, 300_000_000)

@@ -6,6 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelspark.operators import reid, tracks
+from reelspark.operators.catalog import overwrite_partitions, touched_partitions
+from reelspark.streaming import ingest_batch
+from reelspark.streaming.live import STATUS_SCHEMA
 from reelspark.streaming import (
     capture_bursts_stream, duration_updates, ingest_status, live_pose, stall_alerts, sync_monitor,
 )
@@ -107,6 +110,57 @@ def test_ingest_keeps_the_table(spark, tmp_path, repeat):
         q = ingest_status(stream, table, str(tmp_path / f"ck{i}"), str(tmp_path / "changes"))
         q.awaitTermination(300)
         assert q.exception() is None
+    assert all(r["needs_compute"] and r["duration_minutes"] is None for r in spark.read.parquet(table).collect())
     got = {r["recording_date"].isoformat() if hasattr(r["recording_date"], "isoformat") else r["recording_date"]: (r["size_mb"], r["status"])
            for r in spark.read.parquet(table).collect()}
     assert got == {"2024-01-01": (400, 1), "2024-01-02": (10, 2)}
+
+
+def ingested(spark, tmp_path, batches):
+    """The table after each batch of (path, MB, scan version or None)."""
+    table, out = str(tmp_path / "t"), []
+    for k, rows in enumerate(batches):
+        versioned = any(v is not None for *_, v in rows)
+        df = spark.createDataFrame([(p, mb * 1024 * 1024, v) for p, mb, v in rows], "path string, length bigint, scan_version bigint")
+        ingest_batch(table)(df if versioned else df.drop("scan_version"), k)
+        stored = spark.read.schema(STATUS_SCHEMA).parquet(table)
+        out.append({(r["recording_date"], r["case_no"]): r for r in stored.collect()})
+    return out
+
+
+def test_ingest_keeps_the_largest_and_its_metric(spark, tmp_path):
+    path = "DATA_24-01-0{}/Case{}/Monitor/{}.seq"
+    key = ("2024-01-01", 1)
+    first, second = ingested(spark, tmp_path, [[(path.format(1, 1, "a"), 900, None), (path.format(2, 1, "z"), 7, None)],
+                                               [(path.format(1, 1, "b"), 5, None)]])
+    assert first[key].size_mb == second[key].size_mb == 900 and second[key].path.endswith("a.seq")
+    # a metric that was computed stays while the size does
+    table = str(tmp_path / "t")
+    rows = spark.read.schema(STATUS_SCHEMA).parquet(table).withColumns(
+        {"duration_minutes": F.lit(12.5), "needs_compute": F.lit(False)})
+    rows.write.parquet(str(tmp_path / "copy"))
+    overwrite_partitions(spark.read.schema(STATUS_SCHEMA).parquet(str(tmp_path / "copy")), table)
+    third, fourth = ingested(spark, tmp_path, [[(path.format(1, 1, "b"), 5, None), (path.format(1, 2, "n"), 300, None)],
+                                               [(path.format(1, 1, "c"), 901, None)]])
+    assert (third[key].duration_minutes, third[key].needs_compute) == (12.5, False)
+    assert third[("2024-01-01", 2)].needs_compute and third[("2024-01-02", 1)].duration_minutes == 12.5
+    assert (fourth[key].size_mb, fourth[key].duration_minutes, fourth[key].needs_compute) == (901, None, True)
+
+
+def test_a_later_scan_replaces_an_earlier_one(spark, tmp_path):
+    path, key = "DATA_24-01-01/Case1/Monitor/{}.seq", ("2024-01-01", 1)
+    one, two, three, four = ingested(spark, tmp_path, [
+        [(path.format("a"), 900, 1)], [(path.format("a"), 300, 2), (path.format("b"), 950, 1)], [(path.format("a"), 990, 1)],
+        [(path.format("c"), 310, 2)]])
+    assert [t[key].size_mb for t in (one, two, three, four)] == [900, 300, 300, 310]
+
+
+def test_only_touched_partitions_are_read(spark, tmp_path):
+    schema = "recording_date string, case_no int, size_mb int"
+    rows = spark.createDataFrame([(f"2024-01-{d:02d}", 1, d) for d in range(1, 29)], schema)
+    overwrite_partitions(rows, str(tmp_path / "p"))
+    table = spark.read.schema(schema).parquet(str(tmp_path / "p"))
+    some = touched_partitions(table, rows.filter("size_mb in (3, 5)"))
+    assert some.count() == 2
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [recording_date" in plan and "2024-01-03" in plan
