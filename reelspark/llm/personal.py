@@ -235,7 +235,7 @@ class Words(dict):
     Words with the same known features add the same and share a number, so that a score is summed once for each set of
     features that occurs, not for each word."""
 
-    ROOM, RUN, LONG = 50_000, 1 << 14, 64
+    ROOM, RUN, LONG = 200_000, 1 << 14, 64
 
     def __init__(self, crf: Crf):
         self.crf = crf
