@@ -36,5 +36,5 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def load_all() -> None:
     from reelspark.plans import (  # noqa: F401
-        q_assets, q_catalog, q_dashboard, q_frames, q_redaction, q_reid, q_scalars, q_sync, q_tracks,
+        q_assets, q_catalog, q_dashboard, q_frames, q_redaction, q_reid, q_scalars, q_streams, q_sync, q_tracks,
     )

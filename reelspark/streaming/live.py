@@ -53,46 +53,70 @@ def sync_monitor(
     )
 
 
+def _millis(ts: pd.Timestamp) -> int:
+    return int(ts.timestamp() * 1000)
+
+
+def _rearm(handle, at: int) -> None:
+    """The key's one timer."""
+    for timer in handle.listTimers():
+        handle.deleteTimer(timer)
+    handle.registerTimer(at)
+
+
 def _batches(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
     frames = list(rows)
     return pd.concat(frames).sort_values(order, kind="stable") if frames else pd.DataFrame()
 
 
 class _DurationKeeper(StatefulProcessor):
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
     def init(self, handle) -> None:
+        self.handle = handle
         self.known = handle.getValueState("known", "duration double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         state = self.known.get()
         current = state[0] if state else 0.0
-        out = []
+        out, last = [], None
         for r in _batches(rows, "ts").itertuples():
+            last = r.ts
             if r.duration and r.duration > 0 and abs(current - r.duration) > 1.0:
                 current = float(r.duration)
                 out.append((*key, r.ts, current))
         self.known.update((current,))
+        if last is not None:
+            _rearm(self.handle, _millis(last) + self.idle_ms)
         yield pd.DataFrame(out, columns=["recording_date", "case_no", "camera_name", "ts", "duration"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.known.clear()
+        yield pd.DataFrame(columns=["recording_date", "case_no", "camera_name", "ts", "duration"])
+
     def close(self) -> None:
         pass
 
 
-def duration_updates(ticks: DataFrame) -> DataFrame:
-    """Reported video durations, only when they move by more than a second."""
-    return ticks.groupBy(*RECORDING_KEY).transformWithStateInPandas(
-        statefulProcessor=_DurationKeeper(),
+def duration_updates(ticks: DataFrame, idle_seconds: int = 3600, lateness: str = "1 minute") -> DataFrame:
+    """Reported video durations, only when they move by more than a second. A camera that reports nothing for
+    `idle_seconds` is forgotten."""
+    return ticks.withWatermark("ts", lateness).groupBy(*RECORDING_KEY).transformWithStateInPandas(
+        statefulProcessor=_DurationKeeper(idle_seconds * 1000),
         outputStructType="recording_date string, case_no int, camera_name string, ts timestamp, duration double",
-        outputMode="Append", timeMode="None",
+        outputMode="Append", timeMode="EventTime",
     )
 
 
 class _BurstKeeper(StatefulProcessor):
     """Scanning resumes at `resume`; while a burst is open, `check` is the next frame that must show a person."""
 
-    def __init__(self, size: int, gap: int, cooldown: int):
-        self.size, self.gap, self.cooldown = size, gap, cooldown
+    def __init__(self, size: int, gap: int, cooldown: int, idle_ms: int | None):
+        self.size, self.gap, self.cooldown, self.idle_ms = size, gap, cooldown, idle_ms
 
     def init(self, handle) -> None:
+        self.handle = handle
         self.mode = handle.getValueState("mode", "resume bigint, check bigint, seen int, saved array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -105,7 +129,10 @@ class _BurstKeeper(StatefulProcessor):
             out.append((key[0], saved[0], saved, outcome))
             resume, check, seen, saved = check + self.cooldown + 1, -1, 0, []
 
+        last = None
         for r in _batches(rows, "frame").itertuples():
+            if self.idle_ms is not None:
+                last = r.ts if last is None else max(last, r.ts)
             if check >= 0 and (r.frame > check or (r.frame == check and not r.good)):
                 finish("aborted")
             if check >= 0:
@@ -120,60 +147,91 @@ class _BurstKeeper(StatefulProcessor):
             elif r.frame >= resume and r.good and r.usable:
                 saved, seen, check = [int(r.frame)], 1, int(r.frame) + self.gap + 1
         self.mode.update((resume, check, seen, saved))
+        if last is not None:
+            _rearm(self.handle, _millis(last) + self.idle_ms)
+        yield pd.DataFrame(out, columns=["video", "start_frame", "saved", "outcome"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """The video has ended: a burst that waits for its next frame stays open."""
+        state = self.mode.get()
+        out = [(key[0], state[3][0], list(state[3]), "open")] if state and state[1] >= 0 else []
+        self.mode.clear()
         yield pd.DataFrame(out, columns=["video", "start_frame", "saved", "outcome"])
 
     def close(self) -> None:
         pass
 
 
-def capture_bursts_stream(frames: DataFrame, size: int = 3, gap: int = 20, cooldown: int = 300) -> DataFrame:
-    """Bursts as they finish, from live frames (video, frame, good, usable) in frame order per video.
+def capture_bursts_stream(
+    frames: DataFrame, size: int = 3, gap: int = 20, cooldown: int = 300, idle_seconds: int = 600,
+    lateness: str = "1 minute",
+) -> DataFrame:
+    """Bursts as they finish, from live frames (video, frame, good, usable, ts) in frame order per video.
 
     `good` means a confident person clear of the edges; frames without one are sent too, since losing the
-    person is what aborts a burst."""
-    return frames.groupBy("video").transformWithStateInPandas(
-        statefulProcessor=_BurstKeeper(size, gap, cooldown),
+    person is what aborts a burst. A video that sends nothing for `idle_seconds` of event time has ended: its open burst is
+    written out and its state goes. Without a `ts` column nothing tells an end, so open bursts stay in the state."""
+    timed = "ts" in frames.columns
+    source = frames.withWatermark("ts", lateness) if timed else frames
+    return source.groupBy("video").transformWithStateInPandas(
+        statefulProcessor=_BurstKeeper(size, gap, cooldown, idle_seconds * 1000 if timed else None),
         outputStructType="video string, start_frame bigint, saved array<bigint>, outcome string",
-        outputMode="Append", timeMode="None",
+        outputMode="Append", timeMode="EventTime" if timed else "None",
     )
 
 
 class _StallKeeper(StatefulProcessor):
-    def __init__(self, timeout_ms: int):
-        self.timeout_ms = timeout_ms
+    """`alerted` tells whether the present standstill has been reported."""
+
+    columns = ["job", "frame", "stalled_since"]
+
+    def __init__(self, timeout_ms: int, forget_ms: int):
+        self.timeout_ms, self.forget_ms = timeout_ms, forget_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "frame bigint, at_ms bigint")
+        self.last = handle.getValueState("last", "frame bigint, at_us bigint, alerted boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         state = self.last.get()
-        frame, at = state if state else (-1, 0)
-        moved = False
+        frame, at, alerted = state if state else (-1, None, False)
+        out, moved = [], False
         for r in _batches(rows, "ts").itertuples():
             if r.frame > frame:
-                frame, at, moved = int(r.frame), int(r.ts.timestamp() * 1000), True
+                now = r.ts.value // 1000
+                if at is not None and now - at > self.timeout_ms * 1000 and not alerted:  # a standstill within the batch
+                    out.append((key[0], frame, pd.Timestamp(at, unit="us")))
+                frame, at, alerted, moved = int(r.frame), now, False, True
         if moved:
-            for timer in self.handle.listTimers():
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(at + self.timeout_ms)
-            self.last.update((frame, at))
-        yield pd.DataFrame(columns=["job", "frame", "stalled_since"])
+            _rearm(self.handle, at // 1000 + self.timeout_ms)
+            self.last.update((frame, at, False))
+        yield pd.DataFrame(out, columns=self.columns)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        frame, at = self.last.get()
-        yield pd.DataFrame({
-            "job": [key[0]], "frame": [frame], "stalled_since": [pd.Timestamp(at, unit="ms")],
-        })
+        state = self.last.get()
+        out = []
+        if state and not state[2]:
+            frame, at, _ = state
+            out.append((key[0], frame, pd.Timestamp(at, unit="us")))
+            self.last.update((frame, at, True))
+            self.handle.registerTimer(at // 1000 + self.timeout_ms + self.forget_ms)
+        else:
+            self.last.clear()
+        yield pd.DataFrame(out, columns=self.columns)
 
     def close(self) -> None:
         pass
 
 
-def stall_alerts(progress: DataFrame, timeout_seconds: int = 3600, lateness: str = "1 minute") -> DataFrame:
-    """Jobs whose frame counter has not advanced for the timeout, from progress rows (job, frame, ts)."""
+def stall_alerts(
+    progress: DataFrame, timeout_seconds: int = 3600, lateness: str = "1 minute", forget_seconds: int = 86400,
+) -> DataFrame:
+    """Standstills: jobs whose frame counter has not advanced for the timeout, from progress rows (job, frame, ts).
+
+    A standstill is reported once, by a timer or by the rows that end it, so the alerts do not depend on how rows fall into
+    batches. A job is forgotten `forget_seconds` after its alert."""
     return progress.withWatermark("ts", lateness).groupBy("job").transformWithStateInPandas(
-        statefulProcessor=_StallKeeper(timeout_seconds * 1000),
+        statefulProcessor=_StallKeeper(timeout_seconds * 1000, forget_seconds * 1000),
         outputStructType="job string, frame bigint, stalled_since timestamp",
         outputMode="Append", timeMode="EventTime",
     )
@@ -203,9 +261,7 @@ class _PoseKeeper(StatefulProcessor):
             pose, stamp = (int(r.Frame_ID), float(r.x), float(r.y)), r.ts
         if stamp is not None:
             self.last.update(pose)
-            for timer in self.handle.listTimers():
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(int(stamp.timestamp() * 1000 + self.max_age * 1000 / self.fps))
+            _rearm(self.handle, int(stamp.timestamp() * 1000 + self.max_age * 1000 / self.fps))
         yield pd.DataFrame(out, columns=self.columns)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
