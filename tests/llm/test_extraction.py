@@ -5,6 +5,7 @@ from html import unescape
 
 import pytest
 from conftest import SF
+from hypothesis import given, settings, strategies as st
 
 from reelspark.llm import extraction as e
 from reelspark.llm.common import table
@@ -37,6 +38,54 @@ def test_article_without_what_stands_beside(before, after, inside):
     assert [x for x in got if "link" not in x and x != "Three"] == ARTICLE
 
 
+LONG = "A paragraph of the article that is long enough to be told from the lines around it, whatever they are."
+CLOSE = "Short closing words."
+BODY = f"<h1>Head</h1><p>{LONG}</p><p>{CLOSE}</p>"
+ADVERT = "<div class=ad><p>Buy now, it is cheap and you need it, as everybody does.</p><p>Buy two.</p></div>"
+
+
+@pytest.mark.parametrize("html", [
+    f"<article><h1>Head</h1><p>{LONG}</p>{ADVERT}<p>{CLOSE}</p></article>",
+    f"<main><h1>Head</h1><p>{LONG}</p>{ADVERT}{ADVERT}{ADVERT}<p>{CLOSE}</p></main>",
+    f"<body><div><h1>Head</h1><p>{LONG}</p>{ADVERT}<p>{CLOSE}</p></div></body>",
+    f"<body><h1>Head</h1><p>{LONG}</p>{ADVERT}<p>{CLOSE}</p><footer>{LONG}</footer></body>",
+    f"<div class='content-sidebar-wrap'><article>{BODY}</article><div class=sidebar><p>{LONG}</p></div></div>",
+    f"<main><div class='content-sidebar-wrap'><article>{BODY}</article></div></main>",
+    f"<div id='main' class='has-sidebar'>{BODY}</div>",
+    f"<div class='post tags'><article>{BODY}</article></div>",
+    f"<article><div class='post tags'>{BODY}</div></article>",
+    f"<article><header class='article-header'><h1>Head</h1></header><p>{LONG}</p><p>{CLOSE}</p></article>",
+    f"<section class='article-header'><h1>Head</h1></section><p>{LONG}</p><p>{CLOSE}</p>",
+    f"<header><h1>Head</h1></header><article><p>{LONG}</p><p>{CLOSE}</p></article>",
+    f"<header><h1>Site</h1><p>{LONG}</p></header><article>{BODY}</article>",
+    f"<header><p>{LONG}</p></header><div>{BODY}</div>",
+    f"<form action=x><article>{BODY}</article><input></form>",
+    f"<article>{BODY}</article><div id=comments><article><p>{LONG}</p><p>{LONG}</p></article></div>",
+    f"<div class=cookie-notice><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><div>{BODY}</div>",
+])
+def test_article_stays_whole(html):
+    assert e.main_text(html).split("\n\n") == ["Head", LONG, CLOSE]
+
+
+def test_captions_and_lists_of_links_stay():
+    links = "".join(f"<li><a href={k}>Source {k}</a></li>" for k in range(5))
+    html = f"<article><p>{LONG}</p><figure><img><figcaption>A caption</figcaption></figure><ul>{links}</ul><p>{CLOSE}</p></article>"
+    assert e.main_text(html).split("\n\n") == [LONG, "A caption", *(f"Source {k}" for k in range(5)), CLOSE]
+
+
+@given(st.lists(st.sampled_from([0, 0, 1, 30, 60, 90, 200]), max_size=20), st.integers(1, 4))
+@settings(max_examples=300, deadline=None)
+def test_runs_by_their_definition(lengths, window):
+    """A line is kept if text stands in every window from a surge down to it, or if it rises without a gap to a surge."""
+    sums = [sum(lengths[i:i + window]) for i in range(len(lengths))]
+    wanted = min(80, max(sums, default=0) / 2)
+    surges = [i for i, s in enumerate(sums) if s and s >= wanted]
+    kept = {k for i in surges for k in range(i, len(lengths)) if all(sums[i:k + 1])}
+    kept |= {k for i in surges for k in range(i) if all(lengths[k:i])}
+    got = {k for a, b in e.text_runs(lengths, window) for k in range(a, b)}
+    assert {k for k in got if lengths[k]} == {k for k in kept if lengths[k]}
+
+
 @pytest.mark.parametrize("html, text", [
     (None, ""), ("", ""), ("plain", "plain"), ("<p>a &lt;b&gt; &#233;&nbsp; c\n\td</p>", "a <b> é c d"), ("<p>a<br>b", "a b"),
     ("<p>one<p>two", "one\n\ntwo"), ("a < b", "a < b"), ("<p title='a>b'>x</p>", "x"), ("<p>x<!-- open", "x"),
@@ -51,6 +100,11 @@ def test_long_pages_end(part):
     e.main_text(part * 20_000)
 
 
+@pytest.mark.parametrize("name", ["div", "section", "p", "header"])
+def test_nested_boxes_end(name):
+    e.main_text(f"<{name} class=sidebar>" * 20_000 + LONG + f"</{name}>" * 20_000)
+
+
 def test_runs():
     assert e.text_runs([0, 5, 90, 40, 0, 0, 0, 3, 0]) == [(1, 4)]
     assert e.text_runs([10, 0, 0, 0, 10]) == [(0, 1), (4, 5)] and e.text_runs([]) == [] and e.text_runs([0, 0]) == []
