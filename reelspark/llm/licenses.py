@@ -1,4 +1,6 @@
-"""License scans: fixed phrases, and an exact set-similarity join of text blocks with license templates."""
+"""License scans: fixed phrases, and an exact set-similarity join of text blocks with license templates.
+
+A block is a line, or any run of as many words as the template has, wherever lines break."""
 
 from __future__ import annotations
 
@@ -17,7 +19,7 @@ PHRASES = {
     "general public license": "gpl",
     "all rights reserved": "reserved",
 }
-#: Notices by label; a block contains one if it has THRESHOLD of its distinct words.
+#: Notices and whole license texts by label. A block contains one if it has THRESHOLD of its distinct words.
 TEMPLATES = (
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"),
@@ -30,11 +32,40 @@ TEMPLATES = (
     ("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
     ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("proprietary", "all rights reserved no part of this publication may be reproduced without permission"),
+    ("apache-2.0",
+     "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
+     "you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or "
+     "agreed to in writing software distributed under the license is distributed on an as is basis without warranties or "
+     "conditions of any kind either express or implied see the license for the specific language governing permissions and "
+     "limitations under the license"),
+    ("mit",
+     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation "
+     "files the software to deal in the software without restriction including without limitation the rights to use copy modify "
+     "merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is "
+     "furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be "
+     "included in all copies or substantial portions of the software the software is provided as is without warranty of any kind "
+     "express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and "
+     "noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability "
+     "whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or "
+     "other dealings in the software"),
+    ("bsd",
+     "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+     "conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the "
+     "following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and "
+     "the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("isc",
+     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+     "provided that the above copyright notice and this permission notice appear in all copies"),
+    ("gpl-3.0",
+     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license "
+     "as published by the free software foundation either version 3 of the license or at your option any later version this "
+     "program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+     "merchantability or fitness for a particular purpose see the gnu general public license for more details"),
 )
 THRESHOLD = (4, 5)
 FOUND = (
     "struct<n_words:bigint,phrases:array<struct<label:string,first:bigint,last:bigint,places:bigint>>,"
-    "notices:array<struct<label:string,block:bigint,shared:bigint,size:bigint>>>"
+    "notices:array<struct<label:string,first:bigint,end:bigint,shared:bigint,size:bigint>>>"
 )
 
 LINES = bytes(0x0A if b == 0x0A else c for b, c in enumerate(ALNUM_WORDS))
@@ -63,6 +94,7 @@ class Templates:
         self.labels = [label for label, _ in templates]
         self.words = [sorted(set(t.encode().split()), key=self.order.__getitem__) for _, t in templates]
         self.sets = [frozenset(w) for w in self.words]
+        self.lengths = [len(t.split()) for _, t in templates]
         self.prefixes: dict[bytes, list[tuple[int, int]]] = {}
         for k, words in enumerate(self.words):
             for at, w in enumerate(words[:len(words) - needed(len(words)) + 1]):
@@ -88,6 +120,47 @@ class Templates:
                     yield k, shared
 
 
+    def runs(self, words: list[bytes]) -> Iterator[tuple[int, int, int, int]]:
+        """(template, first, end, most shared words) of all stretches of a text in which each run of as many words as the
+        template has contains it.
+
+        Such a run has a word of the template's prefix, so only runs around those words are counted."""
+        if self.prefixes.keys().isdisjoint(words):
+            return
+        around: dict[int, list[list[int]]] = {}
+        for i, w in enumerate(words):
+            for k, _ in self.prefixes.get(w, ()):
+                a, b = max(0, i - self.lengths[k] + 1), min(len(words), i + self.lengths[k])
+                parts = around.setdefault(k, [])
+                if parts and a <= parts[-1][1]:
+                    parts[-1][1] = b
+                else:
+                    parts.append([a, b])
+        for k, parts in sorted(around.items()):
+            for a, b in parts:
+                yield from self._slide(k, words, a, b)
+
+    def _slide(self, k: int, words: list[bytes], a: int, b: int) -> Iterator[tuple[int, int, int, int]]:
+        mine, length, need = self.sets[k], self.lengths[k], needed(len(self.words[k]))
+        inside: Counter[bytes] = Counter()
+        shared, found = 0, None
+        for end in range(a, b):
+            w = words[end]
+            if w in mine:
+                inside[w] += 1
+                shared += inside[w] == 1
+            if end - length >= a and (w := words[end - length]) in mine:
+                inside[w] -= 1
+                shared -= inside[w] == 0
+            if shared >= need:
+                found = (found[0], end + 1, max(shared, found[2])) if found else (max(a, end - length + 1), end + 1, shared)
+            elif found:
+                yield k, *found
+                found = None
+        if found:
+            yield k, *found
+
+
 def phrase_places(words: list[bytes]) -> list[tuple[str, int, int, int]]:
     """(label, first, last, places) of each phrase whose words stand consecutively, by word number."""
     line = b" " + b" ".join(words) + b" "
@@ -124,11 +197,12 @@ def word_frequency(docs: DataFrame, templates=TEMPLATES) -> dict[bytes, int]:
 
 def license_notices(docs: DataFrame, templates=TEMPLATES, out: str = "licenses") -> DataFrame:
     """All rows and columns of `docs` and `out`: n_words, the phrases found (label, first and last word number, places)
-    and the notices found (label, block number, shared words of the template, template size).
+    and the notices found (label, first word and end, shared words of the template, template size), in lines or in runs of
+    words across them; a notice on one line is listed as a line and as a run.
 
-    Blocks are lines. Templates are a fixed list, so every task holds them; documents are not shuffled. Null and empty
-    texts have no words and nothing found; whole texts are read; repeated rows are scanned each. A column that is
-    already named `out` is replaced."""
+    Templates are a fixed list, so every task holds them; documents are not shuffled. Null and empty texts have no words
+    and nothing found; whole texts are read, in time linear in their words; repeated rows are scanned each. A column that
+    is already named `out` is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(Templates(templates, word_frequency(docs, templates)))
 
     @F.pandas_udf(FOUND)
@@ -137,11 +211,16 @@ def license_notices(docs: DataFrame, templates=TEMPLATES, out: str = "licenses")
         for text in texts:
             lines = blocks(text)
             words = [w for line in lines for w in line]
+            notices, first = [], 0
+            for line in lines:
+                notices += [(k, first, first + len(line), same) for k, same in sorted(known.within(line))]
+                first += len(line)
+            notices += known.runs(words)
             rows.append((len(words), [
                 dict(zip(("label", "first", "last", "places"), p)) for p in phrase_places(words)
             ], [
-                {"label": known.labels[k], "block": n, "shared": same, "size": len(known.words[k])}
-                for n, line in enumerate(lines) for k, same in sorted(known.within(line))
+                {"label": known.labels[k], "first": a, "end": b, "shared": same, "size": len(known.words[k])}
+                for k, a, b, same in notices
             ]))
         return pd.DataFrame(rows, columns=["n_words", "phrases", "notices"])
 
@@ -149,21 +228,29 @@ def license_notices(docs: DataFrame, templates=TEMPLATES, out: str = "licenses")
 
 
 def _sql() -> str:
-    """Brute force: every line against every template."""
+    """Brute force: every line, and every run that begins with a word of a template, against every template."""
     templates = ", ".join(
-        f"({k}, '{label}', list_distinct(string_split('{text}', ' ')))" for k, (label, text) in enumerate(TEMPLATES))
+        f"({k}, '{label}', list_distinct(string_split('{text}', ' ')), {len(text.split())})" for k, (label, text) in enumerate(TEMPLATES))
     phrases = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in PHRASES.items())
     words = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     a, b = THRESHOLD
     return f"""
 WITH d AS (SELECT doc_id, {lower} AS t, regexp_extract_all({lower}, '{words}') AS w FROM documents),
-tpl AS (SELECT * FROM (VALUES {templates}) AS v(k, label, tw)),
+tpl AS (SELECT * FROM (VALUES {templates}) AS v(k, label, tw, length)),
 phr AS (SELECT * FROM (VALUES {phrases}) AS v(p, label, n)),
 lines AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(string_split(t, chr(10))), '{words}')) AS lw FROM d),
+starts AS (
+  SELECT doc_id, i, k FROM (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM d)
+  JOIN (SELECT k, unnest(tw) AS word FROM tpl) USING (word)),
+runs AS (
+  SELECT doc_id, label, tw, list_distinct(w[i:i + length - 1]) AS rw FROM starts JOIN tpl USING (k) JOIN d USING (doc_id)),
 notices AS (
   SELECT doc_id, label, len(list_intersect(lw, tw)) AS shared, len(tw) AS size
-  FROM lines, tpl WHERE {b} * len(list_intersect(lw, tw)) >= {a} * len(tw)),
+  FROM lines, tpl WHERE {b} * len(list_intersect(lw, tw)) >= {a} * len(tw)
+  UNION ALL
+  SELECT doc_id, label, len(list_intersect(rw, tw)), len(tw)
+  FROM runs WHERE {b} * len(list_intersect(rw, tw)) >= {a} * len(tw)),
 places AS (
   SELECT doc_id, label, i - 1 AS place
   FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM d), phr
