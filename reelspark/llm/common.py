@@ -52,6 +52,14 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores behind it as make it no column of `df`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder and read back, so that a lost executor costs no earlier work.
 

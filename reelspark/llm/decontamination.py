@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reelspark.llm.common import alnum_words, query, table
+from reelspark.llm.common import alnum_words, free_name, query, table, written
 
 WINDOW = 10
-#: Windows that one broadcast holds at most, about 100 MB in a worker; a larger benchmark is searched block by block.
+#: Windows that one broadcast holds, about 100 MB in a worker; a larger benchmark is searched block by block, one at a time.
 BLOCK = 100_000
+#: Copies of the hits of a text that documents with very common texts spread over.
+SPREAD = 16
 HITS = "struct<n_words:bigint,spans:array<struct<first:bigint,end:bigint>>,items:array<bigint>>"
 
 
@@ -52,7 +54,7 @@ class WuManber:
 
 def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """Distinct (item_id, window): every run of `size` words of an item; an item of fewer words, but not none, whole.
-    Words are space-joined. Null ids or texts give no window."""
+    Words are space-joined. Null texts give no window; windows of items without id have a null id."""
 
     @F.pandas_udf("array<string>")
     def cut(texts: pd.Series) -> pd.Series:
@@ -62,36 +64,47 @@ def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
 
         return texts.map(one, na_action=None)
 
-    items = benchmark.filter(F.col("item_id").isNotNull())
-    return items.select(F.col("item_id").cast("bigint"), F.explode(cut("text")).alias("window")).distinct()
+    return benchmark.select(F.col("item_id").cast("bigint"), F.explode(cut("text")).alias("window")).distinct()
 
 
-def _search(matchers) -> Column:
-    """UDF of the hits of one block, given a text and the hits of earlier blocks."""
+def _search(matchers) -> Callable[[Column], Column]:
+    """UDF of the hits of one block in a text."""
 
     @F.pandas_udf(HITS)
-    def scan(texts: pd.Series, before: pd.DataFrame) -> pd.DataFrame:
-        found = [_hits(matchers.value, t, s, i) for t, s, i in zip(texts, before["spans"], before["items"])]
-        return pd.DataFrame(found, columns=["n_words", "spans", "items"])
+    def scan(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_hits(matchers.value, t) for t in texts], columns=["n_words", "spans", "items"])
 
     return scan
 
 
-def _hits(matchers: list[WuManber], text: str | None, spans, items) -> tuple[int, list, list[int]]:
-    words = alnum_words(text)
-    marks = [(s["first"], s["end"]) for s in spans]
-    ids = set(map(int, items))
-    for m in matchers:
-        for at, of in m.find(words):
-            marks.append((at, at + m.length))
-            ids.update(of)
+def _merged(marks: list[tuple[int, int]]) -> list[dict[str, int]]:
     merged: list[list[int]] = []
     for first, end in sorted(marks):
         if merged and first <= merged[-1][1]:
             merged[-1][1] = max(merged[-1][1], end)
         else:
             merged.append([first, end])
-    return len(words), [{"first": a, "end": b} for a, b in merged], sorted(ids)
+    return [{"first": a, "end": b} for a, b in merged]
+
+
+def _hits(matchers: list[WuManber], text: str | None) -> tuple[int, list, list[int]]:
+    words = alnum_words(text)
+    marks, ids = [], set()
+    for m in matchers:
+        for at, of in m.find(words):
+            marks.append((at, at + m.length))
+            ids.update(of)
+    return len(words), _merged(marks), sorted(ids)
+
+
+def _joined(spans: str) -> Column:
+    """Spans of several blocks, merged."""
+
+    @F.pandas_udf("array<struct<first:bigint,end:bigint>>")
+    def join(parts: pd.Series) -> pd.Series:
+        return parts.map(lambda found: _merged([(s["first"], s["end"]) for s in found]))
+
+    return join(F.col(spans))
 
 
 def contamination(
@@ -100,32 +113,55 @@ def contamination(
     """All rows and columns of `docs` and a struct column `out`: n_words, merged word spans [first, end) inside
     occurrences of benchmark windows, and the items that have them.
 
-    The benchmark's windows are dealt into blocks of about `block`; each is broadcast and searched in turn within one
-    pass over the documents, without a shuffle. Null and empty texts have no words and no hits. An empty benchmark
-    hits nothing. Repeated rows are searched each. A column that is already named `out` is replaced."""
+    A benchmark of up to `block` windows is broadcast and searched within one pass over the documents, without a shuffle.
+    A larger one is dealt into blocks of about that many, built, broadcast and searched one after another; the hits of
+    each, one row for each text that has any, are written, and are joined to the documents at the end. So driver and
+    workers hold one block at a time, whatever the benchmark.
+
+    Null and empty texts have no words and no hits. An empty benchmark hits nothing; items without id hit words but are
+    not listed. Repeated rows are searched each. A column that is already named `out` is replaced."""
     spark = docs.sparkSession
-    marked = windows(benchmark, size).groupBy("window").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    blocks = -(-marked.count() // block)
-    empty = F.expr(f"cast(named_struct('n_words', 0L, 'spans', array(), 'items', array()) as {HITS})")
+    marked = written(windows(benchmark, size).groupBy("window").agg(F.sort_array(F.collect_set("item_id")).alias("items")))
+    blocks = max(1, -(-marked.count() // block))
 
-    def add(found: Column, k: int) -> Column:
+    def matchers(k: int):
         by_length: dict[int, dict[tuple[bytes, ...], list[int]]] = {}
-        mine = marked.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k)
-        for r in mine.toLocalIterator():
+        for r in marked.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k).toLocalIterator():
             words = tuple(w.encode("utf-8", "surrogatepass") for w in r.window.split(" "))
             by_length.setdefault(len(words), {})[words] = r["items"]
-        matchers = spark.sparkContext.broadcast([WuManber(p) for _, p in sorted(by_length.items())])
-        return _search(matchers)(F.col("text"), found)
-
-    if not blocks:
-        return docs.withColumn(out, _search(spark.sparkContext.broadcast([]))(F.col("text"), empty))
-    return docs.withColumn(out, reduce(add, range(blocks), empty))
+        return spark.sparkContext.broadcast([WuManber(p) for _, p in sorted(by_length.items())])
+
+    if blocks == 1:
+        return docs.withColumn(out, _search(matchers(0))(F.col("text")))
+    parts = []
+    for k in range(blocks):
+        shared = matchers(k)
+        found = docs.select(F.sha2("text", 256).alias("key"), _search(shared)(F.col("text")).alias("hits"))
+        parts.append(written(found.filter("size(hits.spans) > 0").select("key", "hits.spans", "hits.items").dropDuplicates(["key"])))
+        shared.destroy()
+    hits = reduce(DataFrame.union, parts).groupBy("key").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))  # a row for each block
+    hits = hits.select(
+        "key", _joined("spans").alias("spans"), "items", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
+    # every copy of the hits is the same, so it does not matter which one a document meets
+    whole = docs.select(
+        F.struct("*").alias("doc"), F.sha2("text", 256).alias("key"), (F.spark_partition_id() % SPREAD).alias("salt"),
+        _search(spark.sparkContext.broadcast([]))(F.col("text"))["n_words"].alias("n_words"))
+    none = F.expr(f"cast(named_struct('n_words', 0L, 'spans', array(), 'items', array()) as {HITS})")
+    result = F.struct(
+        "n_words", F.coalesce("spans", none["spans"]).alias("spans"), F.coalesce("items", none["items"]).alias("items"))
+    rows = whole.join(hits, ["key", "salt"], "left").select("doc", result.alias("result"))
+    return rows.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c.lower() != out.lower()], F.col("result").alias(out))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Documents without any benchmark window, with their own columns."""
-    hits = contamination(docs, benchmark, "_contamination", size)
-    return hits.filter(F.size("_contamination.spans") == 0).drop("_contamination")
+    """Rows of `docs` without any benchmark window, with all their columns, whatever their names.
+
+    Null and empty texts stay, as does every row where the benchmark is empty; repeated rows stay or go together; whole
+    texts are searched. An empty table gives no rows."""
+    mark = free_name(docs, "_contamination")
+    return contamination(docs, benchmark, mark, size).filter(F.size(F.col(mark)["spans"]) == 0).drop(mark)
 
 
 OP8_SQL = """
@@ -147,7 +183,7 @@ words AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit
   FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY doc_id),
 items AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+  SELECT doc_id, count(s) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

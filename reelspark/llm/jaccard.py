@@ -344,12 +344,12 @@ def degrees(sets: DataFrame, components: DataFrame) -> DataFrame:
     return found.filter("links > 0").select("id", "links").union(pairs).groupBy("id").agg(F.sum("links").alias("links"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, count_links: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) for every row of `docs` (doc_id, text; other columns are left out).
 
     Two documents link when their sets of distinct word 5-grams (all words as one where they are fewer) have a Jaccard
     similarity of 0.8 or more; component_id is the smallest doc_id that links reach. n_links counts the links between
-    classes of equal sets: to how many other classes a document's own is linked. Null and empty texts have no set and stand alone. A repeated row is a copy; rows of one doc_id with
+    classes of equal sets: to how many other classes a document's own is linked; it is null where they are not counted. Null and empty texts have no set and stand alone. A repeated row is a copy; rows of one doc_id with
     different texts count as one document. A null doc_id has the component of its copies, or none."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     front = written(fronts(docs))
@@ -378,17 +378,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     merged = vertices.join(over.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left").select(
         F.col("id").alias("class"), F.coalesce("to", "component").alias("component"))
     merged = written(merged)
-    degree = degrees(sets, merged.withColumnRenamed("class", "id")).withColumnRenamed("id", "class")
-    named = classes.join(merged, "class", "left").join(degree, "class", "left")
+    named = classes.join(merged, "class", "left")
+    if count_links:
+        degree = degrees(sets, merged.withColumnRenamed("class", "id")).withColumnRenamed("id", "class")
+        named = named.join(degree, "class", "left")
+    n_links = F.coalesce("links", F.lit(0)) if count_links else F.lit(None)
     rows = front.select("doc_id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
     return rows.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "class", "doc_id").alias("component_id"),
-        F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"))
+        n_links.cast("bigint").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Of each component the rows of its smallest doc_id; documents without words stay."""
-    found = near_duplicates(docs)
+    found = near_duplicates(docs, count_links=False)
     go = found.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(go, "doc_id", "left_anti")
 

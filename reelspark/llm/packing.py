@@ -138,12 +138,15 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Which lengths share a sequence is planned from the number of pieces of each length, at most `capacity` numbers
     whatever the input. The k-th piece of a length then takes the k-th place planned for it; k comes from counts of
     hashed buckets of a length and the order within a bucket, so a common length spreads over many tasks. An empty
-    input gives no rows; repeated rows take a place each. `pieces` is read twice and should be a written table."""
+    input gives no rows; repeated rows take a place each. `pieces` is read twice and should be a written table. User columns
+    named sequence_id or offset are replaced; all others keep their values."""
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     buckets = F.lit([counts.get(length, 0) // RANKED + 1 for length in range(capacity + 1)])[F.col("length").cast("int")]
     keys = [c for c in ("doc_id", "piece", "start", "ids_crc32") if c in pieces.columns]
-    dealt = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*keys), buckets))
+    kept = [F.col(c) for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    dealt = pieces.select(
+        "length", *keys, F.struct(*kept).alias("row"), F.pmod(F.xxhash64(*keys), buckets).alias("_bucket"))
     sizes = dealt.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     earlier = W.partitionBy("length").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     first = sizes.select("length", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
@@ -168,17 +171,22 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return pd.DataFrame({"sequence_id": to[at, 1] + k.to_numpy() - to[at, 0], "offset": to[at, 2]})
 
     put = ranked.withColumn("_at", place("length", F.col("_first") + F.col("_k")))
-    return put.select(*pieces.columns, "_at.sequence_id", "_at.offset")
+    return put.select("row.*", "_at.sequence_id", "_at.offset")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """Pieces with their place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """Pieces with their place: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    Only doc_id and text are read. Null and empty texts are one piece, the end token; whole texts are packed, repeated rows
+    each; null ids stay null. An empty table gives no pieces."""
     cut = pieces(docs, path, capacity, end).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packed(written(cut), capacity)
 
 
 def sequences(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """The sequences themselves: sequence_id, ids (binary), and the documents in them in order."""
+    """The sequences themselves: sequence_id, ids (binary), and the documents in them in order.
+
+    Rows are taken as by `pack_documents`."""
     put = packed(written(pieces(docs, path, capacity, end)), capacity)
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids", "doc_id", "piece")))  # at most `capacity` pieces
     return put.groupBy("sequence_id").agg(parts.alias("p")).select(

@@ -84,7 +84,9 @@ def sharded(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     `shards` runs whose row counts differ by one at most; slot counts from 0 within a shard. A row's rank is the rows of
     earlier cells, of earlier hashed buckets of its cell, and of its bucket before it, so neither a common cell nor the
     whole table is ordered in one task. An empty table gives no rows; repeated rows take a slot each. `rows` is read
-    three times, the first two without texts."""
+    three times, the first two without texts. User columns named shard or slot are replaced; all others keep their values."""
+    kept = [F.col(c) for c in rows.columns if c.lower() not in ("shard", "slot")]
+    rows = rows.select("cell", "doc_id", "text_crc32", "size", F.struct(*kept).alias("row"))
     per_cell = rows.groupBy("cell").agg(F.count("*").alias("_n"))
     before = W.orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
     cells = per_cell.select(
@@ -103,7 +105,7 @@ def sharded(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     # shard s starts at rank floor(s * all / shards), in whole numbers, so that no rounding moves a cut
     placed = ranked.withColumn("shard", F.expr(f"CAST(((_rank + 1) * {shards} - 1) DIV _all AS INT)"))
     placed = placed.withColumn("slot", F.col("_rank") - F.expr(f"(shard * _all) DIV {shards}"))
-    return placed.select(*rows.columns, "shard", "slot")
+    return placed.select("row.*", "shard", "slot")
 
 
 def manifest(rows: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reelspark.llm.common import alnum_words, query, table, written
+from reelspark.llm.common import alnum_words, free_name, query, table, written
 
 #: Rows of the hashed embedding table, for words and again for their beginnings.
 ROWS = 1 << 17
@@ -370,10 +370,12 @@ def threshold_of(model: Cnn, lang: Column) -> Column:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents whose score is below their language's threshold."""
-    model = fitted(docs, labels)
-    rows = scored(docs, model, "_score").filter(F.col("_score") < threshold_of(model, F.col("lang")))
-    return rows.drop("_score")
+    """Rows of `docs` whose score is below their language's threshold, with all their columns, whatever their names.
+
+    Null and empty texts have the score of no words; whole texts are scored, repeated rows each; a null language has the
+    common threshold. An empty table gives no rows."""
+    model, name = fitted(docs, labels), free_name(docs, "_score")
+    return scored(docs, model, name).filter(F.col(name) < threshold_of(model, F.col("lang"))).drop(name)
 
 
 @query("op1_toxicity")

@@ -27,9 +27,11 @@ def odd(spark):
         (1, None), (2, ""), (3, long), (4, "one two three"), (4, "one two three"), (None, "no id here"), (6, " \n\t "),
         (7, "one two three"), (8, "x" * 300_000),
     ]
-    clash = "token int, tokens int, id int, a int, b int, n int, k int, component int, score double, size string, cell int, shard int, slot int, words int, items int, spans int"
+    clash = "token int, tokens int, id int, a int, b int, n int, k int, component int, score double, size string, cell int, shard int, slot int, words int, items int, spans int, doc int, key int, row int, salt int"
     count = len(clash.split(","))
-    return spark.createDataFrame([(i, t, None, None, None, *[None] * count) for i, t in rows], f"{DOCS}, {clash}")
+    inner = ["_bucket", "_score", "_contamination", "_n", "_k", "_rank", "_at"]
+    names = f"{DOCS}, {clash}, {', '.join(f'{c} int' for c in inner)}"
+    return spark.createDataFrame([(i, t, None, None, None, *[None] * count, *[5] * len(inner)) for i, t in rows], names)
 
 
 @pytest.fixture

@@ -13,14 +13,14 @@ def brute(text, items, size=10):
     hit, found = set(), set()
     for i, item in items:
         w = alnum_words(item)
-        if i is None or not w:
+        if not w:
             continue
         n = min(size, len(w))
         for window in {tuple(w[k:k + n]) for k in range(len(w) - n + 1)}:
             for at in range(len(words) - n + 1):
                 if tuple(words[at:at + n]) == window:
                     hit |= set(range(at, at + n))
-                    found.add(i)
+                    found |= {i} - {None}
     return len(words), hit, sorted(found)
 
 
@@ -39,7 +39,7 @@ def test_equals_a_scan_of_every_place(spark, documents, bench, seed, block):
     def text(n):
         return " ".join(rng.choice(("a", "B", "c", "Ä")) for _ in range(n))
 
-    items = [(k, text(rng.choice((1, 3, 9, 10, 11, 14)))) for k in range(8)] + [(90, None), (91, ""), (None, "a"), (92, "- -")]
+    items = [(k, text(rng.choice((1, 3, 9, 10, 11, 14)))) for k in range(8)] + [(90, None), (91, ""), (None, "a Ä"), (92, "- -")]
     items += [(93, items[3][1])]
     texts = [text(rng.randint(0, 200)) for _ in range(20)]
     texts += [items[5][1].upper().replace(" ", ", ") + "!", f"x {items[4][1]} {items[4][1]} y"]
@@ -50,6 +50,18 @@ def test_equals_a_scan_of_every_place(spark, documents, bench, seed, block):
         assert (c["n_words"], hit, list(c["items"])) == brute(r.text, items)
 
 
+def test_items_without_id_hit(documents, bench):
+    c = d.contamination(documents(["zz a b c yy"]), bench([(None, "a b c")])).first().contamination
+    assert [tuple(s) for s in c.spans] == [(1, 4)] and list(c["items"]) == []
+    assert d.drop_contaminated(documents(["zz a b c yy"]), bench([(None, "a b c")])).collect() == []
+
+
+def test_common_texts_in_blocks(documents, bench):
+    """Copies of one text all get the hits of every block."""
+    got = d.contamination(documents(["x a b y c d"] * 50 + ["e"]), bench([(1, "a b"), (2, "c d"), (3, "e")]), block=1)
+    assert sorted(list(r.contamination["items"]) for r in got.collect()) == [[1, 2]] * 50 + [[3]]
+
+
 def test_search_skips():
     m = d.WuManber({tuple(b"abcdefghij"[k:k + 1] for k in range(10)): [1]})
     words = [b"z"] * 50 + [b"abcdefghij"[k:k + 1] for k in range(10)] + [b"z"] * 3
@@ -63,7 +75,10 @@ def test_odd_rows(odd, nothing, bench, documents):
     assert got.columns == [*odd.columns, "contamination"]
     hits = {r.doc_id: list(r.contamination["items"]) for r in got.collect()}
     assert hits == {1: [], 2: [], 3: [2], 4: [1], None: [], 6: [], 7: [1], 8: []}
+    several = d.contamination(odd, items, block=1)
+    assert several.columns == got.columns and sorted(map(repr, several.collect())) == sorted(map(repr, got.collect()))
     left = d.drop_contaminated(odd, items)
+    assert {r._contamination for r in left.collect()} == {5}
     assert left.columns == odd.columns and left.count() == 5
     assert d.drop_contaminated(nothing, items).collect() == []
     assert d.contamination(odd, bench([])).filter("size(contamination.items) > 0").count() == 0

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from reelspark.llm import packing as p
 
@@ -121,3 +122,5 @@ def test_odd_rows(spark, odd, nothing):
     assert max(places.values()) == 1
     assert sum(r.doc_id == 4 and r.piece == 0 for r in rows) == 2 and any(r.doc_id is None for r in rows)
     assert p.pack_documents(nothing).collect() == []
+    own = p.packed(p.pieces(odd).withColumn("_bucket", F.lit(5)).withColumn("_k", F.lit(6)).withColumn("offset", F.lit(-1)))
+    assert {(r._bucket, r._k, r.offset >= 0) for r in own.collect()} == {(5, 6, True)}

@@ -45,6 +45,7 @@ def test_manifest_skips_shards(spark, documents):
 def test_odd_rows(odd, nothing):
     rows = s.sharded(s.measured(odd)).collect()
     check(rows, 9, s.SHARDS)
+    assert {(r._bucket, r._n, r._k, r._rank) for r in rows} == {(5, 5, 5, 5)}
     for r in rows:
         text = (r.text or "").encode()
         assert r["size"] == len(text) + 8 and r.text_crc32 == zlib.crc32(text)
