@@ -221,16 +221,21 @@ class IndexFile:
         length, = struct.unpack("<Q", self.file.read_at(8, size - 8))
         self.directory = json.loads(zlib.decompress(self.file.read_at(length, size - 8 - length)))
         self.first_keys = [d[0] for d in self.directory]
+        self.unpacked, self.rows = -1, []
 
     def block(self, k: int) -> list[list]:
-        _, at, length = self.directory[k]
-        return [json.loads(line) for line in zlib.decompress(self.file.read_at(length, at)).decode().split("\n")]
-
-    def find(self, key: str) -> Iterator[list]:
-        """Captures of a key: the blocks that can hold it by binary search, and the key in them likewise."""
+        """Captures of a block; the last one read stays unpacked, so keys in order unpack each block once."""
+        if k != self.unpacked:
+            _, at, length = self.directory[k]
+            self.rows = [json.loads(line) for line in zlib.decompress(self.file.read_at(length, at)).decode().split("\n")]
+            self.unpacked = k
+        return self.rows
+
+    def find(self, key: str) -> Iterator[list[list]]:
+        """Captures of a key, a block at a time: the blocks that can hold it by binary search, and the key in them likewise."""
         for k in range(max(0, bisect_left(self.first_keys, key) - 1), bisect_right(self.first_keys, key)):
             rows = self.block(k)
-            yield from rows[bisect_left(rows, key, key=lambda r: r[0]):bisect_right(rows, key, key=lambda r: r[0])]
+            yield rows[bisect_left(rows, key, key=lambda r: r[0]):bisect_right(rows, key, key=lambda r: r[0])]
 
 
 def read_index(manifest: DataFrame) -> DataFrame:
@@ -247,25 +252,47 @@ def read_index(manifest: DataFrame) -> DataFrame:
 
 
 def lookup(urls: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Captures of the distinct urls of `urls` (url): binary search among the index files' first keys, in the directory
-    of each file that can hold the key, and in its block. The manifest has a row for each index file."""
+    """Captures of the urls of `urls` (url), each once: binary search among the index files' first keys, in the directory
+    of each file that can hold the key, and in its block.
+
+    Null urls have the key of empty ones; urls that share a key find its captures once; repeated urls count once; no url or
+    no index gives no rows. Keys are made distinct before they meet files, and each file is searched on its own in key
+    order, so a key with very many captures is as many searches as it has index files. The manifest, a row for each index
+    file (so at most one for each task that wrote the index), is the only thing that passes through the driver."""
     files = sorted((r["first_key"], r["last_key"], r["file"]) for r in manifest.collect())
+    firsts = [f[0] for f in files]
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened: tuple[str, IndexFile] | None = None
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"key": sorted({url_key(u) for u in batch["url"].to_pylist()})})
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for key in sorted({url_key(u) for u in batch["url"].to_pylist()}):
-                k = bisect_right(files, key, key=lambda f: f[0]) - 1
+            found = []
+            for key in batch["key"].to_pylist():
+                k = bisect_right(firsts, key) - 1
                 while k >= 0 and files[k][1] >= key:
-                    if opened is None or opened[0] != files[k][2]:
-                        opened = files[k][2], IndexFile(files[k][2])
-                    rows += opened[1].find(key)
+                    found.append({"file": files[k][2], "key": key})
                     k -= 1
-            if rows:
-                yield _batch(rows, CAPTURE)
+            if found:
+                yield pa.RecordBatch.from_pylist(found)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, file, rows = None, None, []
+        for batch in batches:
+            for name, key in zip(batch["file"].to_pylist(), batch["key"].to_pylist()):
+                if name != path:
+                    path, file = name, IndexFile(name)
+                for found in file.find(key):
+                    rows += found
+                    if len(rows) >= BLOCK:
+                        yield _batch(rows, CAPTURE)
+                        rows = []
+        if rows:
+            yield _batch(rows, CAPTURE)
 
-    return urls.select("url").distinct().mapInArrow(search, _ddl(CAPTURE))
+    wanted = urls.select("url").mapInArrow(keys, "key string").distinct().mapInArrow(places, "file string, key string")
+    return wanted.repartition(max(1, len(files)), "file").sortWithinPartitions("file", "key").mapInArrow(search, _ddl(CAPTURE))
 
 
 def read_records(captures: DataFrame) -> DataFrame:
@@ -293,10 +320,10 @@ def read_records(captures: DataFrame) -> DataFrame:
 
 
 def archive_pages(pages: DataFrame, path: str | None = None, least: int = 0) -> DataFrame:
-    """Archive `pages` below `path` (a new shared folder by default), index the archives, and return their records, read
-    back through the index. An empty table gives no files and no records."""
+    """Archive `pages` below `path` (a new shared folder by default), index the archives, and return their records: the
+    pages' urls are looked up in the index, and what it names is read by range. An empty table gives no files and no records."""
     path = path or shared_dir(pages.sparkSession)
-    return read_records(read_index(write_index(write_archives(pages, path, least), path)))
+    return read_records(lookup(pages, write_index(write_archives(pages, path, least), path)))
 
 
 OP5_SQL = """

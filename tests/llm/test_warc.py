@@ -54,6 +54,21 @@ def test_index_finds_all_captures_of_a_url(spark, pages, tmp_path, monkeypatch):
     keys = {w.url_key(u) for u in urls}
     assert got == sorted(r.page_id for r in everything if r.key in keys)
     assert sorted(r.page_id for r in w.read_records(captures.filter("page_id < 5")).collect()) == [0, 1, 2, 3, 4]
+    assert sorted(w.lookup(pages, manifest).collect()) == sorted(everything)
+
+
+def test_a_key_that_fills_many_index_files(spark, tmp_path, monkeypatch):
+    """Urls that differ and share a key, some repeated or null: every capture comes once, out of all its files."""
+    monkeypatch.setattr(w, "BLOCK", 3)
+    rows = [(k, ["http://a.example/", "https://A.example", "http://a.example"][k % 3], "x", None, None) for k in range(200)]
+    rows += [(200, None, "", None, None), (201, "", "", None, None), (202, "http://b.example/", None, None, None)]
+    pages = spark.createDataFrame(rows, PAGES)
+    manifest = w.write_index(w.write_archives(pages, f"file://{tmp_path}"), f"file://{tmp_path}", files=8)
+    assert manifest.filter("first_key = last_key and first_key = 'example,a)/'").count() > 1
+    assert sorted(r.page_id for r in w.lookup(pages, manifest).collect()) == list(range(203))
+    some = spark.createDataFrame([("http://a.example/",), ("HTTPS://a.example",), ("http://zzz.example/",)], "url string")
+    assert sorted(r.page_id for r in w.lookup(some, manifest).collect()) == list(range(200))
+    assert w.lookup(some.filter("url is null"), manifest).collect() == []
 
 
 def test_keys():
