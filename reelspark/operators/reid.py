@@ -106,9 +106,9 @@ def balanced_sample(crops: DataFrame, n: int, seed: int, case: str = "case_no",
 
 
 def _uniform(row_id: str, seed: int) -> Column:
-    """Repeatable uniform number in [0, 1) per row, independent of partitioning."""
-    mantissa = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(row_id)), 11)
-    return mantissa.cast("double") / F.lit(float(1 << 53))
+    """Repeatable uniform number in [0, 1) per row, independent of partitioning: 52 bits of a digest any engine computes."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(row_id).cast("string")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 # ---- burst capture ---------------------------------------------------------------------------

@@ -52,18 +52,50 @@ def _(s, d):
     return rounded(E.balance_weights(parsed(s, d)).select("name", "case_no", "weight"))
 
 
-# random: its distribution is tested on a small fixture
-@query("balanced_sample")
+def _uniform_sql(seed: int) -> str:
+    return f"CAST(CAST('0x' || substr(md5('{seed}:' || draw), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE"
+
+
+@query("balanced_sample", f"""
+    , cases AS (SELECT case_no, count(*) AS n, row_number() OVER (ORDER BY md5(CAST(case_no AS VARCHAR)), case_no) - 1 AS case_at
+                FROM parsed_crops GROUP BY 1),
+    placed AS (SELECT range AS draw, CAST(floor({_uniform_sql(7)} * (SELECT count(*) FROM cases)) AS BIGINT) AS case_at,
+                      {_uniform_sql(8)} AS u FROM (SELECT range, range AS draw FROM range(10000))),
+    places AS (SELECT case_no, name, row_number() OVER (PARTITION BY case_no ORDER BY md5(name), name) - 1 AS row_at FROM parsed_crops)
+    SELECT draw, case_no, name FROM placed JOIN cases USING (case_at) JOIN places USING (case_no)
+    WHERE row_at = CAST(floor(u * n) AS BIGINT)""", "parsed_crops")
 def _(s, d):
     return E.balanced_sample(parsed(s, d), 10000, 7).select("draw", "case_no", "name")
 
 
-# order-dependent fold: compared with a plain loop in the tests instead
-@query("capture_bursts")
+CAPTURES = """
+    , best AS (SELECT video, frame, least(640, trunc(x2) + 30) - greatest(0, trunc(x1) - 30) >= 10
+                          AND least(640, trunc(y2) + 30) - greatest(0, trunc(y1) - 30) >= 10 AS usable
+               FROM (SELECT *, row_number() OVER (PARTITION BY video, frame ORDER BY conf DESC, det_no) AS i FROM dets
+                     WHERE cls = 0 AND conf >= 0.5) WHERE i = 1 AND NOT (x1 < 0 OR x2 > 640)),
+    followed AS (SELECT a.video, a.frame, l.last, b.usable AS second, c.usable AS third,
+                        CASE WHEN a.frame + 4 > last THEN 'open' WHEN b.frame IS NULL THEN 'aborted'
+                             WHEN a.frame + 8 > last THEN 'open' WHEN c.frame IS NULL THEN 'aborted' ELSE 'complete' END AS outcome
+                 FROM best a JOIN (SELECT video, max(frame) AS last FROM dets GROUP BY 1) l USING (video)
+                 LEFT JOIN best b ON b.video = a.video AND b.frame = a.frame + 4
+                 LEFT JOIN best c ON c.video = a.video AND c.frame = a.frame + 8 AND b.frame IS NOT NULL WHERE a.usable),
+    starts AS (SELECT *, CASE WHEN outcome = 'open' THEN last + 1 WHEN second IS NULL THEN frame + 17 ELSE frame + 21 END AS resume
+               FROM followed),
+    steps AS (SELECT s.*, n.frame AS following FROM starts s
+              ASOF LEFT JOIN (SELECT video, frame FROM starts) n ON n.video = s.video AND n.frame >= s.resume),
+    taken AS (SELECT video, min(frame) AS frame FROM steps GROUP BY 1
+              UNION ALL SELECT s.video, s.following FROM taken JOIN steps s USING (video, frame) WHERE s.following IS NOT NULL)
+    SELECT video, frame AS start_frame, outcome,
+           list_filter([frame, CASE WHEN second THEN frame + 4 END, CASE WHEN third THEN frame + 8 END], lambda f: f IS NOT NULL) AS saved
+    FROM taken JOIN steps USING (video, frame)"""
+
+
+# chunks so short that the videos are cut and their entry states followed
+@query("capture_bursts", CAPTURES, "dets")
 def _(s, d):
     frames = E.burst_frames(B.dets(s, d), 640, 640, min_conf=0.5, margin=0)
     videos = B.dets(s, d).groupBy("video").agg((F.max("frame") + 1).alias("n_frames"))
-    return E.capture_bursts(frames, videos, gap=3, cooldown=12)
+    return E.capture_bursts(frames, videos, gap=3, cooldown=12, chunk=64)
 
 
 @query("burst_frames", """

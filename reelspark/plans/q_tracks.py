@@ -228,18 +228,37 @@ def _(s, d):
     return rounded(K.track_endpoints(centred(s, d), "ordinal"))
 
 
-# order-dependent greedy fold: compared with a plain loop in the tests instead
-@query("merge_fragments")
+# the greedy fold, one look ahead a step: `i` is the fragment whose chain grows, `k` the chain's last one, `owner` whose each is
+MERGED = """
+    , kept AS (""" + LONG_ENOUGH.replace("FROM tracks", "FROM centroids") + """),
+    ends AS (SELECT *, row_number() OVER (PARTITION BY video ORDER BY a.Timestamp, Track_ID) AS i FROM (
+                 SELECT video, Track_ID, arg_min(r, (r.Frame_ID, r.ordinal)) AS a, arg_max(r, (r.Frame_ID, r.ordinal)) AS b
+                 FROM (SELECT video, Track_ID, {'Frame_ID': Frame_ID, 'ordinal': ordinal, 'Timestamp': Timestamp,
+                                                'x': centroid_x, 'y': centroid_y} AS r FROM kept) GROUP BY 1, 2)),
+    fits AS (SELECT p.video, p.i, list(q.i ORDER BY q.i) AS js FROM ends p JOIN ends q ON q.video = p.video AND q.i > p.i
+             WHERE q.a.Timestamp - p.b.Timestamp >= -0.5 AND q.a.Timestamp - p.b.Timestamp <= 3.0
+               AND CASE WHEN p.b.x IS NULL OR q.a.x IS NULL THEN 0 ELSE sqrt((p.b.x - q.a.x) ** 2 + (p.b.y - q.a.y) ** 2) END <= 300
+             GROUP BY 1, 2),
+    scenes AS (SELECT video, count(*) AS n, list(Track_ID ORDER BY i) AS ids, list(coalesce(js, []) ORDER BY i) AS js
+               FROM ends LEFT JOIN fits USING (video, i) GROUP BY 1),
+    fold AS (SELECT video, 1::BIGINT AS i, 1::BIGINT AS k, generate_series(1, n) AS owner FROM scenes
+             UNION ALL
+             SELECT video, CASE WHEN c IS NULL THEN i + 1 ELSE i END, coalesce(c, i + 1),
+                    CASE WHEN c IS NULL THEN owner
+                         ELSE list_transform(owner, lambda o: CASE WHEN o = owner[c] THEN owner[i] ELSE o END) END
+             FROM (SELECT video, i, k, owner, list_filter(js[k], lambda j: owner[j] <> owner[i])[1] AS c
+                   FROM fold JOIN scenes USING (video) WHERE i <= n)),
+    chains AS (SELECT video, ids[p] AS Track_ID, ids[owner[p]] AS merged_id
+               FROM (SELECT video, ids, owner, unnest(generate_series(1, n)) AS p FROM fold JOIN scenes USING (video) WHERE i = n + 1)),
+    merged AS (SELECT kept.* REPLACE (merged_id AS Track_ID) FROM kept JOIN chains USING (video, Track_ID))"""
+
+
+@query("merge_fragments", MERGED + "SELECT video, Track_ID, Frame_ID, ordinal FROM merged", "centroids")
 def _(s, d):
     return K.merge_fragments(K.drop_short_tracks(centred(s, d)), ordinal="ordinal").select(
         "video", "Track_ID", "Frame_ID", "ordinal")
 
 
-@query("clean_tracks")
-def _(s, d):
-    return rounded(K.clean_tracks(B.tracks(s, d), "ordinal", TORSO, ordered=False))
-
-
 GRID = """
     , first_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video, Track_ID, Frame_ID ORDER BY ordinal) AS i FROM tracks)
                      WHERE i = 1),
@@ -290,6 +309,14 @@ def _(s, d):
     return rounded(K.smooth_centered(filled, COORDS), 9)
 
 
+@query("clean_tracks", MERGED + FILLED.replace("FROM tracks", "FROM merged") + """
+    SELECT video, Track_ID, Frame_ID, round(Timestamp, 9) AS Timestamp, """ + ", ".join(
+        f"round({f'avg({c}) OVER w' if c in COORDS else c}, 9) AS {c}" for c in POINTS) + """
+    FROM filled WINDOW w AS (PARTITION BY video, Track_ID ORDER BY Frame_ID ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""", "centroids")
+def _(s, d):
+    return rounded(K.clean_tracks(B.tracks(s, d), "ordinal", TORSO, ordered=False), 9)
+
+
 @query("union_tracks", """
     SELECT video, Track_ID, Frame_ID, ordinal FROM tracks UNION ALL SELECT video, Track_ID + 1000, Frame_ID, NULL FROM tracks""", "tracks")
 def _(s, d):
