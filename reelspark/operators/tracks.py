@@ -380,10 +380,12 @@ def reindex_frames(kp: DataFrame, ordinal: str, cols: Sequence[str]) -> DataFram
     first = kp.groupBy(*TRACK, "Frame_ID").agg(F.min_by(F.struct(*cols), ordinal).alias("_row"))
     runs = with_next(first, TRACK, ["Frame_ID"], ["Frame_ID"])
     until = F.coalesce(F.col("next_Frame_ID") - 1, F.col("Frame_ID"))
-    grid = explode_range(runs.select(*TRACK, "Frame_ID", "_row", until.alias("_until")), "Frame_ID", "_until", "_frame")
+    # flat before rows are made: Spark 4.1 loses fields of a struct that passes two generators when a query drops some of them
+    flat = runs.select(*TRACK, "Frame_ID", until.alias("_until"), *[F.col("_row")[c].alias(f"_row_{c}") for c in cols])
+    grid = explode_range(flat, "Frame_ID", "_until", "_frame")
     real = F.col("_frame") == F.col("Frame_ID")
     return grid.select(
-        *TRACK, F.col("_frame").alias("Frame_ID"), *[F.when(real, F.col("_row")[c]).alias(c) for c in cols]
+        *TRACK, F.col("_frame").alias("Frame_ID"), *[F.when(real, F.col(f"_row_{c}")).alias(c) for c in cols]
     )
 
 
