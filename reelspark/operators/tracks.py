@@ -8,16 +8,18 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import NumericType
 
 from reelspark.constants import HEAD, KEYPOINTS, LOWER_BODY, TORSO, UPPER_BODY
 from reelspark.functions import euclidean, iou, no_nan
 from reelspark.plans.carry import (
-    BUCKET, FRAME_BUCKET, inside, with_earlier_max, with_known_neighbours, with_next, with_previous,
+    BUCKET, FRAME_BUCKET, bucketed, carried, inside, with_earlier_max, with_known_neighbours, with_next, with_previous,
     with_running_sum,
 )
-from reelspark.plans.folds import fold_groups
+from reelspark.plans.folds import fold_groups, walk_groups
 from reelspark.plans.quantiles import exact_quantiles
 from reelspark.plans.runs import explode_range
 
@@ -389,22 +391,57 @@ def reindex_frames(kp: DataFrame, ordinal: str, cols: Sequence[str]) -> DataFram
     )
 
 
+def _lent(clean: DataFrame, targets: Sequence[str]) -> DataFrame:
+    """Nearest known values outside each bucket, as rows of it that know one column only.
+
+    Buckets are summed up map-side; a track within one bucket is lent nothing."""
+    summaries: dict[str, Column] = {}
+    before, after = {}, {}
+    for c in targets:
+        at = F.when(F.col(c).isNotNull(), F.col("Frame_ID"))
+        summaries |= {f"_to_{c}": F.max(at), f"_last_{c}": F.max_by(c, at), f"_from_{c}": F.min(at), f"_first_{c}": F.min_by(c, at)}
+        for side, names in ((before, ("_to", "_last")), (after, ("_from", "_first"))):
+            side |= {f"_near{n}_{c}": lambda w, n=n, c=c: F.last(f"{n}_{c}", ignorenulls=True).over(w) for n in names}
+    points = [
+        F.struct(F.col(f"_near{at}_{c}").alias("Frame_ID"), *[
+            (F.col(f"_near{v}_{c}") if t == c else F.lit(None).cast("double")).alias(t) for t in targets])
+        for c in targets for at, v in (("_to", "_last"), ("_from", "_first"))]
+    return carried(clean, TRACK, summaries, before, after).select(
+        *TRACK, BUCKET, F.inline(F.array_compact(F.array(*[F.when(p["Frame_ID"].isNotNull(), p) for p in points]))))
+
+
 def interpolate_linear(df: DataFrame, cols: Sequence[str], time: str | None = "Timestamp") -> DataFrame:
     """Linear between known neighbours of a track, the nearest known value at both edges.
 
-    The time column is only carried forward at its end. Frames are unique per track."""
+    The time column is only carried forward at its end. Frames are unique per track. Rows are sorted once, as narrow as they
+    came; each bucket is lent the known values next to it as rows."""
     targets = [*cols, *([time] if time else [])]
-    clean = df.withColumns({c: no_nan(c) for c in targets})
-    near = with_known_neighbours(clean, TRACK, "Frame_ID", targets)
-
-    def value(c: str) -> Column:
-        lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
-        share = F.try_divide((F.col("Frame_ID") - lo["at"]).cast("double"), (hi["at"] - lo["at"]).cast("double"))
-        between = lo["value"] + (hi["value"] - lo["value"]) * F.coalesce(share, F.lit(0.0))
-        edge = lo["value"] if c == time else F.coalesce(lo["value"], hi["value"])
-        return F.coalesce(between, edge)
-
-    return near.select(*[value(c).alias(c) if c in targets else F.col(c) for c in df.columns])
+    clean = bucketed(df.withColumns({c: no_nan(c) for c in targets}), "Frame_ID", FRAME_BUCKET)
+    rows = clean.withColumn("_own", F.lit(True)).unionByName(_lent(clean, targets), allowMissingColumns=True)
+    schema = to_arrow_schema(clean.select(*df.columns).schema)
+
+    def fill(part: pa.Table, first: np.ndarray, end: np.ndarray) -> pa.Table:
+        """`first` and `end` give the range of each row's bucket."""
+        own, place = part["_own"].is_valid().to_numpy(), np.arange(len(part))
+        frame = part["Frame_ID"].to_numpy()
+        out = {}
+        for c in targets:
+            v = part[c].to_numpy()
+            known = part[c].is_valid().to_numpy()
+            lo = np.maximum.accumulate(np.where(known, place, -1))
+            hi = np.minimum.accumulate(np.where(known, place, len(part))[::-1])[::-1]
+            left, right = (lo >= first)[own], (hi < end)[own]
+            lo, hi = np.maximum(lo, 0)[own], np.minimum(hi, len(part) - 1)[own]
+            span = frame[hi] - frame[lo]
+            share = (frame[own] - frame[lo]) / np.where(span == 0, 1, span)
+            with np.errstate(invalid="ignore", over="ignore"):
+                between = v[lo] + (v[hi] - v[lo]) * np.where(span == 0, 0.0, share)
+            value = np.where(left & right, between, np.where(left, v[lo], v[hi]))
+            out[c] = pa.array(value, mask=~(left if c == time else left | right))
+        kept = part.filter(part["_own"].is_valid())
+        return pa.table([out[c] if c in out else kept[c] for c in schema.names], schema=schema)
+
+    return walk_groups(rows, [*TRACK, BUCKET], ["Frame_ID"], fill, clean.select(*df.columns).schema)
 
 
 def fill_gaps(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str = "Timestamp") -> DataFrame:

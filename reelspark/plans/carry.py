@@ -22,26 +22,36 @@ def bucketed(df: DataFrame, order: str, width: float) -> DataFrame:
     return df.withColumn(BUCKET, F.floor(F.col(order) / F.lit(width)))
 
 
-def carry(
+def carried(
     df: DataFrame,
     keys: Sequence[str],
     summaries: dict[str, Column],
     before: dict[str, Callable[[WindowSpec], Column]] | None = None,
     after: dict[str, Callable[[WindowSpec], Column]] | None = None,
 ) -> DataFrame:
-    """Attach values folded over all earlier (`before`) or later (`after`) buckets of the same group.
+    """For each bucket the values folded over all earlier (`before`) or later (`after`) buckets of the same group.
 
     Both windows run outwards from the bucket's own side: `last` is the nearest bucket in either direction."""
     group = [*keys, BUCKET]
     per_bucket = df.groupBy(*group).agg(*[c.alias(n) for n, c in summaries.items()])
     ahead = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     behind = Window.partitionBy(*keys).orderBy(F.desc(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bucket.select(
+    return per_bucket.select(
         *group,
         *[f(ahead).alias(n) for n, f in (before or {}).items()],
         *[f(behind).alias(n) for n, f in (after or {}).items()],
     )
-    return df.join(carried, group, "left")
+
+
+def carry(
+    df: DataFrame,
+    keys: Sequence[str],
+    summaries: dict[str, Column],
+    before: dict[str, Callable[[WindowSpec], Column]] | None = None,
+    after: dict[str, Callable[[WindowSpec], Column]] | None = None,
+) -> DataFrame:
+    """Attach what is `carried` to each bucket to its rows."""
+    return df.join(carried(df, keys, summaries, before, after), [*keys, BUCKET], "left")
 
 
 def inside(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:

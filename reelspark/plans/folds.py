@@ -6,7 +6,10 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 Group = dict[str, np.ndarray]
 
@@ -60,3 +63,42 @@ def fold_groups(
             yield pd.concat(done, ignore_index=True)
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+
+
+def walk_groups(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], fn: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table],
+    schema: StructType,
+) -> DataFrame:
+    """Run `fn` on runs of whole groups in order, with the first row and the end of each row's group.
+
+    For work that treats all groups of a run at once; kept in memory are a batch and the group that it leaves open."""
+    keys = list(keys)
+
+    def starts_of(table: pa.Table) -> np.ndarray:
+        change = np.zeros(len(table), dtype=bool)
+        change[:1] = True
+        for k in keys:
+            a, b = table[k].slice(1), table[k].slice(0, len(table) - 1)
+            same = pc.fill_null(pc.equal(a, b), False).to_numpy() | (a.is_null().to_numpy() & b.is_null().to_numpy())
+            change[1:] |= ~same
+        return np.flatnonzero(change)
+
+    def work(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        lengths = np.diff(np.append(starts, len(table)))
+        yield from fn(table, np.repeat(starts, lengths), np.repeat(starts + lengths, lengths)).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = pa.Table.from_batches([batch])
+            held = (new if held is None else pa.concat_tables([held, new])).combine_chunks()
+            starts = starts_of(held)
+            if len(starts) > 1:
+                yield from work(held.slice(0, int(starts[-1])), starts[:-1])
+                held = held.slice(int(starts[-1]))
+        if held is not None:
+            yield from work(held, starts_of(held))
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
