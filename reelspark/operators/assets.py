@@ -339,6 +339,10 @@ def group_cases(files: DataFrame, date: str = "date", stamp: str = "stamp", minu
     return numbered.select(*files.columns, case.alias("case_no"))
 
 
+#: Extension of a file name.
+_SUFFIX = r"(\.[^./\\]*)$"
+
+
 def unique_names(manifest: DataFrame, dest: str = "destination_path", source: str = "source_path") -> DataFrame:
     """Colliding destinations get `_1`, `_2`, … before the extension; one file keeps the name.
 
@@ -351,18 +355,22 @@ def unique_names(manifest: DataFrame, dest: str = "destination_path", source: st
     own = manifest.select(F.struct("*").alias("_own"), F.col(dest).alias("_dest"), F.col(source).alias("_source"))
     ranked = with_group_rank(own, ["_dest"], ["_source"], F.md5("_source"), "_rank")
     name = F.col("_dest")
-    suffix = F.regexp_extract(name, r"(\.[^./\\]*)$", 1)
-    stem = F.regexp_replace(name, r"(\.[^./\\]*)$", "")
-    numbered = own.select("_dest").distinct().select(
-        F.concat(F.regexp_replace(stem, r"_[1-9]\d{0,17}$", ""), suffix).alias("_base"),
-        F.regexp_extract(stem, r"_([1-9]\d{0,17})$", 1).alias("_number")).filter("_number <> ''")
+    suffix = F.regexp_extract(name, _SUFFIX, 1)
+    stem = F.regexp_replace(name, _SUFFIX, "")
+    # read off the name only once names are counted: else the parse would go below the grouping, to every row and condition
+    counted = own.groupBy("_dest").agg(F.count(F.lit(1)).alias("_rows")).withColumn("_once", F.when(F.col("_rows") > 0, name))
+    once = F.col("_once")
+    bare = F.regexp_replace(once, _SUFFIX, "")
+    numbered = counted.select(
+        F.concat(F.regexp_replace(bare, r"_[1-9]\d{0,17}$", ""), F.regexp_extract(once, _SUFFIX, 1)).alias("_base"),
+        F.regexp_extract(bare, r"_([1-9]\d{0,17})$", 1).alias("_number")).filter("_number <> ''")
     taken = with_running_sum(
         numbered.select("_base", F.col("_number").cast("long").alias("_number")), ["_base"], ["_number"], F.lit(1), "_i")
     # below every row stand the taken numbers with fewer free ones below them than its rank
-    marks = taken.select(F.col("_base").alias("_name"), ((F.col("_number") - F.col("_i")) * 2 + 1).alias("_at"))
-    rows = ranked.withColumns({"_name": name, "_at": F.col("_rank") * 2, "_row": F.lit(True)})
+    marks = taken.select(F.col("_base").alias("_dest"), ((F.col("_number") - F.col("_i")) * 2 + 1).alias("_at"))
+    rows = ranked.drop("_source").withColumns({"_at": F.col("_rank") * 2, "_row": F.lit(True)})
     passed = with_running_sum(
-        rows.unionByName(marks, allowMissingColumns=True), ["_name"], ["_at"], F.when(F.col("_row"), 0).otherwise(1), "_passed")
+        rows.unionByName(marks, allowMissingColumns=True), ["_dest"], ["_at"], F.when(F.col("_row"), 0).otherwise(1), "_passed")
     free = F.col("_rank") + F.col("_passed")
     renamed = F.concat(stem, F.lit("_"), free.cast("string"), suffix)
     out = passed.filter("_row").withColumn("unique_path", F.when(F.col("_rank") == 0, name).otherwise(renamed))
@@ -387,17 +395,19 @@ def copy_plan(files: DataFrame, dest_root: str, cameras: Sequence[str] = CAMERAS
 
     `files` holds path and length; the capture stamp is the container's stem and the channel its directory.
     A container below the size threshold goes to `<channel>_JUNK` together with its companions."""
+    # one pass: a stem of a directory has a file for each extension and spelling, no more; what is read off the path
+    # stays above the grouping, so that nothing is parsed again for each condition
     parts = _with_stem(files)
-    seqs = (
-        parts.filter(F.col("ext") == ".seq")
-        .withColumns({"_at": timestamp_from_stem("stem"), "_channel": map_channels(parent_dir("path"), cameras)})
-        .withColumns({"date": F.date_format("_at", "yy-MM-dd"), "target": tag_undersized("_channel", "length")})
-        .filter(F.col("date").isNotNull())
-        .select("dir", "stem", "date", "target", F.col("stem").alias("stamp"))
-    )
-    placed = group_cases(seqs)
-    members = parts.filter(F.col("ext").isin(".seq", *COMPANION_EXTENSIONS)).select("dir", "stem", "path", "length", "ext")
-    joined = members.join(placed, ["dir", "stem"])
+    groups = parts.groupBy("dir", "stem").agg(F.collect_list(F.struct("path", "length", "ext", "stem")).alias("_files"))
+    named = F.filter("_files", lambda f: f["ext"].isin(".seq", *COMPANION_EXTENSIONS))
+    containers = F.filter(named, lambda f: f["ext"] == ".seq")
+    found = groups.select(named.alias("_members"), F.explode(containers).alias("_seq")).withColumns({
+        "_at": timestamp_from_stem("_seq.stem"), "_channel": map_channels(parent_dir("_seq.path"), cameras)})
+    seqs = found.select(
+        "_members", F.date_format("_at", "yy-MM-dd").alias("date"),
+        tag_undersized("_channel", "_seq.length").alias("target"), F.col("_seq.stem").alias("stamp"))
+    placed = group_cases(seqs.filter(F.col("date").isNotNull()))
+    joined = placed.select("date", "target", "stamp", "case_no", F.inline("_members"))
     dest = F.concat_ws("/", F.lit(dest_root), F.concat(F.lit("DATA_"), F.col("date")),
                        F.concat(F.lit("Case"), F.col("case_no").cast("string")), "target", file_name("path"))
     return joined.select(
