@@ -229,9 +229,10 @@ def attach_companions(files: DataFrame, case_sensitive: bool = False) -> DataFra
     # one pass: containers and companions of a stem, in all its spellings, meet in one group
     parts = _with_stem(files).withColumn("_key", F.col("stem") if case_sensitive else F.lower("stem"))
     container = F.col("ext") == ".seq"
-    groups = parts.filter(container | F.col("ext").isin(*COMPANION_EXTENSIONS)).groupBy("dir", "_key").agg(
+    # what counts is told apart while it is collected: a condition on rows would parse their paths once more
+    groups = parts.groupBy("dir", "_key").agg(
         F.collect_list(F.when(container, F.struct("stem", F.col("path").alias("seq_path")))).alias("_containers"),
-        F.collect_list(F.when(~container, F.struct("ext", "stem", "path"))).alias("_companions"))
+        F.collect_list(F.when(F.col("ext").isin(*COMPANION_EXTENSIONS), F.struct("ext", "stem", "path"))).alias("_companions"))
     each = groups.select("dir", "_companions", F.inline("_containers"))
 
     def best(e: str) -> Column:

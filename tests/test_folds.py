@@ -286,6 +286,8 @@ def listing(spark):
 def test_plans_parse_no_names_in_conditions_on_rows(spark):
     plan = assets.copy_plan(listing(spark), "out")
     assert not below_groupings(plan, "gettimestamp") and plan.count() == 300
+    attached = assets.attach_companions(listing(spark))
+    assert not below_groupings(attached, "substring_index") and not below_groupings(attached, "regexp") and attached.count() == 300
     manifest = listing(spark).select(F.col("path").alias("source_path"), F.substring("path", 1, 12).alias("destination_path")).distinct()
     names = assets.unique_names(manifest)
     assert not below_groupings(names, "regexp")
