@@ -67,7 +67,7 @@ def fold_groups(
 
 def walk_groups(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], fn: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table],
-    schema: StructType,
+    schema: StructType | str,
 ) -> DataFrame:
     """Run `fn` on runs of whole groups in order, with the first row and the end of each row's group.
 
