@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DoubleType, NumericType, StructField, StructType
 
 from reelspark.constants import HEAD, KEYPOINTS, LOWER_BODY, TORSO, UPPER_BODY
 from reelspark.functions import euclidean, iou, no_nan
@@ -316,7 +315,7 @@ def track_endpoints(kp: DataFrame, ordinal: str | None = None) -> DataFrame:
 _END_NAMES = (("Frame_ID", "frame"), ("Timestamp", "time"), ("centroid_x", "x"), ("centroid_y", "y"))
 
 
-def _greedy_chains(t: dict[str, np.ndarray], gap: float, dist: float, overlap: float) -> pd.DataFrame:
+def _greedy_chains(t: dict[str, np.ndarray], gap: float, dist: float, overlap: float) -> dict[str, np.ndarray]:
     """Chain the fragments of one independent stretch of a video, given in start order."""
     start, end, ids = t["start_time"].tolist(), t["end_time"].tolist(), t["Track_ID"]
     at = list(zip(t["start_x"].tolist(), t["start_y"].tolist()))
@@ -338,7 +337,7 @@ def _greedy_chains(t: dict[str, np.ndarray], gap: float, dist: float, overlap: f
                 for m in moved:
                     owner[m] = mine
                 until, where = end[j], to[j]
-    return pd.DataFrame({"video": t["video"], "Track_ID": ids, "merged_id": ids[np.array(owner)]})
+    return {"video": t["video"], "Track_ID": ids, "merged_id": ids[np.array(owner)]}
 
 
 def fragment_map(
@@ -354,7 +353,7 @@ def fragment_map(
     opens = F.coalesce(F.col("start_time") - F.col("_latest") > gap, F.lit(False)).cast("long")
     cut = with_running_sum(seen, ["video"], order, opens, "_stretch", width=3600)
 
-    def chain(columns: dict[str, np.ndarray]) -> pd.DataFrame:
+    def chain(columns: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         return _greedy_chains(columns, gap, dist, overlap)
 
     schema = f"video {dict(kp.dtypes)['video']}, Track_ID bigint, merged_id bigint"
@@ -444,11 +443,8 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], time: str | None = "T
     return walk_groups(rows, [*TRACK, BUCKET], ["Frame_ID"], fill, clean.select(*df.columns).schema)
 
 
-def fill_gaps(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str = "Timestamp") -> DataFrame:
-    """`reindex_frames` followed by `interpolate_linear`, in one go.
-
-    Neighbours are looked up among the measured rows only; the added frames, usually most of the result, are then
-    computed from the row before them without any further window."""
+def _gap_lines(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str) -> DataFrame:
+    """Each measured frame up to the one before the next (`_until`), with every column's value at it (`_v`) and slope (`_s`)."""
     targets = [*cols, time]
     first = kp.groupBy(*TRACK, "Frame_ID").agg(
         F.min_by(F.struct(*[no_nan(c).alias(c) for c in targets]), ordinal).alias("_row")
@@ -463,15 +459,72 @@ def fill_gaps(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str = "Tim
         return F.struct((start if c == time else F.coalesce(start, hi["value"])).alias("v"), slope.alias("s"))
 
     lines = near.select(*TRACK, "Frame_ID", F.col("_hi_Frame_ID")["at"].alias("_next"), *[line(c).alias(c) for c in targets])
-    flat = lines.select(*TRACK, "Frame_ID", "_next", *[F.col(c)[p].alias(f"{c}_{p}") for c in targets for p in ("v", "s")])
-    until = F.coalesce(F.col("_next") - 1, F.col("Frame_ID"))
-    grid = explode_range(flat, "Frame_ID", until, "_frame")
+    return lines.select(*TRACK, "Frame_ID", F.coalesce(F.col("_next") - 1, F.col("Frame_ID")).alias("_until"),
+                        *[F.col(c)[p].alias(f"{c}_{p}") for c in targets for p in ("v", "s")])
+
+
+def fill_gaps(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str = "Timestamp") -> DataFrame:
+    """`reindex_frames` followed by `interpolate_linear`, in one go.
+
+    Neighbours are looked up among the measured rows only; the added frames, usually most of the result, are then
+    computed from the row before them without any further window."""
+    grid = explode_range(_gap_lines(kp, ordinal, cols, time), "Frame_ID", "_until", "_frame")
     step = F.col("_frame") - F.col("Frame_ID")
     return grid.select(
         *TRACK, F.col("_frame").alias("Frame_ID"), *[(F.col(f"{c}_v") + F.col(f"{c}_s") * step).alias(c) for c in [time, *cols]]
     )
 
 
+def fill_gaps_smoothed(
+    kp: DataFrame, ordinal: str, cols: Sequence[str], smooth: Sequence[str], window: int = 5, time: str = "Timestamp"
+) -> DataFrame:
+    """`fill_gaps` followed by `smooth_centered` of the columns `smooth`, in one go.
+
+    Only measured rows are shuffled and sorted: each goes to the buckets that its frames, or frames within half a window of
+    them, lie in, and becomes frames where they are smoothed."""
+    half, width, names = window // 2, FRAME_BUCKET, [time, *cols]
+    lines = _gap_lines(kp, ordinal, cols, time)
+    near = F.sequence(F.floor((F.col("Frame_ID") - half) / width), F.floor((F.col("_until") + half) / width))
+    cut = lines.withColumn(BUCKET, F.explode(near)).withColumns({
+        "_low": F.greatest(F.col("Frame_ID"), F.col(BUCKET) * width - half),
+        "_high": F.least(F.col("_until"), (F.col(BUCKET) + 1) * width + (half - 1)),
+    }).withColumn("_frames", F.col("_high") - F.col("_low") + 1).filter("_frames > 0")
+    kinds = {f.name: f.dataType for f in lines.schema}
+    target = StructType([StructField(c, kinds[c]) for c in (*TRACK, "Frame_ID")] + [StructField(c, DoubleType()) for c in names])
+    schema = to_arrow_schema(target)
+
+    def fill(part: pa.Table, first: np.ndarray, end: np.ndarray) -> pa.Table:
+        frames, low = part["_frames"].to_numpy(), part["_low"].to_numpy()
+        after = np.cumsum(frames)
+        begin = after - frames
+        row = np.repeat(np.arange(len(part)), frames)
+        place = np.arange(len(row))
+        frame = low[row] + place - begin[row]
+        step = (frame - part["Frame_ID"].to_numpy()[row]).astype(np.float64)
+        own = frame // width == part[BUCKET].to_numpy()[row]
+        left, right = begin[first][row], after[end - 1][row]
+        inside_group = {k: (place + k >= left) & (place + k < right) for k in range(-half, half + 1)}
+        source = pa.array(row[own])
+        out = {c: part[c].take(source) for c in TRACK} | {"Frame_ID": pa.array(frame[own], schema.field("Frame_ID").type)}
+        for c in names:
+            with np.errstate(invalid="ignore", over="ignore"):
+                value = part[f"{c}_v"].to_numpy()[row] + part[f"{c}_s"].to_numpy()[row] * step
+                missing = part[f"{c}_v"].is_null().to_numpy()[row]
+                if c in smooth:
+                    known = ~np.isnan(value)
+                    total, n = np.zeros(len(row)), np.zeros(len(row), np.int64)
+                    for k, fits in inside_group.items():
+                        at = np.clip(place + k, 0, len(row) - 1)
+                        use = fits & known[at]
+                        total += np.where(use, value[at], 0.0)
+                        n += use
+                    value, missing = total / np.maximum(n, 1), n == 0
+            out[c] = pa.array(value[own], mask=missing[own])
+        return pa.table([out[c] for c in schema.names], schema=schema)
+
+    return walk_groups(cut, [*TRACK, BUCKET], ["_low"], fill, target, weight="_frames")
+
+
 def smooth_centered(df: DataFrame, cols: Sequence[str], window: int = 5) -> DataFrame:
     """Centred mean over `window` rows of a track, fewer at its ends; frames are consecutive.
 
@@ -501,8 +554,7 @@ def clean_tracks(
     coords = [c for c in points if not c.endswith("_conf")]
     kept = drop_short_tracks(kp, min_sec)
     merged = merge_fragments(track_centroid(kept, [k for k in TORSO if k in keypoints]), gap, dist, ordinal=ordinal)
-    filled = fill_gaps(merged, ordinal, points)
-    smoothed = smooth_centered(filled, coords, window)
+    smoothed = fill_gaps_smoothed(merged, ordinal, points, coords, window)
     return smoothed.orderBy("video", "Frame_ID", "Track_ID") if ordered else smoothed
 
 

@@ -3,75 +3,45 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 Group = dict[str, np.ndarray]
 
 
 def fold_groups(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], fn: Callable[[Group], pd.DataFrame | None], schema: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], fn: Callable[[Group], Group | None], schema: str
 ) -> DataFrame:
-    """Run `fn` on the ordered rows of each group, given as column arrays.
+    """Run `fn` on the ordered rows of each group, given and returned as column arrays.
 
-    Spark shuffles and sorts; a task walks its groups in one pass over the sorted batches, which spares the
-    start-up cost per group when there are many small ones. Only the group at hand is kept in memory."""
-    keys = list(keys)
+    Spark shuffles and sorts; a task walks its groups in one pass over the sorted batches, and a group is a slice of their
+    arrays, since a data frame for each would cost more than most folds."""
 
-    def groups(batches: Iterator[pd.DataFrame]) -> Iterator[list[pd.DataFrame]]:
-        """Lists of batch slices, one list per group."""
-        held: list[pd.DataFrame] = []
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            change = np.zeros(len(pdf), dtype=bool)
-            for k in keys:
-                v = pdf[k].to_numpy()
-                change[1:] |= v[1:] != v[:-1]
-                change[0] |= bool(held) and held[-1][k].iloc[-1] != v[0]
-            starts = np.flatnonzero(change)
-            edges = [0, *starts[starts > 0], len(pdf)]
-            if held and change[0]:
-                yield held
-                held = []
-            for a, b in zip(edges[:-1], edges[1:]):
-                held.append(pdf.iloc[a:b])
-                if b < len(pdf):
-                    yield held
-                    held = []
-        if held:
-            yield held
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        done: list[pd.DataFrame] = []
-        size = 0
-        for parts in groups(batches):
-            columns = {c: np.concatenate([p[c].to_numpy() for p in parts]) for c in parts[0].columns}
-            out = fn(columns)
-            if out is not None and len(out):
-                done.append(out)
-                size += len(out)
-            if size >= 10000:
-                yield pd.concat(done, ignore_index=True)
-                done, size = [], 0
-        if done:
-            yield pd.concat(done, ignore_index=True)
-
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+    def each(part: pa.Table, first: np.ndarray, end: np.ndarray) -> pa.Table:
+        columns = {c: part[c].to_numpy() for c in part.column_names}
+        starts = np.unique(first)
+        done = [fn({c: v[a:b] for c, v in columns.items()}) for a, b in zip(starts.tolist(), end[starts].tolist())]
+        done = [out for out in done if out is not None]
+        return pa.table([np.concatenate([out[c] for out in done]) if done else [] for c in target.names], schema=target)
+
+    target = to_arrow_schema(StructType.fromDDL(schema))
+    return walk_groups(df, keys, order, each, schema)
 
 
 def walk_groups(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], fn: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table],
-    schema: StructType | str,
+    schema: StructType | str, weight: str | None = None, most: int = 1 << 19,
 ) -> DataFrame:
     """Run `fn` on runs of whole groups in order, with the first row and the end of each row's group.
 
-    For work that treats all groups of a run at once; kept in memory are a batch and the group that it leaves open."""
+    For work that treats all groups of a run at once; kept in memory are a batch and the group that it leaves open. Where rows
+    grow in `fn`, the column `weight` tells how much, and a run ends with the group in which that adds up to `most`."""
     keys = list(keys)
 
     def starts_of(table: pa.Table) -> np.ndarray:
@@ -84,8 +54,16 @@ def walk_groups(
         return np.flatnonzero(change)
 
     def work(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        lengths = np.diff(np.append(starts, len(table)))
-        yield from fn(table, np.repeat(starts, lengths), np.repeat(starts + lengths, lengths)).to_batches()
+        edges = np.append(starts, len(table))
+        runs = np.zeros(len(starts), np.int64)
+        if weight is not None:
+            total = np.cumsum(np.add.reduceat(table[weight].to_numpy(), starts))
+            runs = (total - 1) // most
+        for a, b in pairwise(np.flatnonzero(np.diff(runs, prepend=-1, append=-1)).tolist()):
+            lengths = np.diff(edges[a:b + 1])
+            first = np.repeat(edges[a:b] - edges[a], lengths)
+            part = table.slice(int(edges[a]), int(edges[b] - edges[a]))
+            yield from fn(part, first, first + np.repeat(lengths, lengths)).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None

@@ -234,6 +234,31 @@ def test_smoothing_across_buckets(spark, monkeypatch):
     assert cut == whole and len(cut) == 200
 
 
+def test_cleaning_smooths_where_gaps_are_filled(spark, monkeypatch):
+    """Filling and smoothing at once equals one after the other, for any bucket width, and shuffles no added frame."""
+    rng = random.Random(3)
+    rows = [("v", t, f, f / 30 if f % 5 else None, len(str(f)), rng.uniform(0, 9) if rng.random() < 0.7 else None, None, rng.random())
+            for t in (1, 2, 3) for f in sorted([t, *rng.sample(range(t, 400), 40), *range(60, 70)], reverse=t == 2)]
+    kp = spark.createDataFrame(rows, "video string, Track_ID bigint, Frame_ID bigint, Timestamp double, ordinal bigint, a double, b double, c double")
+    want = tracks.smooth_centered(tracks.fill_gaps(kp, "ordinal", ["a", "b", "c"]), ["a", "b"]).collect()
+
+    def run():
+        out = tracks.fill_gaps_smoothed(kp, "ordinal", ["a", "b", "c"], ["a", "b"])
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        return out.columns, sorted(map(tuple, out.collect())), plan
+
+    columns, whole, plan = run()
+    assert columns == ["video", "Track_ID", "Frame_ID", "Timestamp", "a", "b", "c"]
+    assert whole == [pytest.approx(r) for r in sorted(map(tuple, want))] and len(whole) > 1000
+    monkeypatch.setattr(tracks, "FRAME_BUCKET", 16)
+    assert run()[1] == [pytest.approx(r) for r in whole]
+    cleaned = tracks.clean_tracks(
+        kp.select("video", "Track_ID", "Frame_ID", "Timestamp", "ordinal", *[
+            F.col("a").alias(f"Left_Hip_{p}") for p in ("x", "y", "conf")]), "ordinal", ["Left_Hip"], ordered=False)
+    text = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("MapInArrow") < text.index("RepartitionByExpression") and "_frame#" not in text
+
+
 def test_smoothing_some_columns_of_a_filled_grid(spark):
     """Columns that a query drops after the grid is made take nothing else with them."""
     points = [f"{k}_{p}" for k in ("Left_Hip", "Right_Hip", "Left_Shoulder") for p in ("x", "y", "conf")]
