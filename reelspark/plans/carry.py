@@ -159,14 +159,16 @@ def with_known_neighbours(
 
 def with_group_rank(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], spread: Column, out: str,
-    start: int = 0, buckets: int = 4096,
+    start: int = 0, buckets: int = 4096, large: Column | None = None,
 ) -> DataFrame:
     """Dense position inside a group of any size.
 
     `spread` is a hex digest of the row; its leading digits cut a large group into even buckets, and the
-    order inside the group is (digest, order)."""
-    digits = max(1, len(f"{buckets - 1:x}"))
-    staged = df.withColumn("_digest", spread).withColumn(BUCKET, F.substring("_digest", 1, digits))
+    order inside the group is (digest, order). Where `large` tells which groups are, the others stay in one bucket."""
+    digits = F.lit(max(1, len(f"{buckets - 1:x}")))
+    if large is not None:
+        digits = F.when(large, digits).otherwise(0)
+    staged = df.withColumn("_digest", spread).withColumn(BUCKET, F.substring("_digest", F.lit(1), digits))
     cut = carry(
         staged, keys, {"_n": F.count(F.lit(1))},
         before={"_offset": lambda w: F.sum("_n").over(w)},
