@@ -211,6 +211,7 @@ def test_sample_orders_rows_of_drawn_cases_only(spark, monkeypatch):
 
 def test_copies_are_verified_behind_one_shuffle_a_side(spark):
     """No digest is shuffled: the rows were dealt out by the key of the join already."""
+    from reelspark.plans import q_assets  # noqa: F401
     from reelspark.plans.registry import QUERIES
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -223,6 +224,7 @@ def test_copies_are_verified_behind_one_shuffle_a_side(spark):
 
 def test_frames_are_counted_behind_the_shuffle(spark):
     """No count holds the rows of a whole part of a file."""
+    from reelspark.plans import q_redaction  # noqa: F401
     from reelspark.plans.registry import QUERIES
 
     plan = QUERIES["stamp_intervals"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
