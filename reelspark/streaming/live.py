@@ -5,11 +5,13 @@ holds a few numbers per key. Rows later than the watermark are dropped by Spark.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import datetime as dt
+from collections.abc import Callable, Iterable, Iterator
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from reelspark.constants import RECORDING_KEY
@@ -69,6 +71,19 @@ def _batches(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
     return pd.concat(frames).sort_values(order, kind="stable") if frames else pd.DataFrame()
 
 
+def _ordered(rows: Iterable[Row], place: int) -> list[tuple]:
+    """A key's rows by the column at a place, those without it left out. As plain tuples: a Row looks its fields up slowly."""
+    at = itemgetter(place)
+    return sorted((r for r in map(tuple, rows) if at(r) is not None), key=at)
+
+
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+
+def _micros(ts: dt.datetime) -> int:
+    return (ts - EPOCH) // dt.timedelta(microseconds=1)
+
+
 class _DurationKeeper(StatefulProcessor):
     def __init__(self, idle_ms: int):
         self.idle_ms = idle_ms
@@ -112,6 +127,8 @@ def duration_updates(ticks: DataFrame, idle_seconds: int = 3600, lateness: str =
 class _BurstKeeper(StatefulProcessor):
     """Scanning resumes at `resume`; while a burst is open, `check` is the next frame that must show a person."""
 
+    burst = Row("video", "start_frame", "saved", "outcome")
+
     def __init__(self, size: int, gap: int, cooldown: int, idle_ms: int | None):
         self.size, self.gap, self.cooldown, self.idle_ms = size, gap, cooldown, idle_ms
 
@@ -119,44 +136,46 @@ class _BurstKeeper(StatefulProcessor):
         self.handle = handle
         self.mode = handle.getValueState("mode", "resume bigint, check bigint, seen int, saved array<bigint>")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = self.mode.get()
         resume, check, seen, saved = (state[0], state[1], state[2], list(state[3])) if state else (0, -1, 0, [])
         out = []
 
         def finish(outcome: str) -> None:
             nonlocal resume, check, seen, saved
-            out.append((key[0], saved[0], saved, outcome))
+            out.append(self.burst(key[0], saved[0], saved, outcome))
             resume, check, seen, saved = check + self.cooldown + 1, -1, 0, []
 
-        last = None
-        for r in _batches(rows, "frame").itertuples():
-            if self.idle_ms is not None:
-                last = r.ts if last is None else max(last, r.ts)
-            if check >= 0 and (r.frame > check or (r.frame == check and not r.good)):
+        rows = [tuple(r) for r in rows]
+        last = None if self.idle_ms is None else max((r[4] for r in rows if r[4] is not None), default=None)
+        for _, frame, good, usable, *_ in _ordered(rows, 1):
+            if check >= 0 and (frame > check or (frame == check and not good)):
                 finish("aborted")
             if check >= 0:
-                if r.frame == check:
+                if frame == check:
                     seen += 1
-                    if r.usable:
-                        saved.append(int(r.frame))
+                    if usable:
+                        saved.append(frame)
                     if seen == self.size:
                         finish("complete")
                     else:
                         check += self.gap + 1
-            elif r.frame >= resume and r.good and r.usable:
-                saved, seen, check = [int(r.frame)], 1, int(r.frame) + self.gap + 1
+            elif frame >= resume and good and usable:
+                saved, seen, check = [frame], 1, frame + self.gap + 1
         self.mode.update((resume, check, seen, saved))
         if last is not None:
-            _rearm(self.handle, _millis(last) + self.idle_ms)
-        yield pd.DataFrame(out, columns=["video", "start_frame", "saved", "outcome"])
+            if state:
+                _rearm(self.handle, _micros(last) // 1000 + self.idle_ms)
+            else:  # a key without state has no timer
+                self.handle.registerTimer(_micros(last) // 1000 + self.idle_ms)
+        yield from out
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """The video has ended: a burst that waits for its next frame stays open."""
         state = self.mode.get()
-        out = [(key[0], state[3][0], list(state[3]), "open")] if state and state[1] >= 0 else []
+        if state and state[1] >= 0:
+            yield self.burst(key[0], state[3][0], list(state[3]), "open")
         self.mode.clear()
-        yield pd.DataFrame(out, columns=["video", "start_frame", "saved", "outcome"])
 
     def close(self) -> None:
         pass
@@ -172,8 +191,9 @@ def capture_bursts_stream(
     person is what aborts a burst. A video that sends nothing for `idle_seconds` of event time has ended: its open burst is
     written out and its state goes. Without a `ts` column nothing tells an end, so open bursts stay in the state."""
     timed = "ts" in frames.columns
-    source = frames.withWatermark("ts", lateness) if timed else frames
-    return source.groupBy("video").transformWithStateInPandas(
+    rows = frames.select("video", F.col("frame").cast("bigint"), "good", "usable", *(["ts"] if timed else []))
+    source = rows.withWatermark("ts", lateness) if timed else rows
+    return source.groupBy("video").transformWithState(
         statefulProcessor=_BurstKeeper(size, gap, cooldown, idle_seconds * 1000 if timed else None),
         outputStructType="video string, start_frame bigint, saved array<bigint>, outcome string",
         outputMode="Append", timeMode="EventTime" if timed else "None",
@@ -181,9 +201,9 @@ def capture_bursts_stream(
 
 
 class _StallKeeper(StatefulProcessor):
-    """`alerted` tells whether the present standstill has been reported."""
+    """`alerted` tells whether the present standstill has been reported. A job's alerts of a batch leave as one row of arrays."""
 
-    columns = ["job", "frame", "stalled_since"]
+    alerts = Row("job", "frames", "since_us")
 
     def __init__(self, timeout_ms: int, forget_ms: int):
         self.timeout_ms, self.forget_ms = timeout_ms, forget_ms
@@ -192,32 +212,34 @@ class _StallKeeper(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState("last", "frame bigint, at_us bigint, alerted boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = self.last.get()
         frame, at, alerted = state if state else (-1, None, False)
-        out, moved = [], False
-        for r in _batches(rows, "ts").itertuples():
-            if r.frame > frame:
-                now = r.ts.value // 1000
+        frames, since, moved = [], [], False
+        for _, reached, ts in _ordered(rows, 2):
+            if reached is not None and reached > frame:
+                now = _micros(ts)
                 if at is not None and now - at > self.timeout_ms * 1000 and not alerted:  # a standstill within the batch
-                    out.append((key[0], frame, pd.Timestamp(at, unit="us")))
-                frame, at, alerted, moved = int(r.frame), now, False, True
+                    frames.append(frame)
+                    since.append(at)
+                frame, at, alerted, moved = reached, now, False, True
         if moved:
-            _rearm(self.handle, at // 1000 + self.timeout_ms)
+            if state:  # the timer set for what the state tells
+                self.handle.deleteTimer(state[1] // 1000 + self.timeout_ms + (self.forget_ms if state[2] else 0))
+            self.handle.registerTimer(at // 1000 + self.timeout_ms)
             self.last.update((frame, at, False))
-        yield pd.DataFrame(out, columns=self.columns)
+        if frames:
+            yield self.alerts(key[0], frames, since)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         state = self.last.get()
-        out = []
         if state and not state[2]:
             frame, at, _ = state
-            out.append((key[0], frame, pd.Timestamp(at, unit="us")))
+            yield self.alerts(key[0], [frame], [at])
             self.last.update((frame, at, True))
             self.handle.registerTimer(at // 1000 + self.timeout_ms + self.forget_ms)
         else:
             self.last.clear()
-        yield pd.DataFrame(out, columns=self.columns)
 
     def close(self) -> None:
         pass
@@ -230,11 +252,14 @@ def stall_alerts(
 
     A standstill is reported once, by a timer or by the rows that end it, so the alerts do not depend on how rows fall into
     batches. A job is forgotten `forget_seconds` after its alert."""
-    return progress.withWatermark("ts", lateness).groupBy("job").transformWithStateInPandas(
+    rows = progress.select("job", F.col("frame").cast("bigint"), "ts")
+    alerts = rows.withWatermark("ts", lateness).groupBy("job").transformWithState(
         statefulProcessor=_StallKeeper(timeout_seconds * 1000, forget_seconds * 1000),
-        outputStructType="job string, frame bigint, stalled_since timestamp",
+        outputStructType="job string, frames array<bigint>, since_us array<bigint>",
         outputMode="Append", timeMode="EventTime",
     )
+    return alerts.select("job", F.inline(F.arrays_zip("frames", "since_us")).alias("frame", "since_us")).select(
+        "job", "frame", F.timestamp_micros("since_us").alias("stalled_since"))
 
 
 class _PoseKeeper(StatefulProcessor):

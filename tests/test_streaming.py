@@ -3,14 +3,14 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from reelspark.operators import reid, tracks
 from reelspark.plans.q_streams import live_frames
 from reelspark.plans.registry import QUERIES
 from reelspark.operators.catalog import overwrite_partitions, touched_partitions
 from reelspark.streaming import ingest_batch
-from reelspark.streaming.live import STATUS_SCHEMA
+from reelspark.streaming.live import STATUS_SCHEMA, _BurstKeeper, _StallKeeper
 from reelspark.streaming import (
     capture_bursts_stream, duration_updates, ingest_status, live_pose, stall_alerts, sync_monitor,
 )
@@ -199,3 +199,53 @@ def test_only_touched_partitions_are_read(spark, tmp_path):
     assert some.count() == 2
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [recording_date" in plan and "2024-01-03" in plan
+
+
+def test_stalls_and_bursts_take_rows_with_gaps_in_any_time_zone(spark, tmp_path):
+    """Rows without a frame or a time are passed over; alerts tell the moment whatever the session's zone."""
+    rows = [("a", 10, 0), ("a", None, 5), ("a", 20, None), ("a", 30, 3 * 3600), ("a", 40, 3 * 3600 + 1), ("clock", 1, 9 * 86400)]
+    df = spark.createDataFrame(rows, "job string, frame bigint, at bigint").select("job", "frame", F.timestamp_seconds(F.col("at") + 86400).alias("ts"))
+    frames = df.select(F.col("job").alias("video"), "frame", F.lit(True).alias("good"), F.lit(True).alias("usable"), "ts")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stream = replay(spark, df, tmp_path, "gaps", [F.lit(True)])
+        alerts = drain(stall_alerts(stream), tmp_path, "gap_alerts").filter("job = 'a'")
+        got = sorted(alerts.select("frame", F.unix_seconds("stalled_since") - 86400).collect())
+        bursts = drain(capture_bursts_stream(replay(spark, frames, tmp_path, "gap_frames", [F.lit(True)]), gap=9), tmp_path, "gap_bursts")
+        found = bursts.filter("video = 'a'").select("start_frame", "saved", "outcome").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert list(map(tuple, got)) == [(10, 0), (40, 3 * 3600 + 1)]
+    assert list(map(tuple, found)) == [(10, [10, 20, 30], "complete")]
+
+
+class Calls:
+    """A state handle that notes the calls, each a round trip to the JVM."""
+
+    def __init__(self):
+        self.made, self.value = [], None
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.made.append(name)
+            return [] if name == "listTimers" else self if name == "getValueState" else self.value
+
+        return call
+
+    def update(self, value):
+        self.made.append("update")
+        self.value = value
+
+
+def test_a_new_key_costs_few_calls_and_one_row():
+    at = [T0.replace(tzinfo=dt.timezone.utc) + dt.timedelta(hours=k) for k in range(0, 8, 2)]
+    stalls, bursts = _StallKeeper(3_600_000, 86_400_000), _BurstKeeper(3, 0, 5, 60_000)
+    frames = [Row(video="v", frame=k, good=True, usable=True, ts=t) for k, t in enumerate(at)]
+    progress = [Row(job="v", frame=k, ts=t) for k, t in enumerate(at)]
+    for keeper, rows in ((stalls, progress), (bursts, frames)):
+        calls = Calls()
+        keeper.init(calls)
+        out = list(keeper.handleInputRows(("v",), iter(rows), None))
+        assert len(out) == 1 and sorted(calls.made) == ["get", "getValueState", "registerTimer", "update"]
+        assert list(keeper.handleInputRows(("v",), iter(rows[:1]), None)) == []
