@@ -1,10 +1,12 @@
-"""Phrase collocations: Rabin-Karp fingerprints of n-grams, counted level by level, frequent phrases verified and read
-from the text."""
+"""Phrase collocations: texts become chunks of word numbers once; n-grams are counted level by level, by the names of their
+words; Rabin-Karp fingerprints sort out those whose parts are rare."""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from reelspark.llm.common import query, table, written
 
-#: Tokens whose fingerprints are counted together in a task, and bytes of a text that are split at once.
+#: Tokens whose n-grams are counted together in a task, and bytes of a text that are split at once.
 CHUNK, SEGMENT = 1 << 20, 1 << 22
+#: Rows that a task hands to Spark at once.
+ROWS = 1 << 18
 #: Distinct words that a task numbers before it starts anew.
 WORDS = 400_000
 #: Bits of a filter of frequent fingerprints: 16 for each, between these bounds. A fuller filter lets more through that the
@@ -32,13 +36,13 @@ _TABLE = bytes(_END if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c for
 class WordIds(dict):
     """Numbers of words, 0 for the end of a piece, with a 64-bit hash of each."""
 
-    def __init__(self) -> None:
+    def __init__(self, seed: int = 0) -> None:
         super().__init__({bytes([_END]): 0})
-        self.hashes = [0]
+        self.hashes, self.seed = [0], seed
 
     def __missing__(self, word: bytes) -> int:
         self[word] = k = len(self)
-        self.hashes.append(xxhash.xxh64_intdigest(word))
+        self.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
         return k
 
 
@@ -100,10 +104,12 @@ class Frequent:
 
     def has(self, prints: np.ndarray) -> np.ndarray:
         mask = np.uint64(len(self.bits) * 64 - 1)
-        out = np.ones(len(prints), bool)
+        left = np.arange(len(prints))
         for shift in SHIFTS:
-            at = (prints >> np.uint64(shift)) & mask
-            out &= (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+            at = (prints[left] >> np.uint64(shift)) & mask
+            left = left[(self.bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)]
+        out = np.zeros(len(prints), bool)
+        out[left] = True
         return out
 
 
@@ -135,22 +141,23 @@ class Chunk:
     lang: str
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], longest: int, chunk: int, known: WordIds, docs: bool) -> Iterator[Chunk]:
-    """Token runs by language. The language that holds most is handed on when all hold three chunks together."""
+def _chunks(batches: Iterator[pa.RecordBatch], longest: int, chunk: int, known: WordIds) -> Iterator[Chunk]:
+    """Token runs by language, by falling document. The language that holds most is handed on when all hold three chunks
+    together."""
     held: dict[str, list[tuple[np.ndarray, int]]] = {}
     sizes: dict[str, int] = {}
 
     def flush(lang: str) -> Iterator[Chunk]:
-        texts = held.pop(lang)
+        texts = sorted(held.pop(lang), key=lambda text: -text[1])
         del sizes[lang]
         every = np.concatenate([t for t, _ in texts])
-        of = np.repeat([d for _, d in texts], [len(t) for t, _ in texts]) if docs else every[:0]
+        of = np.repeat([d for _, d in texts], [len(t) for t, _ in texts])
         for at in range(0, len(every), chunk):
-            yield Chunk(every[at:at + chunk + longest - 1], of[at:at + chunk], lang)
+            end = at + chunk + longest - 1
+            yield Chunk(every[at:end], of[at:end], lang)
 
     for batch in batches:
-        ids = batch["doc_id"].to_pylist() if docs else [0] * batch.num_rows
-        for lang, doc, text in zip(batch["lang"].to_pylist(), ids, batch["text"]):
+        for lang, doc, text in zip(batch["lang"].to_pylist(), batch["doc_id"].to_pylist(), batch["text"]):
             text = text.as_py()
             if text:
                 tokens = token_ids(text, known)
@@ -162,55 +169,117 @@ def _chunks(batches: Iterator[pa.RecordBatch], longest: int, chunk: int, known:
                 for some in list(held):
                     yield from flush(some)
                 known.clear()
-                known.__init__()
+                known.__init__(known.seed)
     for some in list(held):
         yield from flush(some)
 
 
-class Reader:
-    """Finds the n-grams of a chunk that may be frequent, by the filters of shorter ones."""
+def packed(ids: np.ndarray) -> bytes:
+    """Word numbers, compressed; first all low bytes, then all second ones, and so on."""
+    return pa.compress(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(raw: pa.Buffer, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw, decompressed_size=4 * size, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4")[:, 0]
+
+
+CHUNKS = pa.schema([
+    ("lang", pa.string()), ("ids", pa.binary()), ("words", pa.list_(pa.string())), ("names", pa.list_(pa.int64())),
+    ("counts", pa.list_(pa.int64())), ("seen", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64())),
+    ("lengths", pa.list_(pa.int64()))])
+
+
+def word_chunks(texts: DataFrame, longest: int, chunk: int, seed: int) -> DataFrame:
+    """Texts as chunks of word numbers, written. A row: the words of a chunk by falling count, the name of each (64 bits of its
+    hash and language), how often it begins an n-gram there and the smallest document it does so in; the tokens as places
+    in that list, from 1, and 0 for the end of a piece; the runs of tokens of one document."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordIds(seed)
+        for part in _chunks(batches, longest, chunk, known):
+            spelled, starts = list(known), part.ids[:chunk]
+            counts, seen = np.bincount(starts, minlength=len(known)), np.zeros(len(known), np.int64)
+            seen[starts] = part.docs[:chunk]  # of a word's documents the last one stays, and they fall
+            used = np.bincount(part.ids, minlength=len(known)) > 0
+            used[0] = False
+            words = np.flatnonzero(used)
+            words = words[np.argsort(-counts[words], kind="stable")]
+            number = np.zeros(len(known), np.int32)
+            number[words] = np.arange(1, len(words) + 1)
+            names = Powers.named(np.array(known.hashes, np.uint64)[words], 1, lang_hash(part.lang))
+            runs = np.flatnonzero(np.append(True, part.docs[1:] != part.docs[:-1]))
+            yield pa.RecordBatch.from_pydict({
+                "lang": [part.lang], "ids": [packed(number[part.ids])],
+                "words": [[spelled[i].decode("utf-8", "surrogatepass") for i in words.tolist()]], "names": [names.view(np.int64)],
+                "counts": [counts[words]], "seen": [seen[words]], "docs": [part.docs[runs]],
+                "lengths": [np.diff(np.append(runs, len(part.docs)))]}, schema=CHUNKS)
+
+    return written(texts.mapInArrow(
+        split, "lang string, ids binary, words array<string>, names array<bigint>, counts array<bigint>, seen array<bigint>, "
+        "docs array<bigint>, lengths array<bigint>"))
+
+
+def _candidates(ids: np.ndarray, names: np.ndarray, n: int, shorter: Frequent, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Places and fingerprints of n-grams within pieces whose first and last n - 1 words pass the filter."""
+    k = len(ids) - n + 1
+    if k < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    of = names[ids]
+    if n == 2:
+        good = shorter.has(names)
+        good[0] = False
+        fits = good[ids]
+    else:
+        word = ids > 0
+        fits = np.logical_and.reduce([word[t:t + k + 1] for t in range(n - 1)])
+        at = np.flatnonzero(fits)
+        fits[at] = shorter.has(powers.grams(of, n - 1, 0)[at])
+    at = np.flatnonzero(fits[:k] & fits[1:k + 1])
+    return at, powers.grams(of, n, 0)[at]
 
-    def __init__(self, longest: int, chunk: int, words: Frequent | None, pairs: Frequent | None):
-        self.chunk, self.words, self.pairs = chunk, words, pairs
-        self.known, self.powers = WordIds(), Powers(chunk + longest)
 
-    def prints(self, chunk: Chunk, sizes: range) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(n, places, fingerprints) of n-grams within pieces whose words, and whose pairs of words, pass the filters."""
-        table = np.array(self.known.hashes, np.uint64)
-        lang = lang_hash(chunk.lang)
-        good = np.ones(len(table), bool) if self.words is None else self.words.has(Powers.named(table, 1, lang))
-        good[0] = False
-        starts = min(len(chunk.ids), self.chunk)
-        word = good[chunk.ids]
-        hashes = table[chunk.ids]
-        fits, pair = word, None
-        for n in range(1, sizes[-1] + 1):
-            k = max(0, len(chunk.ids) - n + 1)
-            if n == 2:
-                fits = fits[:k] & word[1:1 + k]
-                if self.pairs is not None:
-                    at = np.flatnonzero(fits)
-                    fits[at] = self.pairs.has(self.powers.grams(hashes, 2, lang)[at])
-                pair = fits
-            elif n > 2:
-                fits = fits[:k] & pair[n - 2:n - 2 + k]
-            if n in sizes:
-                at = np.flatnonzero(fits[:starts])
-                yield n, at, self.powers.grams(hashes, n, lang)[at]
-
-
-def _print_counts(texts: DataFrame, sizes: range, longest: int, chunk: int, words: Broadcast | None, pairs: Broadcast | None) -> DataFrame:
-    """Fingerprints of n-grams with their counts, summed over all chunks."""
+def _gram_counts(chunks: DataFrame, n: int, shorter: Broadcast, longest: int, chunk: int) -> DataFrame:
+    """The n-grams of words and of n - 1 words that pass the filter, by the names of their words, with their counts."""
+    columns = [f"w{t}" for t in range(n)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(longest, chunk, words and words.value, pairs and pairs.value)
-        for part in _chunks(batches, longest, chunk, reader.known, docs=False):
-            for _, _, prints in reader.prints(part, sizes):
-                found, counts = np.unique(prints, return_counts=True)
-                if len(found):
-                    yield pa.RecordBatch.from_pydict({"print": found.view(np.int64), "count": counts})
+        powers = Powers(chunk + longest)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                raw, names, docs, lengths = (batch[c][row] for c in ("ids", "names", "docs", "lengths"))
+                docs = np.repeat(docs.values.to_numpy(), lengths.values.to_numpy())
+                names = np.append(np.uint64(0), names.values.to_numpy().view(np.uint64))
+                ids = unpacked(raw.as_buffer(), len(docs))
+                at, prints = _candidates(ids, names, n, shorter.value, powers)
+                inside = at < chunk  # later ones begin in the next chunk
+                at, prints = at[inside], prints[inside]
+                if not len(at):
+                    continue
+                place, starts = _grouped(prints, at, ids, n)
+                first = place[starts]
+                found = pa.RecordBatch.from_pydict({
+                    **{c: names[ids[first + t]].view(np.int64) for t, c in enumerate(columns)},
+                    "count": np.diff(np.append(starts, len(place))), "seen_doc": np.minimum.reduceat(docs[place], starts)})
+                for k in range(0, len(first), ROWS):
+                    yield found.slice(k, ROWS)
+
+    found = chunks.select("ids", "names", "docs", "lengths").mapInArrow(
+        count, ", ".join(f"{c} bigint" for c in [*columns, "count", "seen_doc"]))
+    return found.groupBy(*columns).agg(F.sum("count").alias("count"), F.min("seen_doc").alias("seen_doc"))
+
+
+def _prints(grams: DataFrame, n: int) -> DataFrame:
+    """Fingerprints of n-grams that are given by the names of their words."""
 
-    return texts.mapInArrow(count, "print bigint, count bigint").groupBy("print").agg(F.sum("count").alias("count"))
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = np.zeros(batch.num_rows, np.uint64)
+            for column in batch.columns:
+                total = total * np.uint64(BASE) + column.to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_pydict({"print": Powers.named(total, n, 0).view(np.int64)})
+
+    return grams.select(*(f"w{t}" for t in range(n))).mapInArrow(prints, "print bigint")
 
 
 def _grouped(prints: np.ndarray, at: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -227,56 +296,46 @@ def _grouped(prints: np.ndarray, at: np.ndarray, ids: np.ndarray, n: int) -> tup
     return place, np.flatnonzero(new)
 
 
+def named_words(texts: DataFrame, longest: int, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """The chunks of all texts, and all words: name, lang, word, count, seen_doc. No two words have one name; where two do, all
+    get others."""
+    for seed in itertools.count():
+        chunks = word_chunks(texts, longest, chunk, seed)
+        each = chunks.select("lang", F.inline(F.arrays_zip("words", "names", "counts", "seen"))).filter("counts > 0")
+        words = written(each.groupBy(F.col("names").alias("name"), "lang", F.col("words").alias("word")).agg(
+            F.sum("counts").alias("count"), F.min("seen").alias("seen_doc")))
+        if words.groupBy("name").count().filter("count > 1").isEmpty():
+            return chunks, words
+
+
 def phrase_counts(docs: DataFrame, least: int = 30, longest: int = 4, chunk: int = CHUNK) -> DataFrame:
     """Counts of all phrases of 1 to `longest` words that occur at least `least` times in a language: lang, n_words, phrase,
     count, and seen_doc, the smallest doc_id it occurs in; n_words 0 has the number of all words.
 
-    A phrase lies within a piece. No phrase is more frequent than its parts, so words are counted first, then pairs of
-    frequent words, then longer n-grams of frequent pairs, each by 64-bit fingerprint. A last pass reads the texts again,
-    compares the words of equal fingerprints, and counts the phrases themselves: a collision can let a rare phrase into that
-    pass but changes no count. Null texts are empty, null languages UNKNOWN, repeated rows count each."""
-    spark = docs.sparkSession
+    A phrase lies within a piece. The texts are read once and written as chunks of word numbers. All words are counted first;
+    each has a name of 64 bits that no other has, which is checked. No phrase is more frequent than its parts, so pairs of
+    frequent words come next, then n-grams whose both parts of n - 1 words are frequent. They are counted by the names of
+    all their words; fingerprints only sort out and group, so a collision changes no count. Null texts are empty, null
+    languages UNKNOWN, repeated rows count each."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
-
-    def frequent(sizes: range, words: Broadcast | None = None, pairs: Broadcast | None = None) -> Broadcast:
-        counts = _print_counts(texts.select("lang", "text"), sizes, longest, chunk, words, pairs)
-        return frequent_filter(written(counts.filter(F.col("count") >= least).select("print")))
-
-    words = frequent(range(1, 2))
-    pairs = frequent(range(2, 3), words) if longest > 1 else None
-    rest = frequent(range(3, longest + 1), words, pairs) if longest > 2 else None
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(longest, chunk, words.value, pairs and pairs.value)
-        for part in _chunks(batches, longest, chunk, reader.known, docs=True):
-            names = list(reader.known)
-            start = part.ids[:chunk]
-            total = int((start > 0).sum())
-            rows: dict[str, list] = {"n_words": [0], "phrase": [""], "count": [total], "seen_doc": [None]}
-            for n, at, prints in reader.prints(part, range(1, longest + 1)):
-                if n > 2:
-                    kept = rest.value.has(prints)
-                    at, prints = at[kept], prints[kept]
-                if not len(at):
-                    continue
-                place, starts = _grouped(prints, at, part.ids, n)
-                first = place[starts]
-                rows["n_words"] += [n] * len(first)
-                rows["phrase"] += [
-                    b" ".join([names[i] for i in gram]).decode("utf-8", "surrogatepass")
-                    for gram in np.stack([part.ids[first + t] for t in range(n)], 1).tolist()]
-                rows["count"] += np.diff(np.append(starts, len(place))).tolist()
-                rows["seen_doc"] += np.minimum.reduceat(part.docs[place], starts).tolist()
-            yield pa.RecordBatch.from_pydict({"lang": [part.lang] * len(rows["count"]), **rows}, schema=SCHEMA)
-
-    found = texts.mapInArrow(read, "lang string, n_words int, phrase string, count bigint, seen_doc bigint")
-    counts = found.groupBy("lang", "n_words", "phrase").agg(F.sum("count").alias("count"), F.min("seen_doc").alias("seen_doc"))
-    return written(counts.filter((F.col("count") >= least) | (F.col("n_words") == 0)))
-
-
-SCHEMA = pa.schema([
-    ("lang", pa.string()), ("n_words", pa.int32()), ("phrase", pa.string()), ("count", pa.int64()),
-    ("seen_doc", pa.int64())])
+    chunks, words = named_words(texts, longest, chunk)
+    single = words.filter(F.col("count") >= least)
+    shorter, levels = frequent_filter(single.select(F.col("name").alias("print"))), []
+    for n in range(2, longest + 1):
+        grams = written(_gram_counts(chunks, n, shorter, longest, chunk).filter(F.col("count") >= least))
+        levels.append(grams.select(F.array(*(f"w{t}" for t in range(n))).alias("names"), "count", "seen_doc"))
+        if n < longest:
+            shorter = frequent_filter(_prints(grams, n))
+    phrases = single.select("lang", F.lit(1).alias("n_words"), F.col("word").alias("phrase"), "count", "seen_doc")
+    if levels:
+        each = reduce(DataFrame.unionAll, levels).select("*", F.posexplode("names").alias("at", "name"))
+        spelled = each.join(single.select("name", "lang", "word"), "name").groupBy("names", "count", "seen_doc").agg(
+            F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("at", "word"))).alias("words"))
+        phrases = phrases.unionAll(spelled.select(
+            "lang", F.size("names").alias("n_words"), F.array_join("words.word", " ").alias("phrase"), "count", "seen_doc"))
+    totals = words.groupBy("lang").agg(F.sum("count").alias("count")).select(
+        "lang", F.lit(0).alias("n_words"), F.lit("").alias("phrase"), "count", F.lit(None).cast("bigint").alias("seen_doc"))
+    return written(phrases.unionAll(totals))
 
 
 def _part(first: Column | int, count: Column | int) -> Column:

@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
@@ -112,3 +113,42 @@ def test_very_long_words_and_odd_rows(spark, odd, nothing):
 def test_seen_in_the_first_document(spark):
     docs = spark.createDataFrame([(k, "red car" if k % 2 else "blue car", "en") for k in range(9, 0, -1)], "doc_id bigint, text string, lang string")
     assert {r.phrase: r.seen_doc for r in c.collocations(docs, least=2).collect()} == {"red car": 1, "blue car": 2}
+
+
+def test_texts_are_read_once_and_phrases_not_sent_by_chunk(spark, monkeypatch):
+    """One pass splits the texts; later ones read word numbers, and no chunk sends the text of a frequent phrase."""
+    docs = spark.createDataFrame([(k, t, x) for k, (t, x) in enumerate(ODD * 2)], "doc_id bigint, text string, lang string")
+    calls, plain = [], type(docs).mapInArrow
+
+    def spied(df, func, schema, *more, **named):
+        calls.append((df.columns, schema))
+        return plain(df, func, schema, *more, **named)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", spied)
+    assert got(c.collocations(docs, least=2, chunk=4)) == brute(ODD * 2, 2)
+    assert sum("text" in columns for columns, _ in calls) == 1
+    assert not [schema for _, schema in calls if "phrase" in str(schema)]
+
+
+def test_words_of_one_name_get_others(spark, monkeypatch):
+    """Names that two words share are found, also between languages, and given anew."""
+    docs = spark.createDataFrame([(k, t, x) for k, (t, x) in enumerate(ODD * 2)], "doc_id bigint, text string, lang string")
+    plain, seeds = c.word_chunks, []
+
+    def colliding(texts, longest, chunk, seed):
+        seeds.append(seed)
+        chunks = plain(texts, longest, chunk, seed)
+        return chunks if seed else chunks.withColumn("names", F.transform("names", lambda name: name.bitwiseAND(3)))
+
+    monkeypatch.setattr(c, "word_chunks", colliding)
+    assert got(c.collocations(docs, least=2)) == brute(ODD * 2, 2)
+    assert seeds == [0, 1]
+    shared = [("one", "en"), ("one", "fr"), ("two", "en")]
+    words = c.named_words(spark.createDataFrame([(1, t, x) for t, x in shared], "doc_id bigint, text string, lang string"), 4, 8)[1]
+    assert sorted((r.word, r.lang) for r in words.collect()) == sorted(shared)
+    assert len({r.name for r in words.collect()}) == 3
+
+
+def test_word_numbers_come_back():
+    for ids in (np.arange(300_000), np.array([0]), np.array([], np.int64)):
+        assert c.unpacked(pa.py_buffer(c.packed(ids)), len(ids)).tolist() == ids.tolist()
