@@ -14,7 +14,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from reelspark.llm.common import query, table, written
+from reelspark.llm.common import collect_garbage, query, table, written
 
 #: Tokens whose n-grams are counted together in a task, and bytes of a text that are split at once.
 CHUNK, SEGMENT = 1 << 20, 1 << 22
@@ -322,6 +322,7 @@ def phrase_counts(docs: DataFrame, least: int = 30, longest: int = 4, chunk: int
     single = words.filter(F.col("count") >= least)
     shorter, levels = frequent_filter(single.select(F.col("name").alias("print"))), []
     for n in range(2, longest + 1):
+        collect_garbage(docs.sparkSession)
         grams = written(_gram_counts(chunks, n, shorter, longest, chunk).filter(F.col("count") >= least))
         levels.append(grams.select(F.array(*(f"w{t}" for t in range(n))).alias("names"), "count", "seen_doc"))
         if n < longest:
