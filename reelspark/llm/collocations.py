@@ -152,6 +152,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], longest: int, chunk: int, known:
         del sizes[lang]
         every = np.concatenate([t for t, _ in texts])
         of = np.repeat([d for _, d in texts], [len(t) for t, _ in texts])
+        texts.clear()
         for at in range(0, len(every), chunk):
             end = at + chunk + longest - 1
             yield Chunk(every[at:end], of[at:end], lang)
@@ -160,7 +161,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], longest: int, chunk: int, known:
         for lang, doc, text in zip(batch["lang"].to_pylist(), batch["doc_id"].to_pylist(), batch["text"]):
             text = text.as_py()
             if text:
-                tokens = token_ids(text, known)
+                tokens = token_ids(text, known).astype(np.int32)
                 held.setdefault(lang, []).append((tokens, -1 if doc is None else doc))
                 sizes[lang] = sizes.get(lang, 0) + len(tokens)
                 if sum(sizes.values()) >= 3 * chunk:
@@ -243,30 +244,33 @@ def _gram_counts(chunks: DataFrame, n: int, shorter: Broadcast, longest: int, ch
     """The n-grams of words and of n - 1 words that pass the filter, by the names of their words, with their counts."""
     columns = [f"w{t}" for t in range(n)]
 
+    def found(raw: pa.Scalar, names: pa.Scalar, docs: pa.Scalar, lengths: pa.Scalar, powers: Powers) -> pa.RecordBatch | None:
+        docs = np.repeat(docs.values.to_numpy(), lengths.values.to_numpy())
+        names = np.append(np.uint64(0), names.values.to_numpy().view(np.uint64))
+        ids = unpacked(raw.as_buffer(), len(docs))
+        at, prints = _candidates(ids, names, n, shorter.value, powers)
+        inside = at < chunk  # later ones begin in the next chunk
+        at, prints = at[inside], prints[inside]
+        if not len(at):
+            return None
+        place, starts = _grouped(prints, at, ids, n)
+        first = place[starts]
+        return pa.RecordBatch.from_pydict({
+            **{c: names[ids[first + t]].view(np.int64) for t, c in enumerate(columns)},
+            "count": np.diff(np.append(starts, len(place))), "seen_doc": np.minimum.reduceat(docs[place], starts)})
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers(chunk + longest)
         for batch in batches:
             for row in range(batch.num_rows):
-                raw, names, docs, lengths = (batch[c][row] for c in ("ids", "names", "docs", "lengths"))
-                docs = np.repeat(docs.values.to_numpy(), lengths.values.to_numpy())
-                names = np.append(np.uint64(0), names.values.to_numpy().view(np.uint64))
-                ids = unpacked(raw.as_buffer(), len(docs))
-                at, prints = _candidates(ids, names, n, shorter.value, powers)
-                inside = at < chunk  # later ones begin in the next chunk
-                at, prints = at[inside], prints[inside]
-                if not len(at):
-                    continue
-                place, starts = _grouped(prints, at, ids, n)
-                first = place[starts]
-                found = pa.RecordBatch.from_pydict({
-                    **{c: names[ids[first + t]].view(np.int64) for t, c in enumerate(columns)},
-                    "count": np.diff(np.append(starts, len(place))), "seen_doc": np.minimum.reduceat(docs[place], starts)})
-                for k in range(0, len(first), ROWS):
-                    yield found.slice(k, ROWS)
-
-    found = chunks.select("ids", "names", "docs", "lengths").mapInArrow(
+                grams = found(*(batch[c][row] for c in ("ids", "names", "docs", "lengths")), powers)
+                for k in range(0, grams.num_rows if grams else 0, ROWS):
+                    yield grams.slice(k, ROWS)
+                del grams
+
+    counts = chunks.select("ids", "names", "docs", "lengths").mapInArrow(
         count, ", ".join(f"{c} bigint" for c in [*columns, "count", "seen_doc"]))
-    return found.groupBy(*columns).agg(F.sum("count").alias("count"), F.min("seen_doc").alias("seen_doc"))
+    return counts.groupBy(*columns).agg(F.sum("count").alias("count"), F.min("seen_doc").alias("seen_doc"))
 
 
 def _prints(grams: DataFrame, n: int) -> DataFrame:
