@@ -443,11 +443,14 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], time: str | None = "T
     return walk_groups(rows, [*TRACK, BUCKET], ["Frame_ID"], fill, clean.select(*df.columns).schema)
 
 
-def _gap_lines(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str) -> DataFrame:
-    """Each measured frame up to the one before the next (`_until`), with every column's value at it (`_v`) and slope (`_s`)."""
-    targets = [*cols, time]
+def _gap_lines(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str | None) -> DataFrame:
+    """Each measured frame up to the one before the next (`_until`), with every column's value at it (`_v`) and slope (`_s`).
+
+    Of several rows in a frame the one with the lowest ordinal stays, of equal ordinals the one with the lowest values."""
+    targets = [*([time] if time else []), *cols]
+    order = F.col(ordinal).isNull().alias("_none"), F.col(ordinal).alias("_ordinal")
     first = kp.groupBy(*TRACK, "Frame_ID").agg(
-        F.min_by(F.struct(*[no_nan(c).alias(c) for c in targets]), ordinal).alias("_row")
+        F.min(F.struct(*order, *[no_nan(c).alias(c) for c in targets])).alias("_row")
     ).select(*TRACK, "Frame_ID", *[F.col("_row")[c].alias(c) for c in targets])
     near = with_known_neighbours(first, TRACK, "Frame_ID", ["Frame_ID", *targets], sides=("before", "beyond"))
 
@@ -463,34 +466,39 @@ def _gap_lines(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str) -> D
                         *[F.col(c)[p].alias(f"{c}_{p}") for c in targets for p in ("v", "s")])
 
 
-def fill_gaps(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str = "Timestamp") -> DataFrame:
-    """`reindex_frames` followed by `interpolate_linear`, in one go.
+def _means(value: np.ndarray, left: np.ndarray, right: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean of what is known from `half` rows before to `half` rows after each, within its range of rows, and where nothing is."""
+    known, place = ~np.isnan(value), np.arange(len(value))
+    clean = np.where(known, value, 0.0)
+    total, n = np.zeros(len(value)), np.zeros(len(value), np.int64)
+    for k in range(-min(half, len(value)), min(half, len(value)) + 1):
+        here, there = slice(max(-k, 0), len(value) - max(k, 0)), slice(max(k, 0), len(value) + min(k, 0))
+        fits = (place[there] >= left[here]) & (place[there] < right[here])
+        total[here] += np.where(fits, clean[there], 0.0)
+        n[here] += fits & known[there]
+    return total / np.maximum(n, 1), n == 0
 
-    Neighbours are looked up among the measured rows only; the added frames, usually most of the result, are then
-    computed from the row before them without any further window."""
-    grid = explode_range(_gap_lines(kp, ordinal, cols, time), "Frame_ID", "_until", "_frame")
-    step = F.col("_frame") - F.col("Frame_ID")
-    return grid.select(
-        *TRACK, F.col("_frame").alias("Frame_ID"), *[(F.col(f"{c}_v") + F.col(f"{c}_s") * step).alias(c) for c in [time, *cols]]
-    )
 
+def _target(kp: DataFrame, names: Sequence[str]) -> StructType:
+    kinds = {f.name: f.dataType for f in kp.schema}
+    return StructType([StructField(c, kinds[c]) for c in (*TRACK, "Frame_ID")] + [StructField(c, DoubleType()) for c in names])
 
-def fill_gaps_smoothed(
-    kp: DataFrame, ordinal: str, cols: Sequence[str], smooth: Sequence[str], window: int = 5, time: str = "Timestamp"
+
+def _filled_in_buckets(
+    kp: DataFrame, ordinal: str, cols: Sequence[str], smooth: Sequence[str], half: int, time: str | None
 ) -> DataFrame:
-    """`fill_gaps` followed by `smooth_centered` of the columns `smooth`, in one go.
+    """`fill_gaps_smoothed` for tracks of any length.
 
     Only measured rows are shuffled and sorted: each goes to the buckets that its frames, or frames within half a window of
     them, lie in, and becomes frames where they are smoothed."""
-    half, width, names = window // 2, FRAME_BUCKET, [time, *cols]
+    width, names = FRAME_BUCKET, [*([time] if time else []), *cols]
     lines = _gap_lines(kp, ordinal, cols, time)
     near = F.sequence(F.floor((F.col("Frame_ID") - half) / width), F.floor((F.col("_until") + half) / width))
     cut = lines.withColumn(BUCKET, F.explode(near)).withColumns({
         "_low": F.greatest(F.col("Frame_ID"), F.col(BUCKET) * width - half),
         "_high": F.least(F.col("_until"), (F.col(BUCKET) + 1) * width + (half - 1)),
     }).withColumn("_frames", F.col("_high") - F.col("_low") + 1).filter("_frames > 0")
-    kinds = {f.name: f.dataType for f in lines.schema}
-    target = StructType([StructField(c, kinds[c]) for c in (*TRACK, "Frame_ID")] + [StructField(c, DoubleType()) for c in names])
+    target = _target(lines, names)
     schema = to_arrow_schema(target)
 
     def fill(part: pa.Table, first: np.ndarray, end: np.ndarray) -> pa.Table:
@@ -498,12 +506,10 @@ def fill_gaps_smoothed(
         after = np.cumsum(frames)
         begin = after - frames
         row = np.repeat(np.arange(len(part)), frames)
-        place = np.arange(len(row))
-        frame = low[row] + place - begin[row]
+        frame = low[row] + np.arange(len(row)) - begin[row]
         step = (frame - part["Frame_ID"].to_numpy()[row]).astype(np.float64)
         own = frame // width == part[BUCKET].to_numpy()[row]
         left, right = begin[first][row], after[end - 1][row]
-        inside_group = {k: (place + k >= left) & (place + k < right) for k in range(-half, half + 1)}
         source = pa.array(row[own])
         out = {c: part[c].take(source) for c in TRACK} | {"Frame_ID": pa.array(frame[own], schema.field("Frame_ID").type)}
         for c in names:
@@ -511,18 +517,96 @@ def fill_gaps_smoothed(
                 value = part[f"{c}_v"].to_numpy()[row] + part[f"{c}_s"].to_numpy()[row] * step
                 missing = part[f"{c}_v"].is_null().to_numpy()[row]
                 if c in smooth:
-                    known = ~np.isnan(value)
-                    total, n = np.zeros(len(row)), np.zeros(len(row), np.int64)
-                    for k, fits in inside_group.items():
-                        at = np.clip(place + k, 0, len(row) - 1)
-                        use = fits & known[at]
-                        total += np.where(use, value[at], 0.0)
-                        n += use
-                    value, missing = total / np.maximum(n, 1), n == 0
+                    value, missing = _means(value, left, right, half)
             out[c] = pa.array(value[own], mask=missing[own])
         return pa.table([out[c] for c in schema.names], schema=schema)
 
-    return walk_groups(cut, [*TRACK, BUCKET], ["_low"], fill, target, weight="_frames")
+    def weight(rows: pa.Table, starts: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(rows["_frames"].to_numpy(), starts)
+
+    return walk_groups(cut, [*TRACK, BUCKET], ["_low"], fill, target, weight)
+
+
+def _filled_whole(
+    kp: DataFrame, ordinal: str, cols: Sequence[str], smooth: Sequence[str], half: int, time: str | None
+) -> DataFrame:
+    """`fill_gaps_smoothed` for tracks of at most a bucket of frames: measured rows are shuffled once, as they came, and a
+    track's become frames at once."""
+    names = [*([time] if time else []), *cols]
+    rows = kp.filter(F.col("Frame_ID").isNotNull()).select(
+        *TRACK, "Frame_ID", F.col(ordinal).alias("_ordinal"), *[no_nan(c).alias(c) for c in names])
+    target = _target(rows, names)
+    schema = to_arrow_schema(target)
+
+    def fill(part: pa.Table, first: np.ndarray, end: np.ndarray) -> pa.Table:
+        frame, opens = part["Frame_ID"].to_numpy(), first == np.arange(len(part))
+        # of the rows of a frame the first one stays
+        stays = opens | (np.diff(frame, prepend=frame[:1]) != 0)
+        part, opens = part.filter(pa.array(stays)), opens[stays]
+        frame, place = part["Frame_ID"].to_numpy(), np.arange(len(part))
+        starts = np.flatnonzero(opens)
+        lengths = np.diff(starts, append=len(part))
+        first, end = np.repeat(starts, lengths), np.repeat(starts + lengths, lengths)
+        frames = np.where(place == end - 1, 1, np.diff(frame, append=0))
+        after = np.cumsum(frames)
+        begin = after - frames
+        row = np.repeat(place, frames)
+        at = frame[row] + np.arange(len(row)) - begin[row]
+        left, right = begin[first][row], after[end - 1][row]
+        source = pa.array(row)
+        out = {c: part[c].take(source) for c in TRACK} | {"Frame_ID": pa.array(at, schema.field("Frame_ID").type)}
+        for c in names:
+            v, known = part[c].to_numpy(), part[c].is_valid().to_numpy()
+            lo = np.maximum.accumulate(np.where(known, place, -1))
+            hi = np.append(np.minimum.accumulate(np.where(known, place, len(part))[::-1])[::-1][1:], len(part))
+            before, beyond = lo >= first, hi < end
+            lo, hi = np.maximum(lo, 0), np.minimum(hi, len(part) - 1)
+            both = before & beyond
+            missing = (~before if c == time else ~(before | beyond))[row]
+            with np.errstate(invalid="ignore", over="ignore"):
+                rise = np.where(both, v[hi] - v[lo], 0.0)
+                span = np.where(both, frame[hi] - frame[lo], 1)
+                value = np.where(before, v[lo], v[hi])[row] + rise[row] * (at - frame[lo][row]) / span[row]
+                value[begin[known]] = v[known]
+                if c in smooth:
+                    value, missing = _means(np.where(missing, np.nan, value), left, right, half)
+            out[c] = pa.array(value, mask=missing)
+        return pa.table([out[c] for c in schema.names], schema=schema)
+
+    def weight(rows: pa.Table, starts: np.ndarray) -> np.ndarray:
+        frame = rows["Frame_ID"].to_numpy()
+        return frame[np.append(starts[1:], len(rows)) - 1] - frame[starts] + 1
+
+    return walk_groups(rows, TRACK, ["Frame_ID", F.asc_nulls_last("_ordinal"), *names], fill, target, weight)
+
+
+def _filled(
+    kp: DataFrame, ordinal: str, cols: Sequence[str], smooth: Sequence[str], half: int, time: str | None
+) -> DataFrame:
+    """Tracks over more frames than a bucket are filled in pieces, all others whole.
+
+    The long ones' names are broadcast: each stands for more than FRAME_BUCKET rows of the result."""
+    rows = kp.withColumn("Frame_ID", F.col("Frame_ID").cast("bigint"))
+    ends = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in TRACK]).agg((F.max("Frame_ID") - F.min("Frame_ID")).alias("_span"))
+    long = F.broadcast(ends.filter(F.col("_span") >= FRAME_BUCKET).drop("_span"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in TRACK])
+    given = ordinal, cols, smooth, half, time
+    return _filled_whole(rows.join(long, same, "left_anti"), *given).unionByName(
+        _filled_in_buckets(rows.join(long, same, "left_semi"), *given))
+
+
+def fill_gaps(kp: DataFrame, ordinal: str, cols: Sequence[str], time: str | None = "Timestamp") -> DataFrame:
+    """`reindex_frames` followed by `interpolate_linear`, in one go.
+
+    Only measured rows are shuffled; the added frames, usually most of the result, are made where their neighbours are known."""
+    return _filled(kp, ordinal, cols, (), 0, time)
+
+
+def fill_gaps_smoothed(
+    kp: DataFrame, ordinal: str, cols: Sequence[str], smooth: Sequence[str], window: int = 5, time: str | None = "Timestamp"
+) -> DataFrame:
+    """`fill_gaps` followed by `smooth_centered` of the columns `smooth`, in one go and as narrow."""
+    return _filled(kp, ordinal, cols, smooth, window // 2, time)
 
 
 def smooth_centered(df: DataFrame, cols: Sequence[str], window: int = 5) -> DataFrame:
@@ -554,7 +638,8 @@ def clean_tracks(
     coords = [c for c in points if not c.endswith("_conf")]
     kept = drop_short_tracks(kp, min_sec)
     merged = merge_fragments(track_centroid(kept, [k for k in TORSO if k in keypoints]), gap, dist, ordinal=ordinal)
-    smoothed = fill_gaps_smoothed(merged, ordinal, points, coords, window)
+    # in buckets at once: telling the long tracks first would merge the fragments once more
+    smoothed = _filled_in_buckets(merged, ordinal, points, coords, window // 2, "Timestamp")
     return smoothed.orderBy("video", "Frame_ID", "Track_ID") if ordered else smoothed
 
 

@@ -36,12 +36,13 @@ def fold_groups(
 
 def walk_groups(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], fn: Callable[[pa.Table, np.ndarray, np.ndarray], pa.Table],
-    schema: StructType | str, weight: str | None = None, most: int = 1 << 19,
+    schema: StructType | str, weight: Callable[[pa.Table, np.ndarray], np.ndarray] | None = None, most: int = 1 << 19,
 ) -> DataFrame:
     """Run `fn` on runs of whole groups in order, with the first row and the end of each row's group.
 
     For work that treats all groups of a run at once; kept in memory are a batch and the group that it leaves open. Where rows
-    grow in `fn`, the column `weight` tells how much, and a run ends with the group in which that adds up to `most`."""
+    grow in `fn`, `weight` tells to how many for each group, given the rows and where groups start, and a run ends with the
+    group in which that adds up to `most`."""
     keys = list(keys)
 
     def starts_of(table: pa.Table) -> np.ndarray:
@@ -57,7 +58,7 @@ def walk_groups(
         edges = np.append(starts, len(table))
         runs = np.zeros(len(starts), np.int64)
         if weight is not None:
-            total = np.cumsum(np.add.reduceat(table[weight].to_numpy(), starts))
+            total = np.cumsum(weight(table, starts))
             runs = (total - 1) // most
         for a, b in pairwise(np.flatnonzero(np.diff(runs, prepend=-1, append=-1)).tolist()):
             lengths = np.diff(edges[a:b + 1])

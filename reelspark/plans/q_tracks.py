@@ -305,8 +305,7 @@ def _(s, d):
     SELECT video, Track_ID, Frame_ID, """ + ", ".join(f"round(avg({c}) OVER w, 9) AS {c}" for c in COORDS) + """
     FROM filled WINDOW w AS (PARTITION BY video, Track_ID ORDER BY Frame_ID ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""", "tracks")
 def _(s, d):
-    filled = K.interpolate_linear(grid(s, d), POINTS).select("video", "Track_ID", "Frame_ID", *COORDS)
-    return rounded(K.smooth_centered(filled, COORDS), 9)
+    return rounded(K.fill_gaps_smoothed(B.tracks(s, d), "ordinal", COORDS, COORDS, time=None), 9)
 
 
 @query("clean_tracks", MERGED + FILLED.replace("FROM tracks", "FROM merged") + """

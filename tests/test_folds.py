@@ -300,6 +300,36 @@ def test_cleaning_smooths_where_gaps_are_filled(spark, monkeypatch):
     assert text.index("MapInArrow") < text.index("RepartitionByExpression") and "_frame#" not in text
 
 
+def test_short_and_long_tracks_are_filled_alike(spark, monkeypatch):
+    """Against the single steps: tracks under and over a bucket, without names, repeated and missing frames, unknown columns."""
+    rng = random.Random(5)
+    rows = [("v", t, f, f / 30 if f > 9 else None, 100 - len(str(f)) - i, rng.uniform(0, 9) if rng.random() < 0.5 else math.nan, None, rng.random())
+            for t, reach in ((1, 60), (2, 900), (None, 50), (4, 64), (5, 65)) for i, f in enumerate([*range(0, reach, 1 + reach // 25), 7, 12, reach - 1])]
+    rows += [("v", 1, None, 1.0, 0, 1.0, 1.0, 1.0), ("v", 6, 2**40, None, 0, 1.0, 2.0, None), ("v", 7, None, None, 0, 1.0, 2.0, None)]
+    kp = spark.createDataFrame(rows, "video string, Track_ID bigint, Frame_ID bigint, Timestamp double, ordinal bigint, a double, b double, c double")
+    cols = ["a", "b", "c"]
+    monkeypatch.setattr(tracks, "FRAME_BUCKET", 64)
+    steps = tracks.interpolate_linear(tracks.reindex_frames(kp, "ordinal", ["Timestamp", *cols]), cols)
+
+    def same(got, want):
+        got, want = (sorted(map(tuple, df.select("video", "Track_ID", "Frame_ID", "Timestamp", *cols).collect()), key=repr) for df in (got, want))
+        assert len(got) == len(want) > 1000 and all(
+            a == b or (isinstance(a, float) and a == pytest.approx(b)) for r, q in zip(got, want) for a, b in zip(r, q))
+
+    same(tracks.fill_gaps(kp, "ordinal", cols), steps)
+    same(tracks.fill_gaps_smoothed(kp, "ordinal", cols, ["a", "b"]), tracks.smooth_centered(steps, ["a", "b"]))
+
+
+@pytest.mark.parametrize("name", ["smooth_centered"])
+def test_added_frames_are_not_shuffled(spark, name):
+    """Frames between measured ones, 22 to a measured row of the fixture, are made behind the last exchange of rows."""
+    from reelspark.plans import q_tracks  # noqa: F401
+    from reelspark.plans.registry import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_frame#" not in plan and plan.index("MapInArrow") < plan.index("RepartitionByExpression")
+
+
 def test_smoothing_some_columns_of_a_filled_grid(spark):
     """Columns that a query drops after the grid is made take nothing else with them."""
     points = [f"{k}_{p}" for k in ("Left_Hip", "Right_Hip", "Left_Shoulder") for p in ("x", "y", "conf")]
