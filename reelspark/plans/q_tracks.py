@@ -298,7 +298,7 @@ FILLED = GRID + ", bounds AS (SELECT *, " + ", ".join(
 @query("interpolate_linear", FILLED + """
     SELECT video, Track_ID, Frame_ID, """ + NINE + " FROM filled", "tracks")
 def _(s, d):
-    return rounded(K.interpolate_linear(grid(s, d), POINTS), 9)
+    return rounded(K.fill_gaps(B.tracks(s, d), "ordinal", POINTS), 9)
 
 
 @query("smooth_centered", FILLED + """

@@ -320,7 +320,7 @@ def test_short_and_long_tracks_are_filled_alike(spark, monkeypatch):
     same(tracks.fill_gaps_smoothed(kp, "ordinal", cols, ["a", "b"]), tracks.smooth_centered(steps, ["a", "b"]))
 
 
-@pytest.mark.parametrize("name", ["smooth_centered"])
+@pytest.mark.parametrize("name", ["smooth_centered", "interpolate_linear"])
 def test_added_frames_are_not_shuffled(spark, name):
     """Frames between measured ones, 22 to a measured row of the fixture, are made behind the last exchange of rows."""
     from reelspark.plans import q_tracks  # noqa: F401
