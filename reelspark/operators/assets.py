@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelspark.constants import (
     CAMERAS, COMPANION_EXTENSIONS, DELETE_THRESHOLD_MB, MIB, RECORDING_KEY, STATUS_THRESHOLD_MB, SYNC_GROUPS,
@@ -16,7 +16,7 @@ from reelspark.functions import (
     timestamp_from_stem,
 )
 from reelspark.operators.keys import one_per_key
-from reelspark.plans.carry import with_group_rank, with_running_sum
+from reelspark.plans.carry import with_running_sum
 from reelspark.plans.spread import spread
 
 # The three accepted forms of a recording path; groups are yy, mm-dd, case and camera.
@@ -344,38 +344,108 @@ def group_cases(files: DataFrame, date: str = "date", stamp: str = "stamp", minu
 _SUFFIX = r"(\.[^./\\]*)$"
 
 
-def unique_names(manifest: DataFrame, dest: str = "destination_path", source: str = "source_path") -> DataFrame:
-    """Colliding destinations get `_1`, `_2`, … before the extension; one file keeps the name.
+#: Rows of one name that are put in order together; those of a name with more are dealt out by the first digits of their digests.
+NAME_ROWS = 1 << 17
+
+
+def unique_names(
+    manifest: DataFrame, dest: str = "destination_path", source: str = "source_path", distinct: bool = False
+) -> DataFrame:
+    """Colliding destinations get `_1`, `_2`, … before the extension; one file keeps the name. `distinct`: equal rows count once.
 
     A number is passed over where the name with it is a destination of its own, so no name occurs twice. The order
     among colliding files is that of a digest of their source, which lets a very common name be ranked in parallel.
 
     The i-th taken number t of a name has t - i free ones below it, so the r-th free number is r and as many more as there are
-    taken ones with t - i < r. Both are running counts over bucketed numbers: no name's numbers are ever held together."""
-    # the caller's row travels as one column, so that its names cannot meet those used here
-    own = manifest.select(F.struct("*").alias("_own"), F.col(dest).alias("_dest"), F.col(source).alias("_source"))
-    ranked = with_group_rank(own, ["_dest"], ["_source"], F.md5("_source"), "_rank")
-    name = F.col("_dest")
-    suffix = F.regexp_extract(name, _SUFFIX, 1)
-    stem = F.regexp_replace(name, _SUFFIX, "")
+    taken ones with t - i < r. Names are counted first; then the rows are shuffled once, together with what each group of
+    them has to know: the rows before it and the taken numbers among its own."""
+    # columns go by place, so that the caller's names cannot meet those used here
+    own = manifest.toDF(*[f"_c{i}" for i in range(len(manifest.columns))])
+    name, file = (f"_c{manifest.columns.index(c)}" for c in (dest, source))
+    rest = [c for c in own.columns if c not in (name, file)]
+    names = own.groupBy(F.col(name).alias("_dest")).agg(F.count(F.lit(1)).alias("_rows"))
+    # each stands for more than NAME_ROWS rows, so they are few beside those
+    large = F.broadcast(names.filter(F.col("_rows") > NAME_ROWS).select(
+        "_dest", F.ceil(F.log(16.0, F.col("_rows") / NAME_ROWS)).cast("int").alias("_digits")))
+    digits = F.substring(F.md5(file), F.lit(1), F.col("_digits"))
+
+    def dealt(how: str) -> DataFrame:
+        joined = own.join(large, F.col(name).eqNullSafe(F.col("_dest")), how)
+        return joined.select(*own.columns, F.when(F.col("_digits").isNotNull(), digits).otherwise("").alias("_group"))
+
+    groups = (dealt("inner").distinct() if distinct else dealt("inner")).groupBy(F.col(name).alias("_dest"), "_group").agg(
+        F.count(F.lit(1)).alias("_n"))
+    turns = Window.partitionBy("_dest").orderBy("_group")
+    groups = groups.select("_dest", "_group", F.row_number().over(turns).cast("long").alias("_turn"),
+                           (F.sum("_n").over(turns) - F.col("_n")).alias("_before"))
+    marks = _taken_numbers(names)
+    lent = marks.join(large.select("_dest"), "_dest", "left_anti").withColumn("_group", F.lit("")).unionByName(
+        _by_group(marks.join(large.select("_dest"), "_dest", "left_semi"), groups))
+    is_row = F.col("_at").isNull()
+    together = dealt("left").unionByName(lent.withColumnRenamed("_dest", name), allowMissingColumns=True).repartition(name, "_group")
+    together = together.withColumn("_digest", F.when(is_row, F.unhex(F.md5(file))))
+    order = Window.partitionBy(name, "_group").orderBy(F.desc_nulls_last("_at"), "_digest", file, *(rest if distinct else []))
+    new = is_row
+    if distinct:
+        whole = F.struct("_at", file, *rest)
+        new = is_row & ~whole.eqNullSafe(F.lag(whole).over(order))
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    before = F.max(F.when(F.col("_at") == BEFORE, F.col("_lent"))).over(so_far)
+    rank = F.coalesce(before, F.lit(0)) + F.sum(F.col("_new").cast("long")).over(so_far) - 1
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_new", new).withColumn("_rank", rank).filter(F.col("_new") | ~is_row)
+
+    # only rows of groups with taken numbers are put in order once more
+    marked = lent.filter((F.col("_at") > BEFORE) & (F.col("_lent") > 0)).select(
+        F.col("_dest").alias("_name"), F.col("_group").alias("_part")).distinct()
+    theirs = F.col(name).eqNullSafe(F.col("_name")) & F.col("_group").eqNullSafe(F.col("_part"))
+    line = ranked(together.join(marked, theirs, "left_semi")).withColumn("_on", F.coalesce("_at", F.col("_rank") * 2))
+    below = Window.partitionBy(name, "_group").orderBy("_on").rowsBetween(Window.unboundedPreceding, 0)
+    passed = F.coalesce(F.sum(F.when(F.col("_at") > BEFORE, F.col("_lent"))).over(below), F.lit(0))
+    numbered = line.withColumn("_number", F.col("_rank") + passed).unionByName(
+        ranked(together.join(marked, theirs, "left_anti")).withColumns({"_on": F.lit(None).cast("long"), "_number": F.col("_rank")}))
+    stem, suffix = F.regexp_replace(name, _SUFFIX, ""), F.regexp_extract(name, _SUFFIX, 1)
+    renamed = F.concat(stem, F.lit("_"), F.col("_number").cast("string"), suffix)
+    unique = F.when(F.col("_rank") == 0, F.col(name)).otherwise(renamed)
+    return numbered.filter(is_row).select(*own.columns, unique.alias("unique_path")).toDF(*manifest.columns, "unique_path")
+
+
+#: Places on a name's line: what a group is lent stands before its rows, a row of rank r at 2r, taken numbers between rows.
+BEFORE, BELOW = -2, -1
+
+
+def _by_group(marks: DataFrame, groups: DataFrame) -> DataFrame:
+    """What the groups of large names are lent: the rows before them, the numbers taken below them, the marks among their rows."""
+    line = groups.withColumn("_at", F.col("_before") * 2).unionByName(marks, allowMissingColumns=True)
+    first = F.col("_turn").isNotNull()
+    line = with_running_sum(line, ["_dest"], ["_at"], F.when(first, 1).otherwise(0), "_place")
+    line = with_running_sum(line, ["_dest"], ["_at"], F.coalesce("_lent", F.lit(0)), "_passed")
+
+    def start(at: int, value: str) -> DataFrame:
+        return line.filter(first).select("_dest", F.lit(at).cast("long").alias("_at"), F.col(value).alias("_lent"), "_group")
+
+    among = line.filter(~first).select("_dest", F.col("_place").alias("_turn"), "_at", "_lent").join(
+        groups.select("_dest", "_turn", "_group"), ["_dest", "_turn"])
+    return start(BEFORE, "_before").unionByName(start(BELOW, "_passed")).unionByName(among.drop("_turn"))
+
+
+def _taken_numbers(names: DataFrame) -> DataFrame:
+    """For names of several rows the numbers that other names take, as marks on the name's line.
+
+    `_lent` tells how many numbers with m free ones below them stand at 2m + 1; those behind the last row are left out."""
     # read off the name only once names are counted: else the parse would go below the grouping, to every row and condition
-    counted = own.groupBy("_dest").agg(F.count(F.lit(1)).alias("_rows")).withColumn("_once", F.when(F.col("_rows") > 0, name))
-    once = F.col("_once")
+    once = F.when(F.col("_rows") > 0, F.col("_dest"))
     bare = F.regexp_replace(once, _SUFFIX, "")
-    numbered = counted.select(
+    numbered = names.select(
         F.concat(F.regexp_replace(bare, r"_[1-9]\d{0,17}$", ""), F.regexp_extract(once, _SUFFIX, 1)).alias("_base"),
         F.regexp_extract(bare, r"_([1-9]\d{0,17})$", 1).alias("_number")).filter("_number <> ''")
-    taken = with_running_sum(
-        numbered.select("_base", F.col("_number").cast("long").alias("_number")), ["_base"], ["_number"], F.lit(1), "_i")
-    # below every row stand the taken numbers with fewer free ones below them than its rank
-    marks = taken.select(F.col("_base").alias("_dest"), ((F.col("_number") - F.col("_i")) * 2 + 1).alias("_at"))
-    rows = ranked.drop("_source").withColumns({"_at": F.col("_rank") * 2, "_row": F.lit(True)})
-    passed = with_running_sum(
-        rows.unionByName(marks, allowMissingColumns=True), ["_dest"], ["_at"], F.when(F.col("_row"), 0).otherwise(1), "_passed")
-    free = F.col("_rank") + F.col("_passed")
-    renamed = F.concat(stem, F.lit("_"), free.cast("string"), suffix)
-    out = passed.filter("_row").withColumn("unique_path", F.when(F.col("_rank") == 0, name).otherwise(renamed))
-    return out.select("_own.*", "unique_path")
+    several = names.filter(F.col("_rows") > 1)
+    taken = numbered.join(several, F.col("_base") == F.col("_dest")).select(
+        "_dest", "_rows", F.col("_number").cast("long").alias("_number"))
+    free = F.col("_number") - F.col("_i")
+    counted = with_running_sum(taken, ["_dest"], ["_number"], F.lit(1), "_i").filter(free < F.col("_rows") - 1)
+    return counted.groupBy("_dest", (free * 2 + 1).alias("_at")).agg(F.count(F.lit(1)).alias("_lent"))
 
 
 def distinct_channels(files: DataFrame) -> DataFrame:

@@ -281,11 +281,11 @@ def _(s, d):
 
 
 def _manifest(s, d):
-    """Every take of a camera and day would be copied to one name."""
+    """Every take of a camera and day would be copied to one name; paths may repeat."""
     return keyed(s, d).select(
         F.col("path").alias("source_path"),
         F.concat_ws("/", F.col("recording_date"), F.concat("camera_name", F.lit(".mp4"))).alias("destination_path"),
-    ).distinct()
+    )
 
 
 @query("unique_names", """
@@ -296,7 +296,7 @@ def _manifest(s, d):
           FROM (SELECT DISTINCT path AS source_path, recording_date || '/' || camera_name || '.mp4' AS destination_path
                 FROM keyed_files))""", "keyed_files")
 def _(s, d):
-    return A.unique_names(_manifest(s, d))
+    return A.unique_names(_manifest(s, d), distinct=True)
 
 
 @query("distinct_channels", """

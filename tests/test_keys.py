@@ -1,5 +1,7 @@
 """Repeated keys leave one row, generated names are new, and listings reach all cores."""
 
+import hashlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -8,6 +10,24 @@ from reelspark.plans.runs import explode_range
 from reelspark.plans.spread import spread
 
 
+def shuffled_rows(spark, df):
+    """Rows that all exchanges of a plan wrote."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    found, todo = {}, [plan]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif node.getClass().getSimpleName() in ("ShuffleQueryStageExec", "BroadcastQueryStageExec"):
+            todo.append(node.plan())
+        elif node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            found[node.id()] = node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return sum(found.values())
+
+
 def test_the_last_update_of_a_key_counts(spark, as_rows):
     t = spark.createDataFrame([(1, "a", 9), (2, "b", 9)], "k int, v string, other int")
     updates = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (1, "a", 0), (3, "n", 1), (3, "m", 2)], "k int, v string, at int")
@@ -60,3 +80,36 @@ def test_long_ranges_in_blocks(spark):
     assert got == [("a", n) for n in range(3, 13)] + [("c", 7)]
     long = spark.createDataFrame([(0, 300_000_000)], "lo bigint, hi bigint")
     assert explode_range(long, "lo", "hi", "n").agg(F.count("n"), F.max("n")).first() == (300_000_001, 300_000_000)
+
+
+def test_names_of_any_size_are_numbered_in_one_shuffle_of_rows(spark, monkeypatch):
+    """Against a walk over digests: large and small names, taken numbers, repeated rows; rows are shuffled once."""
+    names = ["x.mp4"] * 300 + ["y.mp4"] * 40 + ["z"] * 3 + [f"x_{n}.mp4" for n in [*range(1, 90, 2), *range(120, 160), 299, 300, 345, 10**9]]
+    names += ["x_3.mp4"] * 20 + [f"x_3_{n}.mp4" for n in (1, 2, 4, 7)] + ["y_2.mp4", "y_39.mp4", "y_40.mp4", "w_1"]
+    table = [(f"s{k}", n, k % 3) for k, n in enumerate(names)]
+    rows = spark.createDataFrame(table, "source_path string, `to.path` string, _rank int").union(
+        spark.createDataFrame([(None, "x.mp4", 1), ("s", None, 1), ("t", None, 2)], "s string, d string, r int"))
+    want = {}
+    for name in set(names):
+        stem, dot, ext = name.partition(".")
+        free = (c for c in (f"{stem}_{k}{dot}{ext}" for k in range(1, 10**4)) if c not in names)
+        files = sorted((f for f, n, _ in table if n == name), key=lambda f: hashlib.md5(f.encode()).hexdigest())
+        for k, f in enumerate([None, *files] if name == "x.mp4" else files):
+            want[f, name] = next(free) if k else name
+
+    def check(df, **options):
+        got = assets.unique_names(df, "to.path", **options)
+        assert got.columns == ["source_path", "to.path", "_rank", "unique_path"]
+        found = got.collect()
+        assert len(found) == len(want) + 2 and {(r[0], r[1]): r[3] for r in found if r[1]} == want
+        assert [r[3] for r in found if r[1] is None] == [None, None]
+        return got
+
+    check(rows)
+    check(rows.union(rows).union(rows.limit(7)), distinct=True)
+    monkeypatch.setattr(assets, "NAME_ROWS", 4)
+    check(rows)
+    check(rows.union(rows).union(rows.limit(7)), distinct=True)
+    many = spark.range(20000).select(F.concat(F.lit("s"), "id").alias("source_path"), F.lit("a.mp4").alias("destination_path"))
+    monkeypatch.setattr(assets, "NAME_ROWS", 1 << 17)
+    assert shuffled_rows(spark, assets.unique_names(many)) < 1.1 * 20000
