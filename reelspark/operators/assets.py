@@ -16,7 +16,7 @@ from reelspark.functions import (
     timestamp_from_stem,
 )
 from reelspark.operators.keys import one_per_key
-from reelspark.plans.carry import with_running_sum
+from reelspark.plans.carry import FRAME_BUCKET, bucketed, carry, inside, with_running_sum
 from reelspark.plans.spread import spread
 
 # The three accepted forms of a recording path; groups are yy, mm-dd, case and camera.
@@ -376,11 +376,9 @@ def unique_names(
     groups = (dealt("inner").distinct() if distinct else dealt("inner")).groupBy(F.col(name).alias("_dest"), "_group").agg(
         F.count(F.lit(1)).alias("_n"))
     turns = Window.partitionBy("_dest").orderBy("_group")
-    groups = groups.select("_dest", "_group", F.row_number().over(turns).cast("long").alias("_turn"),
-                           (F.sum("_n").over(turns) - F.col("_n")).alias("_before"))
+    groups = groups.select("_dest", "_group", (F.sum("_n").over(turns) - F.col("_n")).alias("_before"))
     marks = _taken_numbers(names)
-    lent = marks.join(large.select("_dest"), "_dest", "left_anti").withColumn("_group", F.lit("")).unionByName(
-        _by_group(marks.join(large.select("_dest"), "_dest", "left_semi"), groups))
+    lent = _by_group(marks, groups)
     is_row = F.col("_at").isNull()
     together = dealt("left").unionByName(lent.withColumnRenamed("_dest", name), allowMissingColumns=True).repartition(name, "_group")
     together = together.withColumn("_digest", F.when(is_row, F.unhex(F.md5(file))))
@@ -396,9 +394,9 @@ def unique_names(
     def ranked(rows: DataFrame) -> DataFrame:
         return rows.withColumn("_new", new).withColumn("_rank", rank).filter(F.col("_new") | ~is_row)
 
-    # only rows of groups with taken numbers are put in order once more
-    marked = lent.filter((F.col("_at") > BEFORE) & (F.col("_lent") > 0)).select(
-        F.col("_dest").alias("_name"), F.col("_group").alias("_part")).distinct()
+    # only rows of names with taken numbers are put in order once more
+    marked = marks.select("_dest").distinct().join(groups, "_dest", "left").select(
+        F.col("_dest").alias("_name"), F.when(F.col("_before").isNull(), "").otherwise(F.col("_group")).alias("_part"))
     theirs = F.col(name).eqNullSafe(F.col("_name")) & F.col("_group").eqNullSafe(F.col("_part"))
     line = ranked(together.join(marked, theirs, "left_semi")).withColumn("_on", F.coalesce("_at", F.col("_rank") * 2))
     below = Window.partitionBy(name, "_group").orderBy("_on").rowsBetween(Window.unboundedPreceding, 0)
@@ -416,18 +414,27 @@ BEFORE, BELOW = -2, -1
 
 
 def _by_group(marks: DataFrame, groups: DataFrame) -> DataFrame:
-    """What the groups of large names are lent: the rows before them, the numbers taken below them, the marks among their rows."""
+    """What groups are lent: the rows before them, the numbers taken below them, the marks among their rows.
+
+    Names without `groups` are one group, which is lent its marks."""
     line = groups.withColumn("_at", F.col("_before") * 2).unionByName(marks, allowMissingColumns=True)
-    first = F.col("_turn").isNotNull()
-    line = with_running_sum(line, ["_dest"], ["_at"], F.when(first, 1).otherwise(0), "_place")
-    line = with_running_sum(line, ["_dest"], ["_at"], F.coalesce("_lent", F.lit(0)), "_passed")
+    starts = F.col("_before").isNotNull()
+    opened = F.max(F.when(starts, F.struct("_at", "_group")))
+    cut = carry(
+        bucketed(line, "_at", FRAME_BUCKET), ["_dest"], {"_sum": F.sum("_lent"), "_last": opened},
+        before={"_below": lambda w: F.sum("_sum").over(w), "_open": lambda w: F.last("_last", ignorenulls=True).over(w)},
+    )
+    so_far = inside(["_dest"], ["_at"]).rowsBetween(Window.unboundedPreceding, 0)
+    placed = cut.withColumns({
+        "_open": F.coalesce(opened.over(so_far), "_open"),
+        "_below": F.coalesce("_below", F.lit(0)) + F.coalesce(F.sum("_lent").over(so_far), F.lit(0))})
 
-    def start(at: int, value: str) -> DataFrame:
-        return line.filter(first).select("_dest", F.lit(at).cast("long").alias("_at"), F.col(value).alias("_lent"), "_group")
+    def mark(at: Column, value: str) -> Column:
+        return F.struct(at.cast("long").alias("_at"), F.col(value).alias("_lent"))
 
-    among = line.filter(~first).select("_dest", F.col("_place").alias("_turn"), "_at", "_lent").join(
-        groups.select("_dest", "_turn", "_group"), ["_dest", "_turn"])
-    return start(BEFORE, "_before").unionByName(start(BELOW, "_passed")).unionByName(among.drop("_turn"))
+    ahead = F.array(mark(F.lit(BEFORE), "_before"), mark(F.lit(BELOW), "_below"))
+    return placed.select("_dest", F.when(F.col("_open").isNull(), "").otherwise(F.col("_open._group")).alias("_group"),
+                         F.inline(F.when(starts, ahead).otherwise(F.array(mark(F.col("_at"), "_lent")))))
 
 
 def _taken_numbers(names: DataFrame) -> DataFrame:
