@@ -380,7 +380,8 @@ def unique_names(
     marks = _taken_numbers(names)
     lent = _by_group(marks, groups)
     is_row = F.col("_at").isNull()
-    together = dealt("left").unionByName(lent.withColumnRenamed("_dest", name), allowMissingColumns=True).repartition(name, "_group")
+    # to a given number of tasks: sorted rows take many times the bytes of shuffled ones, by which partitions would be merged
+    together = spread(dealt("left").unionByName(lent.withColumnRenamed("_dest", name), allowMissingColumns=True), name, "_group")
     together = together.withColumn("_digest", F.when(is_row, F.unhex(F.md5(file))))
     order = Window.partitionBy(name, "_group").orderBy(F.desc_nulls_last("_at"), "_digest", file, *(rest if distinct else []))
     new = is_row
